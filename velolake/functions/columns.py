@@ -103,16 +103,38 @@ def literal_list_length(col: str | Column) -> Column:
     return F.size(F.from_json(text, "array<string>")).cast("int")
 
 
-def list_literal(n: str | Column) -> Column:
-    """Render ``['1', '2', ..., 'n']`` (``[]`` for 0) as the store keeps it."""
+def list_literal(n: str | Column, style: str | Column | None = None) -> Column:
+    """Render a list of ``n`` bike ids (``[]`` for 0) as the store keeps it.
+
+    ``style`` picks the text form: ``single`` (``['1', '2']``, the default),
+    ``double`` (``["1", "2"]``), ``none_last`` (``['1', None]``: the last id
+    unknown) or ``bare`` (``[1, 2]``).  A column may choose per row.
+    """
     n = _c(n)
-    items = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda x: F.concat(F.lit("'"), x.cast("string"), F.lit("'")),
-    )
-    return F.when(n <= 0, F.lit("[]")).otherwise(
-        F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-    )
+    ids = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
+
+    def render(quote: str, last_none: bool = False) -> Column:
+        items = F.transform(
+            ids,
+            lambda x: F.when(F.lit(last_none) & (x == n), F.lit("None")).otherwise(
+                F.concat(F.lit(quote), x.cast("string"), F.lit(quote))
+            ),
+        )
+        return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+    forms = {
+        "single": render("'"),
+        "double": render('"'),
+        "none_last": render("'", last_none=True),
+        "bare": render(""),
+    }
+    if style is None or isinstance(style, str):
+        body = forms[style or "single"]
+    else:
+        body = forms["single"]
+        for name, form in forms.items():
+            body = F.when(style == name, form).otherwise(body)
+    return F.when(n <= 0, F.lit("[]")).otherwise(body)
 
 
 # P13 ------------------------------------------------------------------------

@@ -9,7 +9,14 @@ from pyspark.sql import types as T
 from velolake import schemas as S
 
 # RFC-4180 quoting: a quote inside a field is doubled, not backslash-escaped.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Timestamps keep all six fraction digits (the default writes three).
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def normalise_na(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:

@@ -18,6 +18,17 @@ from velolake.functions import columns as C
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
+# The stored bike-id list comes in every text form the parser must accept,
+# chosen by event id (see ``columns.list_literal``).
+BIKE_ID_STYLES = ("single", "double", "none_last", "bare")
+
+
+def bike_id_style(event_id: str = "event_id") -> Column:
+    return F.element_at(
+        F.array(*[F.lit(s) for s in BIKE_ID_STYLES]),
+        (F.col(event_id) % len(BIKE_ID_STYLES)).cast("int") + 1,
+    )
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -57,7 +68,7 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
         station_id_expr().alias("stationId"),
         F.col("ts").alias("timestamp"),
         n.alias("AvailableBikes"),
-        C.list_literal(n).alias("BikeIds"),
+        C.list_literal(n, bike_id_style()).alias("BikeIds"),
         (F.col("event_type") != "signup").alias("IsOpen"),
         ((F.lit(11970) + F.col("user_id") % 100).cast("double") / 1000.0).alias("Long"),
         ((F.lit(57700) + F.col("user_id") % 50).cast("double") / 1000.0).alias("Lat"),

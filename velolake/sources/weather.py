@@ -44,6 +44,10 @@ def time_as_timestamp(df: DataFrame) -> DataFrame:
     return df
 
 
+def _field(name: str):
+    return lambda r: r[name]
+
+
 def to_daily_responses(weather: DataFrame) -> DataFrame:
     """Inverse of S4 for tests and landing: one struct-of-arrays per day
     (at most 24 hours per group, so every group is bounded)."""
@@ -57,7 +61,7 @@ def to_daily_responses(weather: DataFrame) -> DataFrame:
     arrays = [
         F.transform("rows", lambda r: F.date_format(r["t"], "yyyy-MM-dd'T'HH:mm")).alias("time")
     ] + [
-        F.transform("rows", lambda r, m=m: r[m]).alias(src)
+        F.transform("rows", _field(m)).alias(src)
         for src, m in zip(S.WEATHER_SOURCE_FIELDS[1:], S.WEATHER_MEASURES)
     ]
     return daily.select("day", F.struct(*arrays).alias("hourly"))
