@@ -30,14 +30,21 @@ from velolake import schemas as S
 INT = "decimal(38,0)"
 
 
-def _q(col: str, decimals: int) -> Column:
-    c = F.col(col).cast("double")
-    c = F.when(~F.isnan(c), c)
-    return F.round(c * (10**decimals)).cast("decimal(20,0)")
-
-
-def _exact_to_double(term: Column, fallback: Column) -> Column:
-    return F.coalesce(term.cast("double"), fallback)
+# Quantised values must stay below this magnitude so that every product
+# of two of them is an exact bigint (|x·y| < 2**63).
+MAX_UNITS = 3_000_000_000
+
+
+def _q(col: str, decimals: int) -> str:
+    """SQL for the value as a count of ``10**-decimals`` units (bigint);
+    NaN counts as missing, an out-of-range value is an error (never a
+    silent wrap)."""
+    v = f"CASE WHEN isnan(CAST(`{col}` AS DOUBLE)) THEN NULL ELSE CAST(`{col}` AS DOUBLE) END"
+    u = f"round(({v}) * {10 ** decimals})"
+    return (
+        f"CASE WHEN abs({u}) < {MAX_UNITS} THEN CAST({u} AS BIGINT) "
+        f"WHEN {u} IS NOT NULL THEN raise_error('value of {col} out of range for exact correlation') END"
+    )
 
 
 def correlation_long(
@@ -50,91 +57,70 @@ def correlation_long(
 
     ``corr`` is null where fewer than two complete pairs exist or a column
     is constant over them; the diagonal is exactly 1.0 otherwise.
+    Expressions are passed as SQL text: one JVM call per expression keeps
+    plan construction cheap for the ~140 aggregates.
     """
     by = list(by)
     decimals = dict(S.CORRELATION_DECIMALS if decimals is None else decimals)
     cols = list(columns)
     k = len(cols)
-    q = {c: _q(c, decimals.get(c, 0)) for c in cols}
-    mask = sum((F.when(q[c].isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)), F.lit(0))
+    pairs = list(combinations_with_replacement(range(k), 2))
 
     # 1. moment sums per (group, null pattern)
-    prepared = df.select(*by, mask.alias("_mask"), *[q[c].alias(f"_x{i}") for i, c in enumerate(cols)])
-    pairs = list(combinations_with_replacement(range(k), 2))
-    sums = [F.count(F.lit(1)).alias("_n")]
-    sums += [F.sum(F.col(f"_x{i}").cast(INT)).alias(f"_s{i}") for i in range(k)]
-    sums += [
-        F.sum((F.col(f"_x{i}") * F.col(f"_x{j}")).cast(INT)).alias(f"_p{i}_{j}") for i, j in pairs
-    ]
-    patterns = prepared.groupBy(*by, "_mask").agg(*sums)
+    xs = [f"({_q(c, decimals.get(c, 0))}) AS _x{i}" for i, c in enumerate(cols)]
+    prepared = df.selectExpr(*[f"`{b}`" for b in by], *xs)
+    mask = " + ".join(f"CASE WHEN _x{i} IS NULL THEN {1 << i} ELSE 0 END" for i in range(k))
+    prepared = prepared.selectExpr("*", f"{mask} AS _mask")
+    sums = ["count(1) AS _n"]
+    sums += [f"sum(CAST(_x{i} AS {INT})) AS _s{i}" for i in range(k)]
+    sums += [f"sum(CAST(_x{i} * _x{j} AS {INT})) AS _p{i}_{j}" for i, j in pairs]
+    patterns = prepared.groupBy(*by, "_mask").agg(*[F.expr(e) for e in sums])
 
     # 2. one row per (group, pattern, pair), kept where both columns are
     #    present, then summed per (group, pair): six sums, one coefficient
-    names = F.array(*[F.lit(c) for c in cols])
-    per_pattern = patterns.select(
-        *by,
-        "_mask",
-        "_n",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.lit(j).alias("j"),
-                        F.col(f"_s{i}").alias("sa"),
-                        F.col(f"_s{j}").alias("sb"),
-                        F.col(f"_p{i}_{i}").alias("saa"),
-                        F.col(f"_p{j}_{j}").alias("sbb"),
-                        F.col(f"_p{i}_{j}").alias("sab"),
-                    )
-                    for i, j in pairs
-                ]
-            )
-        ),
+    cells = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'sa', _s{i}, 'sb', _s{j}, "
+        f"'saa', _p{i}_{i}, 'sbb', _p{j}_{j}, 'sab', _p{i}_{j})"
+        for i, j in pairs
     )
-    both = F.expr("shiftleft(1, i) | shiftleft(1, j)")
+    per_pattern = patterns.selectExpr(*[f"`{b}`" for b in by], "_mask", "_n", f"inline(array({cells}))")
     per_pair = (
-        per_pattern.where(F.col("_mask").bitwiseAND(both) == 0)
+        per_pattern.where("(_mask & (shiftleft(1, i) | shiftleft(1, j))) = 0")
         .groupBy(*by, "i", "j")
         .agg(
-            F.sum("_n").cast(INT).alias("n"),
-            F.sum("sa").alias("a"),
-            F.sum("sb").alias("b"),
-            F.sum("saa").alias("aa"),
-            F.sum("sbb").alias("bb"),
-            F.sum("sab").alias("ab"),
+            F.expr(f"CAST(sum(_n) AS {INT}) AS n"),
+            F.expr("sum(sa) AS a"),
+            F.expr("sum(sb) AS b"),
+            F.expr("sum(saa) AS aa"),
+            F.expr("sum(sbb) AS bb"),
+            F.expr("sum(sab) AS ab"),
         )
     )
-    n, a, b = F.col("n"), F.col("a"), F.col("b")
-    aa, bb, ab = F.col("aa"), F.col("bb"), F.col("ab")
-
-    def comoment(x: Column, y: Column, xy: Column) -> Column:
-        exact = F.try_subtract(F.try_multiply(n, xy), F.try_multiply(x, y))
-        approx = n.cast("double") * xy.cast("double") - x.cast("double") * y.cast("double")
-        return _exact_to_double(exact, approx)
 
-    cov, va, vb = comoment(a, b, ab), comoment(a, a, aa), comoment(b, b, bb)
-    corr = F.when((n >= 2) & (va > 0) & (vb > 0), cov / F.sqrt(va * vb))
-    scored = per_pair.select(*by, "i", "j", corr.alias("corr"))
+    def comoment(x: str, y: str, xy: str) -> str:
+        exact = f"try_subtract(try_multiply(n, {xy}), try_multiply({x}, {y}))"
+        approx = f"CAST(n AS DOUBLE) * CAST({xy} AS DOUBLE) - CAST({x} AS DOUBLE) * CAST({y} AS DOUBLE)"
+        return f"coalesce(CAST({exact} AS DOUBLE), {approx})"
+
+    scored = per_pair.selectExpr(
+        *[f"`{b}`" for b in by], "i", "j",
+        f"{comoment('a', 'b', 'ab')} AS _cov", f"{comoment('a', 'a', 'aa')} AS _va",
+        f"{comoment('b', 'b', 'bb')} AS _vb", "n",
+    ).selectExpr(
+        *[f"`{b}`" for b in by], "i", "j",
+        "CASE WHEN n >= 2 AND _va > 0 AND _vb > 0 THEN _cov / sqrt(_va * _vb) END AS corr",
+    )
+    names = "array(" + ", ".join(f"'{c}'" for c in cols) + ")"
     # both orientations of every off-diagonal pair
-    mirrored = scored.select(
-        *by,
-        F.explode(
-            F.when(
-                F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("x"), F.col("j").alias("y")))
-            ).otherwise(
-                F.array(
-                    F.struct(F.col("i").alias("x"), F.col("j").alias("y")),
-                    F.struct(F.col("j").alias("x"), F.col("i").alias("y")),
-                )
-            )
-        ).alias("p"),
+    return scored.selectExpr(
+        *[f"`{b}`" for b in by],
+        "explode(CASE WHEN i = j THEN array(named_struct('x', i, 'y', j)) "
+        "ELSE array(named_struct('x', i, 'y', j), named_struct('x', j, 'y', i)) END) AS p",
         "corr",
-    )
-    return mirrored.select(
-        *by,
-        F.element_at(names, F.col("p.x") + 1).alias("colA"),
-        F.element_at(names, F.col("p.y") + 1).alias("colB"),
+    ).selectExpr(
+        *[f"`{b}`" for b in by],
+        f"element_at({names}, p.x + 1) AS colA",
+        f"element_at({names}, p.y + 1) AS colB",
         "corr",
     )
 
