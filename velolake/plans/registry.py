@@ -24,11 +24,13 @@ from velolake.operators import sampling as SA
 from velolake.plans import binding as B
 from velolake.plans import oracle as O
 from velolake.session import scratch_path
+from velolake.sinks import documents as DOC
 from velolake.sources import csv as CSV
 from velolake.sources import snapshots as SN
 from velolake.sources import store as ST
 from velolake.sources import tables as TB
 from velolake.sources import weather as WX
+from velolake.streaming import ingest as ING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +55,8 @@ def snapshot_flatten(spark, sf):
     snaps = TB.snapshot_text_from_events(B.events(spark, sf))
     st = SN.flatten_snapshot_text(snaps, keep=["pollId", "polledAt"])
     return st.select(
-        "pollId", "polledAt", C.station_key().alias("stationId"), "StationId", "Name",
+        "pollId", "polledAt", C.station_key().alias("stationId"),
+        F.col("StationId").alias("sourceStationId"), "Name",
         "Lat", "Long", "IsOpen", "AvailableBikes", "Distance",
         F.size("BikeIds").alias("bikeIdCount"),
     )
@@ -61,7 +64,7 @@ def snapshot_flatten(spark, sf):
 
 SQL_SNAPSHOT_FLATTEN = f"""
 SELECT event_id AS pollId, ts AS polledAt,
-       COALESCE(NULLIF({O.NAME}, ''), {O.SID}) AS stationId, {O.SID} AS StationId, {O.NAME} AS Name,
+       COALESCE(NULLIF({O.NAME}, ''), {O.SID}) AS stationId, {O.SID} AS sourceStationId, {O.NAME} AS Name,
        {O.LAT} AS Lat, {O.LONG} AS Long, event_type <> 'signup' AS IsOpen,
        {O.NBIKES} AS AvailableBikes, {O.DIST} AS Distance, {O.NBIKES} AS bikeIdCount
 FROM events"""
@@ -537,6 +540,76 @@ SELECT n, CAST(sae AS DOUBLE) / n AS MAE, CAST(sse AS DOUBLE) / n AS MSE,
 FROM m"""
 
 
+# ---------------------------------------------------------------------------
+# Model, document, streams
+# ---------------------------------------------------------------------------
+def forest_predictions(spark, sf):
+    """M2 + M3: random forest fitted on the training split, scored on the
+    test split (not SQL-expressible)."""
+    train, test = SA.split_by_hash(B.features(spark, sf), TEST_SHARE)
+    model = ML.fit(train)
+    return ML.score(model, test)
+
+
+def metrics_document(spark, sf):
+    return DOC.metrics_document(B.features(spark, sf))
+
+
+def _stream_dirs(spark, name):
+    root = scratch_path(spark, name)
+    return f"{root}/landing", f"{root}/sink", f"{root}/checkpoint"
+
+
+def stream_ingest(spark, sf):
+    """T-1: every snapshot delivered twice; the stream keeps one copy."""
+    landing, sink, ckpt = _stream_dirs(spark, "stream_ingest")
+    snaps = TB.snapshot_text_from_events(B.events(spark, sf))
+    ING.land_snapshots(snaps, landing, landed_seq=0)
+    ING.land_snapshots(snaps, landing, landed_seq=1)
+    ING.start_ingest(spark, landing, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("stationId", "timestamp", "AvailableBikes", "IsOpen")
+
+
+SQL_STREAM_INGEST = f"""
+SELECT COALESCE(NULLIF({O.NAME}, ''), {O.SID}) AS stationId, {O.iso('ts')} AS timestamp,
+       CAST({O.NBIKES} AS VARCHAR) AS AvailableBikes,
+       CASE WHEN event_type <> 'signup' THEN 'True' ELSE 'False' END AS IsOpen
+FROM events"""
+
+
+def stream_hourly(spark, sf):
+    """A7 as a stream: hours closed by the watermark (10 minutes)."""
+    landing, sink, ckpt = _stream_dirs(spark, "stream_hourly")
+    ING.land_snapshots(TB.snapshot_text_from_events(B.events(spark, sf)), landing)
+    ING.start_hourly(spark, landing, sink, ckpt, watermark="10 minutes").awaitTermination()
+    return spark.read.parquet(sink)
+
+
+SQL_STREAM_HOURLY = f"""
+SELECT date_trunc('hour', ts) AS hour, count(*) AS readings, CAST(sum({O.NBIKES}) AS BIGINT) AS availableBikes
+FROM events GROUP BY date_trunc('hour', ts)
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+
+
+def stream_upsert(spark, sf):
+    """K1 in a stream: a second delivery carries corrected counts for every
+    reading and must win."""
+    landing, sink, ckpt = _stream_dirs(spark, "stream_upsert")
+    ev = B.events(spark, sf)
+    ING.land_snapshots(TB.snapshot_text_from_events(ev), landing, landed_seq=0)
+    corrected = ev.withColumn("value", F.col("value") + 1)
+    ING.land_snapshots(TB.snapshot_text_from_events(corrected), landing, landed_seq=1)
+    ING.start_upsert(spark, landing, sink, ckpt).awaitTermination()
+    return ING.read_latest(spark, sink).select("stationId", "timestamp", "AvailableBikes", "IsOpen")
+
+
+SQL_STREAM_UPSERT = f"""
+SELECT COALESCE(NULLIF({O.NAME}, ''), {O.SID}) AS stationId, {O.iso('ts')} AS timestamp,
+       CAST(CAST(floor(value + 1) AS BIGINT) % 25 AS VARCHAR) AS AvailableBikes,
+       CASE WHEN event_type <> 'signup' THEN 'True' ELSE 'False' END AS IsOpen
+FROM events"""
+
+
 # ---------------------------------------------------------------------------
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "snapshot_flatten": (snapshot_flatten, SQL_SNAPSHOT_FLATTEN),
@@ -583,6 +656,11 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "train_split": (train_split, SQL_TRAIN_SPLIT),
     "test_split": (test_split, SQL_TEST_SPLIT),
     "regression_metrics": (regression_metrics, SQL_REGRESSION_METRICS),
+    "stream_ingest": (stream_ingest, SQL_STREAM_INGEST),
+    "stream_hourly": (stream_hourly, SQL_STREAM_HOURLY),
+    "stream_upsert": (stream_upsert, SQL_STREAM_UPSERT),
+    "metrics_document": (metrics_document, None),
+    "forest_predictions": (forest_predictions, None),
 }
 
 

@@ -164,7 +164,7 @@ RAW_READING_SCHEMA = T.StructType(
     [
         T.StructField("stationId", T.StringType()),
         T.StructField("timestamp", T.StringType()),
-        T.StructField("StationId", T.StringType()),
+        T.StructField("sourceStationId", T.StringType()),
         T.StructField("Name", T.StringType()),
         T.StructField("Lat", T.StringType()),
         T.StructField("Long", T.StringType()),

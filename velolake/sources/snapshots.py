@@ -48,7 +48,9 @@ def snapshot_to_items(stations: DataFrame, polled_at: str = "polledAt") -> DataF
     return stations.select(
         C.station_key("Name", "StationId").alias("stationId"),
         C.as_text(polled_at, "timestamp_ntz").alias("timestamp"),
-        C.as_text("StationId").alias("StationId"),
+        # the API attribute; named apart from the key, since Spark resolves
+        # names case-insensitively
+        C.as_text("StationId").alias("sourceStationId"),
         C.as_text("Name").alias("Name"),
         C.as_text("Lat").alias("Lat"),
         C.as_text("Long").alias("Long"),
