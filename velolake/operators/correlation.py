@@ -24,15 +24,15 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velolake import schemas as S
 
 INT = "decimal(38,0)"
 
 
-# Quantised values must stay below this magnitude so that every product
-# of two of them is an exact bigint (|x·y| < 2**63).
-MAX_UNITS = 3_000_000_000
+# Quantised values stay below 2**31 units (exact int64 arithmetic below).
+MAX_UNITS = 2**31
 
 
 def _q(col: str, decimals: int) -> str:
@@ -40,13 +40,69 @@ def _q(col: str, decimals: int) -> str:
     NaN counts as missing, an out-of-range value is an error (never a
     silent wrap)."""
     v = f"CASE WHEN isnan(CAST(`{col}` AS DOUBLE)) THEN NULL ELSE CAST(`{col}` AS DOUBLE) END"
-    u = f"round(({v}) * {10 ** decimals})"
+    u = f"floor(({v}) * {10 ** decimals} + 0.5)"
     return (
         f"CASE WHEN abs({u}) < {MAX_UNITS} THEN CAST({u} AS BIGINT) "
         f"WHEN {u} IS NOT NULL THEN raise_error('value of {col} out of range for exact correlation') END"
     )
 
 
+def _moments(by: list[str], k: int, pairs: list[tuple[int, int]]):
+    """Per task: for every (group, null pattern) the row count, the column
+    sums and the Gram matrix ``XᵀX`` of the quantised values, exactly.
+
+    ``X`` (int64, |x| < 2^31) splits into ``X = A·2^16 + B`` with
+    ``0 <= B < 2^16``; the three int64 products ``AᵀA, AᵀB, BᵀB`` cannot
+    overflow below 2^31 rows, and ``XᵀX = (AᵀA)·2^32 + (AᵀB + BᵀA)·2^16 + BᵀB``
+    is assembled in Python integers.
+    """
+
+    def run(batches):
+        import decimal
+
+        import numpy as np
+        import pandas as pd
+
+        acc: dict[tuple, list] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            vals = pdf[[f"_x{i}" for i in range(k)]]
+            present = vals.notna().to_numpy()
+            masks = ((~present) * (1 << np.arange(k))).sum(axis=1)
+            keys = pdf[by].astype(object).where(pdf[by].notna(), None) if by else None
+            frame = pd.DataFrame({"_mask": masks})
+            for b in by:
+                frame[b] = keys[b].to_numpy()
+            for key, idx in frame.groupby([*by, "_mask"], dropna=False, sort=False).indices.items():
+                key = key if isinstance(key, tuple) else (key,)
+                x = vals.iloc[idx].fillna(0).to_numpy(dtype=np.int64)
+                a = x >> 16
+                b_ = x & 0xFFFF
+                aa, ab, bb = a.T @ a, a.T @ b_, b_.T @ b_
+                gram = [[(int(aa[i, j]) << 32) + ((int(ab[i, j]) + int(ab[j, i])) << 16) + int(bb[i, j])
+                         for j in range(k)] for i in range(k)]
+                col_sums = [int(v) for v in x.sum(axis=0, dtype=object)]
+                cur = acc.get(key)
+                if cur is None:
+                    acc[key] = [len(idx), col_sums, gram]
+                else:
+                    cur[0] += len(idx)
+                    cur[1] = [u + v for u, v in zip(cur[1], col_sums)]
+                    cur[2] = [[u + v for u, v in zip(r1, r2)] for r1, r2 in zip(cur[2], gram)]
+        rows = []
+        for key, (n, col_sums, gram) in acc.items():
+            rows.append(
+                [*key[:-1], int(key[-1]), n]
+                + [decimal.Decimal(v) for v in col_sums]
+                + [decimal.Decimal(gram[i][j]) for i, j in pairs]
+            )
+        cols = [*by, "_mask", "_n"] + [f"_s{i}" for i in range(k)] + [f"_p{i}_{j}" for i, j in pairs]
+        yield pd.DataFrame(rows, columns=cols)
+
+    return run
+
+
 def correlation_long(
     df: DataFrame,
     columns: Sequence[str] = tuple(S.CORRELATION_COLUMNS),
@@ -66,15 +122,22 @@ def correlation_long(
     k = len(cols)
     pairs = list(combinations_with_replacement(range(k), 2))
 
-    # 1. moment sums per (group, null pattern)
+    # 1. moment sums per (group, null pattern): exact integer Gram matrices
+    #    of each Arrow batch (numpy, see _moments), one row per pattern and
+    #    partition, then added up exactly as decimal(38,0) by Spark.
     xs = [f"({_q(c, decimals.get(c, 0))}) AS _x{i}" for i, c in enumerate(cols)]
-    prepared = df.selectExpr(*[f"`{b}`" for b in by], *xs)
-    mask = " + ".join(f"CASE WHEN _x{i} IS NULL THEN {1 << i} ELSE 0 END" for i in range(k))
-    prepared = prepared.selectExpr("*", f"{mask} AS _mask")
-    sums = ["count(1) AS _n"]
-    sums += [f"sum(CAST(_x{i} AS {INT})) AS _s{i}" for i in range(k)]
-    sums += [f"sum(CAST(_x{i} * _x{j} AS {INT})) AS _p{i}_{j}" for i, j in pairs]
-    patterns = prepared.groupBy(*by, "_mask").agg(*[F.expr(e) for e in sums])
+    prepared = df.selectExpr(*[f"CAST(`{b}` AS STRING) AS `{b}`" for b in by], *xs)
+    out_schema = T.StructType(
+        [T.StructField(b, T.StringType()) for b in by]
+        + [T.StructField("_mask", T.LongType()), T.StructField("_n", T.LongType())]
+        + [T.StructField(f"_s{i}", T.DecimalType(38, 0)) for i in range(k)]
+        + [T.StructField(f"_p{i}_{j}", T.DecimalType(38, 0)) for i, j in pairs]
+    )
+    partial = prepared.mapInPandas(_moments(by, k, pairs), out_schema)
+    sums = ["sum(_n) AS _n"]
+    sums += [f"sum(_s{i}) AS _s{i}" for i in range(k)]
+    sums += [f"sum(_p{i}_{j}) AS _p{i}_{j}" for i, j in pairs]
+    patterns = partial.groupBy(*by, "_mask").agg(*[F.expr(e) for e in sums])
 
     # 2. one row per (group, pattern, pair), kept where both columns are
     #    present, then summed per (group, pair): six sums, one coefficient

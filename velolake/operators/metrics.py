@@ -9,8 +9,7 @@ on a pre-aggregated table whose size is bounded by the number of distinct
 values, not by the number of readings.
 
 Means are exact: values are quantised to the source precision and summed as
-integers (``decimal(38,0)``), and the one division happens in double at the
-end.  The result therefore does not depend on partitioning or row order.
+integers (bigint), and the one division happens in double at the end.  The result therefore does not depend on partitioning or row order.
 """
 
 from __future__ import annotations
@@ -36,12 +35,18 @@ def clean(col: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def quantise(col: str | Column, decimals: int = 0) -> Column:
+    """``col`` as a whole number of ``10**-decimals`` units (bigint), ties
+    rounded up.  ``floor(x + 0.5)`` stays in primitive arithmetic, where
+    ``round`` on a double goes through BigDecimal for every row."""
+    return F.floor(clean(col) * (10**decimals) + 0.5)
+
+
 def quantised_sum(col: str | Column, decimals: int = 0) -> Column:
-    """Exact sum of ``col`` rounded to ``decimals`` places, as an integer
-    count of ``10**-decimals`` units (``decimal(38,0)``; no overflow below
-    10**38)."""
-    c = clean(col)
-    return F.sum(F.round(c * (10**decimals)).cast("decimal(28,0)"))
+    """Exact sum of ``col`` quantised to ``decimals`` places, as an integer
+    count of units (bigint: exact, and an overflow raises under ANSI mode
+    instead of wrapping)."""
+    return F.sum(quantise(col, decimals))
 
 
 def exact_mean(col: str | Column, decimals: int = 0) -> Column:
