@@ -1,0 +1,26 @@
+"""The batch stages end to end on the driver tables."""
+
+import datetime as dt
+import json
+
+from velolake.plans import binding as B
+from velolake.plans import pipeline as P
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_pipeline_end_to_end(spark, scratch):
+    base = scratch("pipeline")
+    out = P.run(spark, B.readings(spark, SF), B.weather(spark, SF), base, dt.date(2024, 1, 20), numTrees=5, maxDepth=4)
+    feats = P.read_features(spark, out["features"])
+    assert feats.count() > 0
+    assert {r.kind for r in feats.select("kind").distinct().collect()} == {"single_bikes", "station_bikes"}
+    docs = spark.read.text(out["documents"]).collect()
+    assert len(docs) == 2
+    doc = json.loads(docs[0].value)
+    assert set(doc) >= {"number_of_bikes", "warmest_day", "correlation_matrix", "weekend_vs_weekday", "weather_over_timestamp"}
+    assert len(doc["correlation_matrix"]) == 225
+    m = spark.read.option("header", "true").csv(out["metrics"]).first()
+    assert float(m.MSE) >= 0
+    for t in ("correlation", "weekend", "hourly"):
+        assert spark.read.option("header", "true").csv(out[t]).count() > 0

@@ -1,0 +1,98 @@
+"""The batch stages end to end (entries 2-4 of the surveyed pipeline).
+
+* :func:`prepare` - two-week readings + weather -> feature table, written
+  once, partitioned by ``kind`` and day (K2 layout ``{base}/{kind}/...``);
+  the written table cuts the lineage for the later stages.
+* :func:`publish_metrics` - the metrics document per kind (K5) and the side
+  tables (K7) from the written feature table.
+* :func:`train_and_evaluate` - hash split (M1), forest (M2), scoring (M3),
+  metrics (M4) written as a one-row CSV (K6), model saved (K8).
+
+Output folders are below ``base``, a shared location (object store / HDFS);
+nothing is written to a machine-local folder.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from velolake.ml import forest as ML
+from velolake.operators import features as FE
+from velolake.operators import metrics as M
+from velolake.operators import sampling as SA
+from velolake.sinks import documents as DOC
+from velolake.sources import csv as CSV
+from velolake.sources import store as ST
+
+
+def prepare(
+    spark: SparkSession,
+    readings: DataFrame,
+    weather: DataFrame,
+    base: str,
+    day: dt.date,
+) -> tuple[str, str]:
+    """Write the feature table of the two weeks ending on ``day``; returns
+    ``(path, date_range)``.  Rows are partitioned by kind and calendar day,
+    so a later stage that needs one kind or a few days prunes the rest."""
+    window = ST.two_week_scan(readings, day)
+    CSV.require_rows(window, "the two-week window")
+    feats = FE.with_kind(FE.build_features(window, weather))
+    rng = M.date_range(feats, by=None).first()
+    date_range = rng.rangeName if rng else day.isoformat()
+    path = f"{base.rstrip('/')}/features/{date_range}"
+    (
+        # not "day": names resolve case-insensitively and "Day" is a feature
+        feats.withColumn("readingDate", F.to_date("timestamp"))
+        .write.mode("overwrite")
+        .partitionBy("kind", "readingDate")
+        .parquet(path)
+    )
+    return path, date_range
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("readingDate")
+
+
+def publish_metrics(spark: SparkSession, features_path: str, base: str, date_range: str) -> dict[str, str]:
+    """K5 + K7 from the written feature table (one scan per output)."""
+    feats = read_features(spark, features_path)
+    out = {"documents": DOC.write_documents(DOC.metrics_document(feats), base, date_range)}
+    out.update(DOC.write_side_tables(feats, f"{base.rstrip('/')}/tables", date_range))
+    return out
+
+
+def train_and_evaluate(
+    spark: SparkSession,
+    features_path: str,
+    base: str,
+    date_range: str,
+    test_share: float = 0.2,
+    **forest_params,
+) -> dict[str, str]:
+    """M1-M4 + K6 + K8; returns the written locations."""
+    feats = read_features(spark, features_path)
+    train, test = SA.split_by_hash(feats, test_share)
+    model = ML.fit(train, **forest_params)
+    model_path = ML.save(model, f"{base.rstrip('/')}/model/{date_range}")
+    scored = ML.score(model, test)
+    metrics_path = CSV.write_csv(
+        ML.regression_metrics(scored), f"{base.rstrip('/')}/model-metrics/{date_range}"
+    )
+    return {"model": model_path, "metrics": metrics_path}
+
+
+def run(spark: SparkSession, readings: DataFrame, weather: DataFrame, base: str, day: dt.date, **forest_params) -> dict[str, str]:
+    """All three stages for the two weeks ending on ``day``."""
+    path, date_range = prepare(spark, readings, weather, base, day)
+    out = {"features": path}
+    out.update(publish_metrics(spark, path, base, date_range))
+    out.update(train_and_evaluate(spark, path, base, date_range, **forest_params))
+    return out
+
+
+__all__ = ["prepare", "publish_metrics", "train_and_evaluate", "run", "read_features"]
