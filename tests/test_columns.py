@@ -33,9 +33,10 @@ def test_station_key(spark):
 
 
 def test_coerce_timestamp(spark):
-    rows = [("2023-09-25T14:50:34.453006",), ("garbage",), ("",), (None,), ("2023-10-19",)]
+    rows = [("2023-09-25T14:50:34.453006",), ("garbage",), ("",), (None,), ("2023-10-19",), ("20230925T145034",), ("2023-13-45",)]
     got = one(spark, C.coerce_timestamp("t"), rows, "t string")
-    assert got == [dt.datetime(2023, 9, 25, 14, 50, 34, 453006), None, None, None, dt.datetime(2023, 10, 19)]
+    assert got == [dt.datetime(2023, 9, 25, 14, 50, 34, 453006), None, None, None, dt.datetime(2023, 10, 19),
+                   dt.datetime(2023, 9, 25, 14, 50, 34), None]
 
 
 def test_weekend_flag(spark):

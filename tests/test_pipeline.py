@@ -24,3 +24,18 @@ def test_pipeline_end_to_end(spark, scratch):
     assert float(m.MSE) >= 0
     for t in ("correlation", "weekend", "hourly"):
         assert spark.read.option("header", "true").csv(out[t]).count() > 0
+
+
+def test_splits_written_and_read_back(spark, scratch):
+    base = scratch("splits")
+    f = B.features(spark, "/root/testdata/sf0.001")
+    path = P.write_splits(f, base, "r")
+    x_train = P.read_split(spark, path, "train", "features")
+    y_train = P.read_split(spark, path, "train", "target")
+    x_test = P.read_split(spark, path, "test", "features")
+    y_test = P.read_split(spark, path, "test", "target")
+    assert x_train.count() + x_test.count() == f.count()
+    assert x_train.join(y_train, "readingId").count() == x_train.count()
+    assert x_test.join(x_train, "readingId").count() == 0
+    assert y_test.columns == ["readingId", "TotalAvailableBikes"]
+    assert x_test.columns[1:] == [c for c in __import__("velolake.schemas", fromlist=["x"]).MODEL_FEATURES]

@@ -39,12 +39,20 @@ def station_key(name: str | Column = "Name", station_id: str | Column = "Station
 
 
 # P5 -------------------------------------------------------------------------
+# Compact ISO-8601 (basic format), which the extended-format cast rejects.
+COMPACT_ISO = "yyyyMMdd'T'HHmmss"
+
+
 def coerce_timestamp(col: str | Column) -> Column:
     """ISO-8601 text -> ``timestamp_ntz``; text that does not parse -> null.
 
-    ``try_cast`` never raises under ANSI mode (``to_timestamp`` would).
+    ``try_cast`` / ``try_to_timestamp`` never raise under ANSI mode
+    (``to_timestamp`` would).  The compact form ``20230925T145034`` is
+    accepted as a second pattern.
     """
-    return _c(col).try_cast("timestamp_ntz")
+    c = _c(col)
+    compact = F.try_to_timestamp(c, F.lit(COMPACT_ISO)).cast("timestamp_ntz")
+    return F.coalesce(c.try_cast("timestamp_ntz"), F.when(F.length(c) == 15, compact))
 
 
 def hour_floor(ts: str | Column) -> Column:

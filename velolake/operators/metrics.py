@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velolake import schemas as S
@@ -150,10 +150,11 @@ def hourly_resample(
     hour between the group's first and last reading is present (gap hours:
     mean null, sum 0), as a calendar resample emits them.
 
-    The aggregate is partial/final by (group, hour).  The hour grid comes
-    from each group's min/max hour, so its size is the time span times the
-    number of groups - independent of the number of readings - and it is
-    joined to the aggregate on (group, hour).
+    One pass: the aggregate is partial/final by (group, hour); gap hours are
+    then filled on that aggregated table (one row per hour that has data):
+    each hour row also emits the empty hours up to the group's next hour
+    with data (``lead`` over the group's hours, bounded by the time span).
+    No second scan of the readings, no join.
     """
     keys = _by(by)
     hour = C.hour_floor(ts)
@@ -161,17 +162,16 @@ def hourly_resample(
         *[exact_mean(m, decimals).alias(m) for m in means],
         *[F.sum(s).alias(s) for s in sums],
     )
-    span = agg.groupBy(*keys).agg(F.min("hour").alias("_lo"), F.max("hour").alias("_hi"))
-    grid = span.select(
+    step = F.expr("INTERVAL 1 HOUR")
+    nxt = F.lead("hour").over(Window.partitionBy(*keys).orderBy("hour"))
+    upto = F.coalesce(F.col("_next") - step, F.col("hour"))
+    filled = agg.withColumn("_next", nxt).withColumn("_h", F.explode(F.sequence(F.col("hour"), upto, step)))
+    present = F.col("_h") == F.col("hour")
+    return filled.select(
         *keys,
-        F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"),
-    )
-    out = grid.join(agg, on=[*keys, "hour"], how="left")
-    return out.select(
-        *keys,
-        "hour",
-        *[F.col(m) for m in means],
-        *[F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in sums],
+        F.col("_h").alias("hour"),
+        *[F.when(present, F.col(m)).alias(m) for m in means],
+        *[F.when(present, F.col(s)).otherwise(F.lit(0)).cast("long").alias(s) for s in sums],
     )
 
 
@@ -223,17 +223,45 @@ def poll_counts(df: DataFrame, ts: str = "timestamp", slot_minutes: int | None =
 
 
 # A10 ------------------------------------------------------------------------
-def metrics_pack(df: DataFrame, by=("kind",)) -> DataFrame:
-    """The scalar dashboard metrics of each group in one row: A1, A2 and
-    the row count in one aggregate, A3 and A4 from their pre-aggregated
-    tables, joined on the group key (one row per group on every side)."""
+def metrics_pack(df: DataFrame, by=("kind",), ts: str = "timestamp", slot_minutes: int = 10) -> DataFrame:
+    """The scalar dashboard metrics of each group in one row (A1-A4, A10).
+
+    One scan: a single ``GROUPING SETS`` aggregate (Expand + partial/final
+    hash aggregate) counts rows per group, per (group, station), per
+    (group, temperature) and per (group, poll slot), keeping the earliest
+    timestamp.  Each grouping set is small (stations, distinct temperatures,
+    slots); the metrics are then picked from that table in one more
+    aggregate keyed by the group.
+    """
     keys = _by(by)
-    scalars = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("stationId").alias("numStations"),
-        F.max(clean("Temperature")).alias("warmestTemperature"),
-        F.min(clean("Temperature")).alias("coldestTemperature"),
+    temp = clean("Temperature")
+    slot = C.slot_floor(ts, slot_minutes)
+    base = df.select(
+        *keys,
+        F.col("stationId").alias("_st"),
+        F.when(F.col(ts).isNotNull(), temp).alias("_v"),
+        slot.alias("_b"),
+        F.col(ts).alias("_t"),
+    )
+    sets = [keys, [*keys, "_st"], [*keys, "_v"], [*keys, "_b"]]
+    parts = base.groupingSets(sets, *keys, "_st", "_v", "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"), F.grouping_id().alias("_g")
+    )
+    extra = len(["_st", "_v", "_b"])
+    gid = {name: ((1 << extra) - 1) ^ (1 << (extra - 1 - i)) for i, name in enumerate(["_st", "_v", "_b"])}
+    is_rows = F.col("_g") == (1 << extra) - 1
+    is_st = (F.col("_g") == gid["_st"]) & F.col("_st").isNotNull()
+    is_v = (F.col("_g") == gid["_v"]) & F.col("_v").isNotNull()
+    is_b = (F.col("_g") == gid["_b"]) & F.col("_b").isNotNull()
+    warm = F.min(F.when(is_v, F.struct((-F.col("_v")).alias("v"), F.col("_t").alias("t"))))
+    cold = F.min(F.when(is_v, F.struct(F.col("_v").alias("v"), F.col("_t").alias("t"))))
+    busy = F.min(F.when(is_b, F.struct((-F.col("_n")).alias("negN"), F.col("_b").alias("b"))))
+    return parts.groupBy(*keys).agg(
+        F.sum(F.when(is_rows, F.col("_n"))).alias("rows"),
+        F.count(F.when(is_st, F.lit(1))).alias("numStations"),
+        F.max(F.when(is_v, F.col("_v"))).alias("warmestTemperature"),
+        F.min(F.when(is_v, F.col("_v"))).alias("coldestTemperature"),
+        warm.getField("t").alias("warmestDay"),
+        cold.getField("t").alias("coldestDay"),
+        busy.getField("b").alias("busiestTime"),
     )
-    days = extreme_days(df, keys)
-    busy = busiest_timestamp(df, keys).select(*keys, "busiestTime")
-    return scalars.join(days, keys, "left").join(busy, keys, "left")

@@ -66,6 +66,32 @@ def publish_metrics(spark: SparkSession, features_path: str, base: str, date_ran
     return out
 
 
+SPLITS = ("train", "test")
+PARTS = ("features", "target")
+
+
+def write_splits(features: DataFrame, base: str, date_range: str, test_share: float = 0.2, key: str = "readingId") -> str:
+    """M1 + P11 + K2: the four parts (train/test x features/target), each
+    as parquet under ``{path}/split=<s>/part=<p>``.  Both parts keep the row
+    key, so features and target are joined by key, never by row order.
+    The input should be a written table (as :func:`prepare` produces): each
+    part is one scan of it."""
+    from velolake import schemas as S
+
+    train, test = SA.split_by_hash(features, test_share, key)
+    path = f"{base.rstrip('/')}/splits/{date_range}"
+    for split, df in zip(SPLITS, (train, test)):
+        target, feats = FE.split_target(df, S.LABEL, key)
+        FE.select_features(feats, keep=[key]).write.mode("overwrite").parquet(f"{path}/split={split}/part=features")
+        target.write.mode("overwrite").parquet(f"{path}/split={split}/part=target")
+    return path
+
+
+def read_split(spark: SparkSession, path: str, split: str, part: str) -> DataFrame:
+    """Load one of the four parts from its folder."""
+    return spark.read.parquet(f"{path}/split={split}/part={part}")
+
+
 def train_and_evaluate(
     spark: SparkSession,
     features_path: str,
