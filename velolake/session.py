@@ -23,6 +23,10 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state (dedupe keys, open windows) kept off-heap in RocksDB
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

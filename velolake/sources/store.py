@@ -12,7 +12,9 @@ from velolake.functions import columns as C
 
 
 def _ntz(value: dt.datetime):
-    return F.lit(value).cast("timestamp_ntz")
+    """A ``timestamp_ntz`` literal from ISO text: independent of the Python
+    and session time zones (a naive ``datetime`` literal is not)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def time_window(

@@ -84,7 +84,8 @@ def day_window(
     the timestamp, so parquet row groups are skipped by min/max stats)."""
     lo = dt.datetime.combine(start, dt.time())
     hi = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
-    return df.where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
+    lo_, hi_ = (F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (lo, hi))
+    return df.where((F.col(ts) >= lo_) & (F.col(ts) < hi_))
 
 
 def weather_window_for_day(df: DataFrame, today: dt.date, days: int = S.WINDOW_DAYS, ts: str = "Time") -> DataFrame:
