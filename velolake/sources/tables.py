@@ -54,8 +54,11 @@ def station_id_expr() -> Column:
     )
 
 
+MAX_BIKES = 24
+
+
 def available_bikes_expr() -> Column:
-    return (F.floor(F.col("value")) % 25).cast("int")
+    return (F.floor(F.col("value")) % (MAX_BIKES + 1)).cast("int")
 
 
 def readings_from_events(ev: DataFrame) -> DataFrame:
@@ -63,12 +66,13 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
     IsOpen Long Lat Distance``.  ``readingId`` (the event id) doubles as the
     ingest sequence number and as the stable row key."""
     n = available_bikes_expr()
+    ev = ev.withColumn("_n", n).withColumn("_style", bike_id_style())
     return ev.select(
         F.col("event_id").alias("readingId"),
         station_id_expr().alias("stationId"),
         F.col("ts").alias("timestamp"),
         n.alias("AvailableBikes"),
-        C.list_literal(n, bike_id_style()).alias("BikeIds"),
+        C.list_literal_bounded("_n", "_style", MAX_BIKES).alias("BikeIds"),
         (F.col("event_type") != "signup").alias("IsOpen"),
         ((F.lit(11970) + F.col("user_id") % 100).cast("double") / 1000.0).alias("Long"),
         ((F.lit(57700) + F.col("user_id") % 50).cast("double") / 1000.0).alias("Lat"),
