@@ -82,3 +82,26 @@ def test_haversine(spark):
     got = one(spark, C.haversine_m("lat", "lon", 57.7089, 11.9746), [(57.7089, 11.9746), (57.7179, 11.9746)], "lat double, lon double")
     assert got[0] == 0.0
     assert abs(got[1] - 1000.8) < 1.0  # 0.009 degrees of latitude
+
+
+def test_list_literal_bounded_equals_general(spark):
+    styles = F.array(*[F.lit(s) for s in C.LIST_STYLES])
+    df = spark.range(0, 31).select(F.col("id").cast("int").alias("n"), F.explode(styles).alias("st"))
+    out = df.select(
+        C.list_literal_bounded("n", "st", 24).alias("a"), C.list_literal("n", F.col("st")).alias("b")
+    ).collect()
+    assert all(r.a == r.b for r in out)
+
+
+def test_window_literals_ignore_session_zone(spark):
+    from velolake.sources import store as ST
+
+    rows = [(dt.datetime(2024, 1, 6, 0, 0),), (dt.datetime(2024, 1, 5, 23, 59),), (dt.datetime(2024, 1, 20, 23, 0),)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert ST.two_week_scan(df, dt.date(2024, 1, 20)).count() == 2, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
