@@ -15,11 +15,20 @@ def test_pipeline_end_to_end(spark, scratch):
     feats = P.read_features(spark, out["features"])
     assert feats.count() > 0
     assert {r.kind for r in feats.select("kind").distinct().collect()} == {"single_bikes", "station_bikes"}
-    docs = spark.read.text(out["documents"]).collect()
-    assert len(docs) == 2
-    doc = json.loads(docs[0].value)
-    assert set(doc) >= {"number_of_bikes", "warmest_day", "correlation_matrix", "weekend_vs_weekday", "weather_over_timestamp"}
-    assert len(doc["correlation_matrix"]) == 225
+    docs = [spark.read.text(out[f"document_{k}"]).collect() for k in ("station_bikes", "single_bikes")]
+    assert [len(d) for d in docs] == [1, 1]
+    doc = json.loads(docs[0][0].value)
+    assert list(doc) == [
+        "number_of_bikes_available", "warmest_temperature", "coldest_temperature", "coldest_day",
+        "warmest_day", "day_with_most_used_bikes", "correlation_matrix", "weekend_vs_weekday",
+        "weather_over_timestamp",
+    ]
+    assert len(doc["correlation_matrix"]) == 15 and list(doc["correlation_matrix"][0])[0] == "AvailableBikes"
+    assert doc["correlation_matrix"][0]["AvailableBikes"] == 1.0
+    assert [r["IsWeekend"] for r in doc["weekend_vs_weekday"]] == ["Weekdays", "Weekend"]
+    hours = [r["timestamp"] for r in doc["weather_over_timestamp"]]
+    assert hours == sorted(hours) and set(doc["weather_over_timestamp"][0]) == {
+        "timestamp", "Humidity", "Wind_Speed", "Temperature", "TotalAvailableBikes"}
     m = spark.read.option("header", "true").csv(out["metrics"]).first()
     assert float(m.MSE) >= 0
     for t in ("correlation", "weekend", "hourly"):

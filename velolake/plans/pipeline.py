@@ -61,7 +61,8 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 def publish_metrics(spark: SparkSession, features_path: str, base: str, date_range: str) -> dict[str, str]:
     """K5 + K7 from the written feature table (one scan per output)."""
     feats = read_features(spark, features_path)
-    out = {"documents": DOC.write_documents(DOC.metrics_document(feats), base, date_range)}
+    docs = DOC.write_documents(DOC.metrics_document(feats), f"{base.rstrip('/')}/graphs", date_range)
+    out = {f"document_{k}": v for k, v in docs.items()}
     out.update(DOC.write_side_tables(feats, f"{base.rstrip('/')}/tables", date_range))
     return out
 

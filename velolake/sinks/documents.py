@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velolake import schemas as S
 from velolake.functions import columns as C
 from velolake.operators import correlation as CORR
 from velolake.operators import metrics as M
@@ -24,10 +25,11 @@ def _text(col: str) -> F.Column:
     return F.col(col).cast("string")
 
 
-def _records(df: DataFrame, order: list[str], by: str = "kind") -> DataFrame:
-    fields = [c for c in df.columns if c != by]
-    rec = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in fields if c not in order])
-    return df.groupBy(by).agg(F.sort_array(F.collect_list(rec)).alias("rows"))
+def _ordered_records(df: DataFrame, pos: F.Column, fields: list[str], by: str = "kind") -> DataFrame:
+    """Per ``by``: the rows as a list of records (``fields`` in this order),
+    sorted by ``pos``."""
+    rec = F.struct(pos.alias("_pos"), F.struct(*[F.col(c) for c in fields]).alias("_rec"))
+    return df.groupBy(by).agg(F.transform(F.sort_array(F.collect_list(rec)), lambda x: x["_rec"]).alias("rows"))
 
 
 def metrics_tables(features: DataFrame) -> dict[str, DataFrame]:
@@ -39,31 +41,53 @@ def metrics_tables(features: DataFrame) -> dict[str, DataFrame]:
 
 
 def metrics_document(features: DataFrame) -> DataFrame:
-    """``(kind, document)``: the nine metrics of one kind as one JSON text."""
+    """``(kind, document)``: the nine metrics of one kind as one JSON text,
+    keyed and shaped as the dashboard reads them: scalars as text, tables
+    as lists of records (the correlation matrix one record per row, in
+    column order; gap hours with null means)."""
+    cols = list(S.CORRELATION_COLUMNS)
     pack = M.metrics_pack(features)
     scalars = pack.select(
         "kind",
-        _text("numStations").alias("number_of_bikes"),
+        _text("numStations").alias("number_of_bikes_available"),
         _text("warmestTemperature").alias("warmest_temperature"),
         _text("coldestTemperature").alias("coldest_temperature"),
-        C.timestamp_text("warmestDay").alias("warmest_day"),
         C.timestamp_text("coldestDay").alias("coldest_day"),
+        C.timestamp_text("warmestDay").alias("warmest_day"),
         C.timestamp_text("busiestTime").alias("day_with_most_used_bikes"),
     )
     t = metrics_tables(features)
-    corr = _records(t["correlation"], ["colA", "colB"]).withColumnRenamed("rows", "correlation_matrix")
-    week = _records(t["weekend"], ["dayType"]).withColumnRenamed("rows", "weekend_vs_weekday")
-    hour = _records(t["hourly"], ["hour"]).withColumnRenamed("rows", "weather_over_timestamp")
+    wide = CORR.correlation_wide(t["correlation"], cols)
+    names = F.array(*[F.lit(c) for c in cols])
+    corr = _ordered_records(wide, F.array_position(names, F.col("colA")), cols).withColumnRenamed(
+        "rows", "correlation_matrix"
+    )
+    week = t["weekend"].select(
+        "kind",
+        F.col("dayType").alias("IsWeekend"),
+        F.col("meanAvailableBikes").alias("AvailableBikes"),
+    )
+    week = _ordered_records(week, F.col("IsWeekend"), ["IsWeekend", "AvailableBikes"]).withColumnRenamed(
+        "rows", "weekend_vs_weekday"
+    )
+    hourly = t["hourly"].withColumnRenamed("hour", "timestamp")
+    hour = _ordered_records(
+        hourly, F.col("timestamp"), ["timestamp", "Humidity", "Wind_Speed", "Temperature", S.LABEL]
+    ).withColumnRenamed("rows", "weather_over_timestamp")
     doc = scalars.join(corr, "kind", "left").join(week, "kind", "left").join(hour, "kind", "left")
     body = F.struct(*[F.col(c) for c in doc.columns if c != "kind"])
     return doc.select("kind", F.to_json(body, JSON_OPTIONS).alias("document"))
 
 
-def write_documents(docs: DataFrame, base: str, date_range: str) -> str:
-    """K5: ``{base}/{kind}/{range}/`` holds the kind's document as text."""
-    path = f"{base.rstrip('/')}/documents/{date_range}"
-    docs.select("kind", "document").write.mode("overwrite").partitionBy("kind").text(path)
-    return path
+def write_documents(docs: DataFrame, base: str, date_range: str, kinds=(S.KIND_STATION, S.KIND_SINGLE)) -> dict[str, str]:
+    """K5: ``{base}/{kind}/{range}/`` holds the kind's document (one line of
+    JSON; one small file per kind)."""
+    out = {}
+    for kind in kinds:
+        path = f"{base.rstrip('/')}/{kind}/{date_range}"
+        docs.where(F.col("kind") == kind).select("document").coalesce(1).write.mode("overwrite").text(path)
+        out[kind] = path
+    return out
 
 
 def write_side_tables(features: DataFrame, base: str, date_range: str) -> dict[str, str]:
