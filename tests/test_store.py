@@ -79,3 +79,14 @@ def test_within_radius(spark):
     got = {r.stationId for r in ST.within_radius(df, radius_m=3100.0).collect()}
     assert got == {"near", "3km"}
     assert {r.stationId for r in ST.within_radius(df).collect()} == {"near", "3km"}  # 30 km
+
+
+def test_window_prunes_day_partitions(spark, scratch):
+    path = scratch("store")
+    rows = [("s", dt.datetime(2023, 10, d, 12), d) for d in range(1, 31)]
+    df = spark.createDataFrame(rows, "stationId string, timestamp timestamp_ntz, AvailableBikes int")
+    DD.write_partitions(df.withColumn("readingDate", F.to_date("timestamp")), path, ["readingDate"])
+    scan = ST.two_week_scan(spark.read.parquet(path), dt.date(2023, 10, 20), date_col="readingDate")
+    assert sorted(r.AvailableBikes for r in scan.collect()) == list(range(6, 21))
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(readingDate" in plan

@@ -24,31 +24,38 @@ def time_window(
     upper_days: int = 1,
     ts: str = "timestamp",
     text: bool = False,
+    date_col: str | None = None,
 ) -> DataFrame:
     """``date(day) - lower_days <= ts < date(day) + upper_days``.
 
     Offsets may be negative (F2: ``lower_days=15, upper_days=-1``).  On typed
     timestamps the bounds are ``timestamp_ntz`` literals so the predicate is
     pushed into the parquet scan; ``text=True`` compares ISO text the way the
-    keyed store does (same result for ISO-8601 values).
+    keyed store does (same result for ISO-8601 values).  ``date_col`` names
+    a day partition column of the stored table (written by
+    ``dedupe.write_partitions``): the same range on it prunes whole
+    partitions before any file is opened.
     """
     d = day.date() if isinstance(day, dt.datetime) else day
     lo = dt.datetime.combine(d - dt.timedelta(days=lower_days), dt.time())
     hi = dt.datetime.combine(d + dt.timedelta(days=upper_days), dt.time())
     c = F.col(ts)
+    if date_col:
+        d_lo, d_hi = (F.lit(x.date().isoformat()).cast("date") for x in (lo, hi))
+        df = df.where((F.col(date_col) >= d_lo) & (F.col(date_col) <= d_hi))
     if text:
         return df.where((c >= F.lit(lo.date().isoformat())) & (c < F.lit(hi.date().isoformat())))
     return df.where((c >= _ntz(lo)) & (c < _ntz(hi)))
 
 
-def two_week_scan(df: DataFrame, day: dt.date | dt.datetime, ts: str = "timestamp") -> DataFrame:
+def two_week_scan(df: DataFrame, day: dt.date | dt.datetime, ts: str = "timestamp", date_col: str | None = None) -> DataFrame:
     """The export window ``[day - 14, day + 1)``."""
-    return time_window(df, day, 14, 1, ts)
+    return time_window(df, day, 14, 1, ts, date_col=date_col)
 
 
-def two_week_scan_alt(df: DataFrame, day: dt.date | dt.datetime, ts: str = "timestamp") -> DataFrame:
+def two_week_scan_alt(df: DataFrame, day: dt.date | dt.datetime, ts: str = "timestamp", date_col: str | None = None) -> DataFrame:
     """the variant window ``[day - 15, day - 1)``."""
-    return time_window(df, day, 15, -1, ts)
+    return time_window(df, day, 15, -1, ts, date_col=date_col)
 
 
 def within_radius(
