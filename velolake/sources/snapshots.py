@@ -17,7 +17,7 @@ def read_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("multiLine", "true")
         .schema(S.STATION_SCHEMA)
         .json(path)
-        .withColumn("pollFile", F.input_file_name())
+        .withColumn("pollFile", F.col("_metadata.file_path"))
     )
     return raw
 
