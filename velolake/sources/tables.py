@@ -35,7 +35,17 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark, spark.read.parquet(table_path(sf_dir, name)))
+
+
+def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (a small file with one row group) round-robin over the cores.  A large
+    table already has more splits than cores and is returned unchanged, so
+    this adds no shuffle at scale.  Filters and column pruning still reach
+    the scan below the repartition."""
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
