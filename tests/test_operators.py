@@ -186,3 +186,21 @@ def test_sample_and_head(spark):
     assert len(s1) == 50 and sorted(s1) == sorted(s2)
     assert SA.sample_n(df, 5000).count() == 1000
     assert [r.readingId for r in SA.head(df.repartition(4), 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_empty_inputs(spark):
+    from velolake.ml import forest as ML
+    from velolake.operators import dedupe as DD
+
+    empty = metric_rows(spark).limit(0)
+    assert M.metrics_pack(empty).count() == 0
+    assert M.extreme_days(empty).count() == 0
+    assert M.busiest_timestamp(empty).count() == 0
+    assert M.hourly_resample(empty.withColumn("Humidity", F.lit(1.0)).withColumn("Wind_Speed", F.lit(1.0)).withColumn(S.LABEL, F.lit(1)).limit(0)).count() == 0
+    cols = ["Temperature", "AvailableBikes"]
+    assert CORR.correlation_long(empty, cols, decimals={c: 2 for c in cols}).count() == 0
+    ids = spark.range(0).withColumnRenamed("id", "readingId")
+    assert SA.sample_n(ids, 10).count() == 0
+    assert DD.latest_per_key(empty, ["stationId"], "timestamp").count() == 0
+    m = ML.regression_metrics(spark.createDataFrame([], "TotalAvailableBikes int, prediction int")).first()
+    assert m.n == 0 and m.MAE is None and m.R2 is None
