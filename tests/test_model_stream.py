@@ -48,6 +48,12 @@ def test_forest_fit_score_save_load(spark, scratch):
     a = sorted((r.readingId, r.prediction) for r in scored.collect())
     b = sorted((r.readingId, r.prediction) for r in again.collect())
     assert a == b
+    # P15 + M3: one row built from named values, scored by the loaded model
+    row = ML.scoring_row(spark, IsOpen=True, Long=11.97, Lat=57.7, Year=2024, Month=1, Day=8, Hour=10,
+                         Minute=5, Temperature=3.0, Humidity=80.0, Wind_Speed=4.0, Precipitation=0.0,
+                         Visibility=None, Snowfall=0.0, IsWeekend=0)
+    one = ML.score(ML.load(path), row, keep=()).first()
+    assert one.prediction >= 0 and one.predictedBikes == round(one.prediction)
 
 
 def test_forest_learns_a_signal(spark):

@@ -132,3 +132,27 @@ def test_weather_windows(spark):
     readings = spark.createDataFrame([(dt.datetime(2024, 1, 5, 3),), (dt.datetime(2024, 1, 9, 23),)], "timestamp timestamp_ntz")
     days = sorted(r.Time.day for r in WX.weather_window_of_readings(w, readings).collect())
     assert days == [5, 6, 7, 8, 9]
+
+
+def test_read_landed_weather_responses(spark, scratch):
+    import os
+
+    path = scratch("weather").replace("file://", "").replace("file:", "")
+    os.makedirs(path, exist_ok=True)
+    body = {"latitude": 57.7, "hourly": {
+        "time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.0, 2.0],
+        "relativehumidity_2m": [90.0, 91.0], "windspeed_10m": [3.0, 4.0], "precipitation": [0.0, 0.5],
+        "visibility": [24140.0, None], "snowfall": [0.0, 0.0]}}
+    with open(f"{path}/day1.json", "w") as fh:
+        json.dump(body, fh, indent=2)  # pretty-printed, as an HTTP body lands
+    flat = WX.rename_weather(WX.explode_hourly(WX.read_weather_responses(spark, path)))
+    rows = flat.orderBy("timestamp").collect()
+    assert [r.Temperature for r in rows] == [1.0, 2.0] and rows[1].Visibility is None
+
+
+def test_csv_inferred_types(spark, scratch):
+    path = scratch("csv3")
+    CSV.write_csv(spark.createDataFrame([("a", 1, 2.5), ("b", None, None)], "k string, n int, x double"), path)
+    df = CSV.read_csv(spark, path, infer=True)
+    assert dict(df.dtypes) == {"k": "string", "n": "int", "x": "double"}
+    assert {r.k: (r.n, r.x) for r in df.collect()} == {"a": (1, 2.5), "b": (None, None)}
