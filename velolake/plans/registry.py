@@ -184,11 +184,11 @@ FROM readings"""
 
 def station_key(spark, sf):
     ev = B.events(spark, sf)
-    rot = F.col("event_id") % 3
-    name = F.when(rot == 0, F.lit(None).cast("string")).when(rot == 1, F.lit("")).otherwise(
-        F.concat(F.lit("Stop "), F.col("user_id").cast("string"))
+    items = ev.select(
+        F.col("event_id").alias("readingId"),
+        TB.station_name_expr().alias("Name"),
+        TB.station_id_expr().alias("StationId"),
     )
-    items = ev.select(F.col("event_id").alias("readingId"), name.alias("Name"), TB.station_id_expr().alias("StationId"))
     return items.select("readingId", "Name", C.station_key().alias("stationId"))
 
 

@@ -90,15 +90,21 @@ def readings_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def station_name_expr() -> Column:
+    """The station ``Name`` as the API sends it: missing, empty or a text,
+    in rotation by event id (so the key fallback P2 is exercised)."""
+    rot = F.col("event_id") % 3
+    return F.when(rot == 0, F.lit(None).cast("string")).when(rot == 1, F.lit("")).otherwise(
+        F.concat(F.lit("Stop "), F.col("user_id").cast("string"))
+    )
+
+
 def snapshot_text_from_events(ev: DataFrame) -> DataFrame:
     """Each event rendered as the station API renders one station: a JSON
     list holding the station object (``BikeIds`` as a real array).  ``Name``
     is null / empty / text in rotation so the key fallback is exercised."""
     n = available_bikes_expr()
-    rot = F.col("event_id") % 3
-    name = F.when(rot == 0, F.lit(None).cast("string")).when(rot == 1, F.lit("")).otherwise(
-        F.concat(F.lit("Stop "), F.col("user_id").cast("string"))
-    )
+    name = station_name_expr()
     station = F.struct(
         station_id_expr().alias("StationId"),
         name.alias("Name"),
