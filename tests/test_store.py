@@ -90,3 +90,17 @@ def test_window_prunes_day_partitions(spark, scratch):
     assert sorted(r.AvailableBikes for r in scan.collect()) == list(range(6, 21))
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(readingDate" in plan
+
+
+def test_upsert_into_partitioned_store(spark, scratch):
+    path = scratch("kv")
+    schema = "stationId string, timestamp timestamp_ntz, AvailableBikes int, seq long"
+
+    def batch(rows):
+        return spark.createDataFrame(rows, schema).withColumn("readingDate", F.to_date("timestamp"))
+
+    t1, t2 = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 2, 10)
+    DD.upsert_into(spark, path, batch([("s1", t1, 1, 1), ("s2", t1, 2, 1), ("s1", t2, 3, 1)]), ["stationId", "timestamp"], "seq", "readingDate")
+    DD.upsert_into(spark, path, batch([("s1", t2, 9, 2), ("s3", t2, 4, 2), ("s1", t2, 7, 1)]), ["stationId", "timestamp"], "seq", "readingDate")
+    got = {(r.stationId, r.timestamp): r.AvailableBikes for r in spark.read.parquet(path).collect()}
+    assert got == {("s1", t1): 1, ("s2", t1): 2, ("s1", t2): 9, ("s3", t2): 4}

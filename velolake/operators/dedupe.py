@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velolake.session import checkpoint_root
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """One row per ``keys``: the row with the largest ``seq`` (rows with a
@@ -41,3 +44,32 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt:
         .save(path)
     )
     return path
+
+
+def upsert_into(
+    spark,
+    path: str,
+    updates: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    date_col: str,
+) -> str:
+    """K1 against a stored table partitioned by ``date_col``: only the days
+    present in ``updates`` are read (partition pruning), merged with the
+    updates (last write wins per key) and rewritten (dynamic partition
+    overwrite); all other days are untouched.
+
+    The merged rows are checkpointed into the session's shared checkpoint
+    folder first: the table cannot be overwritten while the plan still
+    reads it, and the checkpoint also cuts the lineage.  The list of days is
+    collected to the driver - one value per day, bounded by the calendar.
+    """
+    days = [r[0] for r in updates.select(date_col).distinct().collect()]
+    try:
+        existing = spark.read.parquet(path).where(F.col(date_col).isin(days))
+    except AnalysisException:  # no table yet
+        existing = None
+    merged = updates if existing is None else existing.unionByName(updates)
+    merged = latest_per_key(merged, [*keys, date_col], seq)
+    checkpoint_root(spark)
+    return write_partitions(merged.checkpoint(eager=True), path, [date_col])
