@@ -10,9 +10,8 @@ higher = later).  Three streams:
 * :func:`start_hourly` - tumbling one-hour windows (A7 as a stream), append
   mode: a window is written once the watermark has passed its end.
 * :func:`start_upsert` - strict last-write-wins (K1): every micro-batch is
-  reduced to one row per key and written to its own ``batch=N`` partition
-  (dynamic overwrite, so a replayed batch rewrites the same files);
-  :func:`read_latest` resolves the winner at read time.
+  merged into a store partitioned by reading day (only touched days are
+  rewritten; a replayed batch gives the same result).
 
 Checkpoints live under the session's shared checkpoint folder.
 """
@@ -25,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from velolake.functions import columns as C
-from velolake.operators.dedupe import latest_per_key
+from velolake.operators.dedupe import upsert_into
 from velolake.sources.snapshots import flatten_snapshot_text, snapshot_to_items
 
 LANDED_SCHEMA = T.StructType(
@@ -128,29 +127,24 @@ def start_upsert(
     checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Strict last-write-wins: per micro-batch one row per key (the latest
-    delivery), written to ``sink/batch=N`` with dynamic partition overwrite
-    so a retried batch is idempotent."""
+    """Strict last-write-wins (K1) into a store partitioned by reading day:
+    every micro-batch is merged with :func:`dedupe.upsert_into` (only the
+    days it touches are read and rewritten).  A replayed batch merges the
+    same rows again and yields the same winners, so retries are idempotent."""
     landed = read_landed(spark, landing)
     stations = flatten_snapshot_text(landed, keep=["pollId", "polledAt", "landedSeq"])
     stations = stations.withColumn("polledAt", C.coerce_timestamp("polledAt"))
-    seq = F.struct("landedSeq", "pollId")
     keyed = stations.select(
         C.station_key("Name", "StationId").alias("stationId"),
         C.as_text("polledAt", "timestamp_ntz").alias("timestamp"),
-        seq.alias("_seq"),
+        F.struct("landedSeq", "pollId").alias("_seq"),
         C.as_text("AvailableBikes").alias("AvailableBikes"),
         C.as_text("IsOpen", "boolean").alias("IsOpen"),
+        F.to_date("polledAt").alias("readingDate"),
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, KEY, "_seq").withColumn("batch", F.lit(batch_id))
-        (
-            latest.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(sink)
-        )
+        upsert_into(batch.sparkSession, sink, batch, KEY, "_seq", "readingDate")
 
     writer = keyed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 minutes")
@@ -158,8 +152,5 @@ def start_upsert(
 
 
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
-    """Merge-on-read of :func:`start_upsert`'s output: the row of the latest
-    batch (then the latest delivery) wins per key."""
-    df = spark.read.parquet(sink)
-    ordered = df.withColumn("_order", F.struct("batch", "_seq"))
-    return latest_per_key(ordered.drop("batch", "_seq"), KEY, "_order").drop("_order")
+    """The store written by :func:`start_upsert`: one row per key."""
+    return spark.read.parquet(sink).drop("_seq", "readingDate")
