@@ -4,13 +4,13 @@ import datetime as dt
 import json
 
 from velolake.plans import binding as B
-from velolake.plans import pipeline as P
+from velolake.plans import stages as P
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_pipeline_end_to_end(spark, scratch):
-    base = scratch("pipeline")
+def test_stages_end_to_end(spark, scratch):
+    base = scratch("stages")
     out = P.run(spark, B.readings(spark, SF), B.weather(spark, SF), base, dt.date(2024, 1, 20), numTrees=5, maxDepth=4)
     feats = P.read_features(spark, out["features"])
     assert feats.count() > 0

@@ -1,4 +1,4 @@
-"""The batch stages end to end (entries 2-4 of the surveyed pipeline).
+"""The batch stages end to end (entries 2-4 of the surveyed system).
 
 * :func:`prepare` - two-week readings + weather -> feature table, written
   once, partitioned by ``kind`` and day (K2 layout ``{base}/{kind}/...``);

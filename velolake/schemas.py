@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values (must stay equal to the surveyed pipeline for equal results).
+# Fixed values (must stay equal to the surveyed system for equal results).
 # ---------------------------------------------------------------------------
 
 # Weather source field names, in the order the source lists them, and the
