@@ -38,6 +38,24 @@ LANDED_SCHEMA = T.StructType(
 KEY = ["stationId", "timestamp"]
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start ``writer`` with ``state_partitions`` state-store partitions.
+
+    A stateful stream fixes its partition count from
+    ``spark.sql.shuffle.partitions`` when it first starts (then the
+    checkpoint keeps it), and every micro-batch commits every partition's
+    state.  The default is the cluster's core count; the session setting is
+    restored right after the start (the query keeps its own copy)."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def land_snapshots(snaps: DataFrame, path: str, landed_seq: int = 0) -> str:
     """Write snapshots (``pollId, polledAt, payload``) as JSON lines, one
     delivery (appended files) per call."""
@@ -74,6 +92,7 @@ def start_ingest(
     watermark: str = "30 minutes",
     available_now: bool = True,
     processing_time: str = "10 minutes",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Dedupe re-delivered readings within ``watermark`` and append them to
     parquet at ``sink``.  ``available_now`` processes what has landed and
@@ -89,7 +108,7 @@ def start_ingest(
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _start(writer, spark, state_partitions)
 
 
 def start_hourly(
@@ -99,6 +118,7 @@ def start_hourly(
     checkpoint: str,
     watermark: str = "10 minutes",
     available_now: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Readings and available bikes per event-time hour, appended once the
     hour is closed by the watermark."""
@@ -117,7 +137,7 @@ def start_hourly(
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 minutes")
-    return writer.start()
+    return _start(writer, spark, state_partitions)
 
 
 def start_upsert(
