@@ -43,7 +43,7 @@ def duck():
 def test_contract():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 45
+    assert len(q) >= 49
     assert set(q) - set(o) == {"metrics_document", "forest_predictions"}
 
 
