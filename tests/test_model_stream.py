@@ -116,3 +116,9 @@ def test_stream_upsert_last_delivery_wins(spark, scratch):
     assert out.count() == ev.count()
     got = sorted(int(r.AvailableBikes) for r in out.collect())
     assert got == sorted(r.AvailableBikes for r in want.collect())
+
+
+def test_task_memory_sizing(spark):
+    assert ML._mb("1g") == 1024 and ML._mb("512m") == 512 and ML._mb("2048") == 2048 and ML._mb("4gb") == 4096
+    mb = ML.task_memory_mb(spark)
+    assert 16 <= mb <= 256
