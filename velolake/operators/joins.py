@@ -3,7 +3,8 @@
 The weather side has one row per hour, so its size is bounded by the time
 span, never by the number of readings.  It is still broadcast only after its
 row count has been checked against ``max_rows``; above the bound the join is
-left to the planner (sort-merge / AQE), which never fails on size.
+left to the planner (sort-merge / AQE), which never fails on size, and AQE's
+skew-join handling splits an hour that holds an outsized share of readings.
 """
 
 from __future__ import annotations

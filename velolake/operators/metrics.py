@@ -1,6 +1,6 @@
 """Dashboard metrics over the feature table.
 
-Every metric is one hash aggregate keyed by ``by`` (default: the station
+Every metric is a hash aggregate keyed by ``by`` (default: the station
 ``kind``), so Spark combines map-side before the shuffle: a kind or station
 that holds a third of all rows is reduced inside each map task and never
 reaches one reducer whole.  Tie-breaks that need a composite ordering
@@ -9,7 +9,8 @@ on a pre-aggregated table whose size is bounded by the number of distinct
 values, not by the number of readings.
 
 Means are exact: values are quantised to the source precision and summed as
-integers (bigint), and the one division happens in double at the end.  The result therefore does not depend on partitioning or row order.
+integers (bigint), and the one division happens in double at the end.  The
+result therefore does not depend on partitioning or row order.
 """
 
 from __future__ import annotations
