@@ -104,3 +104,14 @@ def test_upsert_into_partitioned_store(spark, scratch):
     DD.upsert_into(spark, path, batch([("s1", t2, 9, 2), ("s3", t2, 4, 2), ("s1", t2, 7, 1)]), ["stationId", "timestamp"], "seq", "readingDate")
     got = {(r.stationId, r.timestamp): r.AvailableBikes for r in spark.read.parquet(path).collect()}
     assert got == {("s1", t1): 1, ("s2", t1): 2, ("s1", t2): 9, ("s3", t2): 4}
+
+
+def test_upsert_unique_seq_form_agrees(spark):
+    rows = [("s1", 1, 5, 1, "a"), ("s1", 1, 7, 3, "b"), ("s1", 1, 6, 2, "c"), ("s2", 1, 1, 4, "d"), ("s1", 2, 9, 5, "e")]
+    df = spark.createDataFrame(rows, "stationId string, ts int, bikes int, seq int, tag string")
+    a = sorted(map(tuple, DD.latest_per_key(df, ["stationId", "ts"], "seq").collect()))
+    b = sorted(map(tuple, DD.latest_per_key(df, ["stationId", "ts"], "seq", unique_seq=True).collect()))
+    assert a == b
+    fixed = df.drop("tag")
+    plan = DD.latest_per_key(fixed, ["stationId", "ts"], "seq", unique_seq=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -18,11 +18,21 @@ from pyspark.sql import functions as F
 from velolake.session import checkpoint_root
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], seq: str, unique_seq: bool = False) -> DataFrame:
     """One row per ``keys``: the row with the largest ``seq`` (rows with a
-    null ``seq`` only win when the key has no other row)."""
+    null ``seq`` only win when the key has no other row).
+
+    ``unique_seq=True`` promises that ``seq`` is non-null and unique within a
+    key (an ingest sequence).  Then every payload column is taken with
+    ``max_by(col, seq)``, which picks the same row; for fixed-width columns
+    that runs as a hash aggregate instead of the sort-based aggregate a
+    struct buffer needs.
+    """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys and c != seq]
+    if unique_seq:
+        aggs = [F.max(seq).alias(seq)] + [F.max_by(c, seq).alias(c) for c in payload]
+        return df.groupBy(*keys).agg(*aggs).select(*keys, seq, *payload)
     best = F.max(F.struct(F.col(seq).alias(seq), *[F.col(c).alias(c) for c in payload])).alias("_w")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in [seq, *payload]])
 

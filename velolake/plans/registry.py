@@ -151,7 +151,8 @@ def upsert_latest(spark, sf):
     r = B.readings(spark, sf).select(
         "stationId", C.hour_floor("timestamp").alias("pollHour"), "readingId", "timestamp", "AvailableBikes"
     )
-    return DD.latest_per_key(r, ["stationId", "pollHour"], "readingId")
+    # the event id is the ingest sequence: unique, so the hash-aggregate form
+    return DD.latest_per_key(r, ["stationId", "pollHour"], "readingId", unique_seq=True)
 
 
 SQL_UPSERT_LATEST = O.BASE + """
