@@ -122,3 +122,12 @@ def test_task_memory_sizing(spark):
     assert ML._mb("1g") == 1024 and ML._mb("512m") == 512 and ML._mb("2048") == 2048 and ML._mb("4gb") == 4096
     mb = ML.task_memory_mb(spark)
     assert 16 <= mb <= 256
+
+
+def test_forest_deterministic_per_seed(spark):
+    from velolake.operators import sampling as SA
+
+    train, test = SA.split_by_hash(B.features(spark, SF_SMALL), 0.2)
+    a = ML.score(ML.fit(train, numTrees=8, maxDepth=5, seed=7), test)
+    b = ML.score(ML.fit(train, numTrees=8, maxDepth=5, seed=7), test)
+    assert sorted((r.readingId, r.prediction) for r in a.collect()) == sorted((r.readingId, r.prediction) for r in b.collect())
