@@ -1,6 +1,5 @@
 """ML stage (FIXTURES.md §7) and Structured Streaming ingest."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F

@@ -2,7 +2,6 @@
 (FIXTURES.md §6) plus properties."""
 
 import datetime as dt
-import math
 
 import pandas as pd
 import pytest

@@ -3,7 +3,6 @@ driver tables, and the shape of the physical plans."""
 
 import hashlib
 import json
-import os
 
 import duckdb
 import pytest

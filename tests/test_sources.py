@@ -5,7 +5,6 @@ import glob
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from velolake import schemas as S
 from velolake.sources import csv as CSV
