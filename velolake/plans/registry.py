@@ -271,10 +271,10 @@ SQL_WEATHER_LEFT_JOIN = O.BASE + f"SELECT {', '.join(FEATURE_OUT)}, kind FROM jo
 
 
 def feature_select(spark, sf):
-    f = B.features(spark, sf)
-    x = FE.select_features(f, keep=["readingId"])
-    y, _ = FE.split_target(f)
-    return x.join(y, "readingId")
+    """P10 + P11: the model columns in model order with the row key and the
+    label - one projection (the keyed split into parts is ``write_splits``;
+    joining the parts back here would be a full-size join)."""
+    return FE.select_features(B.features(spark, sf), keep=["readingId", S.LABEL])
 
 
 SQL_FEATURE_SELECT = O.BASE + f"SELECT readingId, {', '.join(S.MODEL_FEATURES)}, {S.LABEL} FROM features"
