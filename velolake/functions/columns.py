@@ -161,7 +161,7 @@ def list_literal_bounded(n: str, style: str, max_n: int) -> Column:
     """:func:`list_literal` for counts known to lie in ``0 .. max_n`` (``n``
     and ``style`` are column names): the texts are generated here and picked
     per row from literal arrays - one SQL expression, no per-row
-    higher-order function."""
+    higher-order function.  A count outside the range gives null."""
 
     def sql_str(t: str) -> str:
         return "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -171,8 +171,7 @@ def list_literal_bounded(n: str, style: str, max_n: int) -> Column:
         for st in LIST_STYLES
     }
     pick = " ".join(f"WHEN `{style}` = '{st}' THEN element_at({arr}, `{n}` + 1)" for st, arr in arrays.items())
-    bounded = F.expr(f"CASE {pick} END")
-    return F.when((F.col(n) >= 0) & (F.col(n) <= max_n), bounded).otherwise(list_literal(n, style and F.col(style)))
+    return F.expr(f"CASE WHEN `{n}` BETWEEN 0 AND {max_n} THEN CASE {pick} END END")
 
 
 # P13 ------------------------------------------------------------------------

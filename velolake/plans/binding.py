@@ -35,13 +35,16 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature table (J2: inner join + null drop) with the ``kind`` column."""
-    return FE.with_kind(FE.build_features(readings(spark, sf_dir), weather(spark, sf_dir)))
+    """Feature table (J2: inner join + null drop) with the ``kind`` column.
+    Readings and weather derive from one read of ``events``."""
+    ev = events(spark, sf_dir)
+    return FE.with_kind(FE.build_features(TB.readings_from_events(ev), TB.weather_from_events(ev)))
 
 
 def features_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading, null weather where the hour has none."""
-    return FE.with_kind(FE.build_features_left(readings(spark, sf_dir), weather(spark, sf_dir)))
+    ev = events(spark, sf_dir)
+    return FE.with_kind(FE.build_features_left(TB.readings_from_events(ev), TB.weather_from_events(ev)))
 
 
 def timestamp_text(ev: DataFrame) -> DataFrame:
