@@ -352,7 +352,7 @@ def encode(df: DataFrame, model: str, text: str = "text", decoded: bool = False)
     ``decoded`` the ids are decoded again in the same pass, as ``decoded``."""
     schema = StructType(ENCODED.fields + [StructField("decoded", StringType())] * decoded)
     kept, schema = extended(df, schema)
-    source = df.columns.index(text)
+    source, places = df.columns.index(text), [df.columns.index(k) for k in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
@@ -365,7 +365,7 @@ def encode(df: DataFrame, model: str, text: str = "text", decoded: bool = False)
                 spans.append(s.tobytes())
                 if decoded:
                     back.append(c.decode(i))
-            columns = [batch.column(df.columns.index(k)) for k in kept]
+            columns = [batch.column(p) for p in places]
             new = [pa.array(n, pa.int32()), pa.array(ids, pa.binary()), pa.array(spans, pa.binary())] + [pa.array(back, pa.string())] * decoded
             yield pa.RecordBatch.from_arrays(columns + new, names=schema.names)
 
@@ -375,13 +375,13 @@ def encode(df: DataFrame, model: str, text: str = "text", decoded: bool = False)
 def decode(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the text of the packed ``ids`` (null: empty)."""
     kept, schema = extended(df, StructType([StructField("decoded", StringType())]))
-    source = df.columns.index(ids)
+    source, places = df.columns.index(ids), [df.columns.index(k) for k in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
         for batch in slices(batches):
             back = [c.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(source).to_pylist()]
-            columns = [batch.column(df.columns.index(k)) for k in kept]
+            columns = [batch.column(p) for p in places]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(back, pa.string())], names=schema.names)
 
     return df.mapInArrow(run, schema)
