@@ -150,7 +150,8 @@ def digest(documents: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """The digest in DuckDB's SQL, from the same threshold table."""
-    word = r"[^\x20\x09-\x0D]+"
+    letter, upper = r"\p{L}", r"\p{Lu}"
+    space, word = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
     stop = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
     ratio = ", ".join(f"CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} END AS {k}" for k, a, b in RATIOS)
     bad = [f"{k} < {v}" for k, v, _ in RULES if v is not None] + [f"{k} > {v}" for k, _, v in RULES if v is not None]
@@ -159,7 +160,7 @@ def oracle() -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{word}') AS words,
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines,
-        regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS solid FROM d),
+        regexp_replace(t, '{space}', '', 'g') AS solid FROM d),
 p AS (SELECT rid, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS k
       FROM (SELECT rid, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM w WHERE len(words) >= {WINDOW})),
 s AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS n FROM p) WHERE n > 1),
@@ -168,8 +169,8 @@ m AS (SELECT w.doc_id, len(words) AS n_words, length(solid) AS word_chars,
         length(regexp_replace(solid, '[^{SYMBOLS}]+', '', 'g')) AS n_symbols,
         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
         len(list_filter(words, lambda x: lower(x) IN ({stop}))) AS n_stop_words,
-        length(regexp_replace(solid, '[^\p{{L}}]+', '', 'g')) AS n_letters,
-        length(regexp_replace(solid, '[^\p{{Lu}}]+', '', 'g')) AS n_upper
+        length(regexp_replace(solid, '[^{letter}]+', '', 'g')) AS n_letters,
+        length(regexp_replace(solid, '[^{upper}]+', '', 'g')) AS n_upper
       FROM w LEFT JOIN r USING (rid)),
 q AS (SELECT *, {ratio}, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
