@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velolake.llm import licenses, packing, quality_rules, sentencepiece_codec, shards, toxicity
+from velolake.llm import licenses, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, toxicity
 from velolake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,6 +22,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_MODEL)
 
@@ -41,9 +49,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
+    "op3_personal_data": op3_personal_data,
     "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
+    "op7_neighbours": op7_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
