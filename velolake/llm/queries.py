@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velolake.llm import licenses, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, toxicity
+from velolake.llm import licenses, minhash, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, toxicity
 from velolake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,6 +46,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_MODEL)
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_neighbours": op7_neighbours,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
