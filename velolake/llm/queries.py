@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velolake.llm import licenses, minhash, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, toxicity
+from velolake.llm import licenses, minhash, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, suffix_dedup, toxicity
 from velolake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -42,6 +42,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_MODEL)
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_neighbours": op7_neighbours,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash": op10_minhash,
 }
