@@ -9,11 +9,12 @@ Centroids are searched in memory through a graph of their neighbours.  A
 query reads the lists whose centroid is at most a ratio farther than its
 nearest one.
 
-Lists are kept balanced by splitting: a list (say, one full of copies of a
+Lists of centroids near each other are a bundle, and bundles are kept
+balanced by splitting: a large one (say, with a list full of copies of a
 vector) is dealt out over blocks by a hash of the id, and a query that reads
-the list reads all of its blocks.  Each (list, block) is one group of work; it gives the best ``k`` of
-its vectors for each of its queries, and a last step keeps the best over
-groups.  Where the lists within the ratio hold fewer than ``k`` vectors, a
+a list of the bundle reads that list in all blocks.  Each (bundle, block) is
+one group of work; it gives the best ``k`` of the lists' vectors for each of
+its queries, and a last step keeps the best over groups.  Where the lists within the ratio hold fewer than ``k`` vectors, a
 query reads on, list by list, until they hold enough.
 
 Defined cases: vectors that are null, zero, of another length than the first
@@ -33,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from velolake.llm.common import stored
 
@@ -41,11 +42,12 @@ K = 20
 MAX_SAMPLE = 20_000  # vectors that the centroids are fitted on
 LIST_SIZE = 400  # vectors that a list holds on average
 MAX_LISTS = 4096
-BLOCK = 4096  # vectors that a block of a list holds on average
+BUNDLE = 16  # lists that are worked on together
+BLOCK = 8192  # vectors that a block of a bundle holds on average
 ITERATIONS = 8
 REPLICAS = 4  # lists that a boundary vector may be in
 BOUNDARY = 1.1  # of the nearest distance: how far they may be
-READ = 1.25  # of the nearest distance: how far a query's lists may be
+READ = 1.18  # of the nearest distance: how far a query's lists may be
 DEGREE = 24  # neighbours of a centroid in the graph
 BEAM = 64
 
@@ -102,17 +104,21 @@ class CentroidGraph:
         self.links = [np.array(sorted(x), np.int64) for x in links]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 64)).astype(int))
 
-    def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, x: np.ndarray, beam: int = BEAM, ratio: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and distances of the centroids found near ``x``, nearest
-        first.  The beam is walked until all of it has been looked around."""
+        first.  The beam holds the nearest ones and all within ``ratio`` of
+        the nearest; it is walked until all of it has been looked around."""
+        norm = (x**2).sum()
         seen = np.zeros(len(self.c), bool)
         ids, score = self.entries, self.c[self.entries] @ x - self.half[self.entries]
         seen[ids] = True
         done: set[int] = set()
         while True:
-            order = np.argsort(-score, kind="stable")[:beam]
+            order = np.argsort(-score, kind="stable")
+            near = norm - 2 * score[order] <= ratio**2 * max(norm - 2 * score[order[0]], 0.0)
+            order = order[: max(beam, int(near.sum()))]
             ids, score = ids[order], score[order]
-            todo = [i for i in ids[:beam].tolist() if i not in done][:8]
+            todo = [i for i in ids.tolist() if i not in done][:8]
             if not todo:
                 break
             done.update(todo)
@@ -120,7 +126,7 @@ class CentroidGraph:
             new = new[~seen[new]]
             seen[new] = True
             ids, score = np.concatenate([ids, new]), np.concatenate([score, self.c[new] @ x - self.half[new]])
-        return ids, np.sqrt(np.maximum(0.0, (x**2).sum() - 2 * score))
+        return ids, np.sqrt(np.maximum(0.0, norm - 2 * score))
 
     def lists_of(self, x: np.ndarray) -> list[int]:
         """Lists of a vector: the nearest, and those within ``BOUNDARY`` of
@@ -137,7 +143,7 @@ class CentroidGraph:
     def read_for(self, x: np.ndarray, held: np.ndarray, needed: int) -> list[int]:
         """Lists a query reads: those within ``READ`` of its nearest, and
         more until their own vectors (``held``) are as many as needed."""
-        ids, far = self.search(x)
+        ids, far = self.search(x, ratio=READ)
         near = ids[far <= READ * far[0] + 1e-12]
         if held[near].sum() < needed:
             order = np.argsort(self.half - self.c @ x, kind="stable")
@@ -163,32 +169,35 @@ def valid(df: DataFrame, id_col: str, vector: str) -> DataFrame:
 FOUND = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
 
 
-def _best(ids: np.ndarray, vectors: np.ndarray, qids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` of the vectors for each query: scores by matrix
-    product find those that can be among them, sums row by row rank them,
-    so equal vectors score the same wherever they stand."""
+def _part(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors and the lists of the bundle each is in (or reads), as bits."""
+    bits = np.array([sum(1 << (int(x) % BUNDLE) for x in lists) for lists in rows["lists"]], np.int64)
+    return rows["id"].to_numpy(), np.array(rows["vec"].tolist(), float), bits
+
+
+def _best(vectors: tuple, queries: tuple, k: int) -> pd.DataFrame:
+    """The best ``k`` of the vectors in the lists that each query reads:
+    scores by matrix product find those that can be among them, sums row by
+    row rank them, so equal vectors score the same wherever they stand."""
+    (ids, x, lists), (qids, q, reads) = vectors, queries
     out_q, out_v, out_s = [], [], []
+    reach = np.abs(x).max(0)
     for at in range(0, len(qids), 256):
-        rough = queries[at : at + 256] @ vectors.T
+        rough = q[at : at + 256] @ x.T
         for r in range(len(rough)):
-            s = np.where(ids == qids[at + r], -np.inf, rough[r])
+            seen = np.flatnonzero((lists & reads[at + r] != 0) & (ids != qids[at + r]))
+            s = rough[r][seen]
             if len(s) > k:
-                slack = 1e-9 * (1 + np.abs(queries[at + r]) @ np.abs(vectors).max(0))
-                near = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k] - slack)
+                slack = 1e-9 * (1 + np.abs(q[at + r]) @ reach)
+                near = seen[s >= np.partition(s, len(s) - k)[len(s) - k] - slack]
             else:
-                near = np.arange(len(s))
-            near = near[s[near] > -np.inf]
-            exact = (vectors[near] * queries[at + r]).sum(1)
+                near = seen
+            exact = (x[near] * q[at + r]).sum(1)
             order = np.lexsort((ids[near], -exact))[:k]
             out_q.append(np.full(len(order), qids[at + r]))
             out_v.append(ids[near][order])
             out_s.append(exact[order])
-    cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-    return pd.DataFrame({"query_id": cat(out_q, np.int64), "vec_id": cat(out_v, np.int64), "score": cat(out_s, float)})
-
-
-def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), float)
+    return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
 
 def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -210,49 +219,63 @@ def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: st
         return np.concatenate([x, np.sqrt(np.maximum(0.0, m - (x**2).sum(1)))[:, None]], 1)
 
     lists = int(min(MAX_LISTS, max(1, n // LIST_SIZE)))
-    graph = CentroidGraph(fit_centroids(lifted(sample), lists) if len(sample) else np.zeros((1, d + 1)))
+    centroids = fit_centroids(lifted(sample), lists) if len(sample) else np.zeros((1, d + 1))
+    # lists with near centroids get neighbouring numbers, so a bundle's lists are read together
+    centroids = centroids[np.argsort(_nearest(centroids, fit_centroids(centroids, -(-len(centroids) // BUNDLE))), kind="stable")]
+    graph = CentroidGraph(centroids)
     # at most MAX_LISTS centroids and their links, whatever the table's size
     shared = spark.sparkContext.broadcast(graph)
-    placed = StructType([StructField("list", IntegerType()), StructField("nth", IntegerType()), StructField("id", LongType()), StructField("vec", ArrayType(DoubleType()))])
+    placed = StructType(
+        [StructField("bundle", IntegerType()), StructField("lists", ArrayType(IntegerType())), StructField("first", BooleanType()),
+         StructField("id", LongType()), StructField("vec", ArrayType(DoubleType()))]
+    )
+
+    def bundled(lists: list[int]) -> list[tuple[int, list[int]]]:
+        out: dict[int, list[int]] = {}
+        for x in lists:
+            out.setdefault(x // BUNDLE, []).append(x)
+        return list(out.items())
+
 
     def place(pick):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g = shared.value
             for batch in batches:
                 x = np.array(batch.column(1).flatten(), float).reshape(-1, d)
-                chosen = [pick(g, row) for row in x]
-                take = pa.array(np.repeat(np.arange(len(x)), [len(c) for c in chosen]), pa.int64())
-                numbers = pa.array([i for c in chosen for i in c], pa.int32())
-                nth = pa.array([k for c in chosen for k in range(len(c))], pa.int32())
-                yield pa.RecordBatch.from_arrays([numbers, nth, batch.column(0).take(take), batch.column(1).take(take)], names=["list", "nth", "id", "vec"])
+                rows = [(r, *b) for r, row in enumerate(x) for b in pick(g, row)]
+                take, bundle, lists, first = zip(*rows) if rows else ((), (), (), ())
+                where = pa.array(take, pa.int64())
+                columns = [pa.array(bundle, pa.int32()), pa.array(lists, pa.list_(pa.int32())), pa.array(first, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*columns, batch.column(0).take(where), batch.column(1).take(where)], names=placed.names)
 
         return run
 
-    def by_vector(g, row):
-        return g.lists_of(np.append(row, np.sqrt(max(0.0, m - (row**2).sum()))))
+    def by_vector(g, row):  # a vector once in each bundle; ``first`` marks its nearest list's
+        lists = g.lists_of(np.append(row, np.sqrt(max(0.0, m - (row**2).sum()))))
+        return [(b, x, lists[0] in x) for b, x in bundled(lists)]
 
     index = stored(base.mapInArrow(place(by_vector), placed), "ann-index")
     # one row per list: at most MAX_LISTS
-    counts = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("nth") == 0).alias("own")).collect()
     held = np.zeros(len(graph.c), np.int64)
-    for r in counts:
-        held[r.list] = r.own
+    for r in index.where("first").groupBy(F.get("lists", F.lit(0)).alias("list")).agg(F.count(F.lit(1)).alias("n")).collect():
+        held[r.list] = r.n
 
     def by_query(g, row):  # only a query's direction matters; lifted by 0
         x = np.append(row * (np.sqrt(m) / max(np.sqrt((row**2).sum()), 1e-300)), 0.0)
-        return g.read_for(x, held, min(k + 1, int(held.sum())))
+        return [(b, x, True) for b, x in bundled(g.read_for(x, held, min(k + 1, int(held.sum()))))]
 
-    sizes = F.broadcast(spark.createDataFrame([(r.list, -(-r.n // BLOCK)) for r in counts], "list int, blocks int"))
-    blocks = index.join(sizes, "list").select("list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "vec")
+    counts = index.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).collect()  # fewer rows than lists
+    sizes = F.broadcast(spark.createDataFrame([(r.bundle, -(-r.n // BLOCK)) for r in counts], "bundle int, blocks int"))
+    blocks = index.join(sizes, "bundle").select("bundle", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "lists", "id", "vec")
     wanted = asked.mapInArrow(place(by_query), placed)
-    work = wanted.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "vec")
+    work = wanted.join(sizes, "bundle").select("bundle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lists", "id", "vec")
 
     def compare(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        return _best(vectors["id"].to_numpy(), _matrix(vectors["vec"]), queries["id"].to_numpy(), _matrix(queries["vec"]), k)
+        return _best(_part(vectors), _part(queries), k)
 
-    found = blocks.groupBy("list", "block").cogroup(work.groupBy("list", "block")).applyInPandas(compare, FOUND)
+    found = blocks.groupBy("bundle", "block").cogroup(work.groupBy("bundle", "block")).applyInPandas(compare, FOUND)
     return best_of(found, k)
 
 
