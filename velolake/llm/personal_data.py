@@ -230,8 +230,10 @@ def spans(documents: DataFrame, text: str = "text") -> DataFrame:
     ``terms``, the spans of disclosing terms."""
     found = stored(entities(documents, text), "pii-entities")
     told = stored(disclosures(documents, found, text), "pii-disclosures")
-    terms = term_spans(found, told)
-    return found.drop("near").join(terms, F.col("text_key") == F.col("told_key"), "left").drop("told_key")
+    other = free_name(found.columns, "told_key")
+    terms = term_spans(found, told).withColumnRenamed("told_key", other)
+    rest = found.select(*[c for c in found.columns if c.lower() not in ("near", "terms")])
+    return rest.join(terms, F.col("text_key") == F.col(other), "left").drop(other)
 
 
 def mask(text: str, found: list[tuple[str, int, int]]) -> str:
@@ -253,10 +255,10 @@ def sanitised(documents: DataFrame, text: str = "text") -> DataFrame:
     slim = documents.select(F.col(f"`{text}`").alias("text"))
     found = stored(entities(slim, "text"), "pii-entities")
     told = stored(disclosures(slim, found), "pii-disclosures")
-    key, terms = free_name(documents.columns, "text_key"), free_name(documents.columns, "terms")
-    flagged = term_spans(found, told).withColumnRenamed("terms", terms)
+    key, other, terms = (free_name(documents.columns, n) for n in ("text_key", "told_key", "terms"))
+    flagged = term_spans(found, told).select(F.col("told_key").alias(other), F.col("terms").alias(terms))
     keyed = documents.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))))
-    joined = keyed.join(flagged, F.col(key) == F.col("told_key"), "left").drop("told_key", key)
+    joined = keyed.join(flagged, F.col(key) == F.col(other), "left").drop(other, key)
     source, more, names = joined.columns.index(text), joined.columns.index(terms), documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -141,6 +141,12 @@ def judged(df: DataFrame, text: str = "text", rules: tuple = RULES) -> DataFrame
     return replaced(measured(df, text), {"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)})
 
 
+def kept_rows(df: DataFrame, text: str = "text", rules: tuple = RULES) -> DataFrame:
+    """The rows of ``df`` that the rules keep, with its columns alone."""
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), F.col(f"`{text}`").alias("text"))
+    return judged(whole, "text", rules).where("kept").select("whole.*")
+
+
 def digest(documents: DataFrame) -> DataFrame:
     """Per document: the base measures and the verdict."""
     return judged(documents.select("doc_id", "text")).select(
