@@ -16,8 +16,7 @@ from velolake.llm.queries import WORD_MODEL
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    names = [f"`{c}`" for c in docs.columns]
-    return quality_rules.judged(docs).where("kept").select(*names)
+    return quality_rules.kept_rows(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
