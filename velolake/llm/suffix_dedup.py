@@ -17,8 +17,9 @@ in one place, so strings are first brought together:
   their interleave: reading all shards' transforms in the order so far and
   dealing the suffixes out again by the byte in front of them sorts them by
   one byte more.  A boundary between two suffixes that appears in turn h
-  tells their common prefix, h - 1.  After ``LENGTH`` turns what no boundary
-  parts is a repeated interval: equal strings, whose smallest id decides.
+  tells their common prefix, h - 1; a suffix between two boundaries is
+  settled.  After ``LENGTH`` turns what no boundary parts is a repeated
+  interval: equal strings, whose smallest id decides.
 
 Equal texts are one text with its smallest id before all this.
 
@@ -247,59 +248,66 @@ def pieces(candidates: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Transforms
 # ---------------------------------------------------------------------------
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order of a shard's strings, each ended by a byte of its own
-    (below all others), and its transform: the symbol in front of each
-    suffix.  Symbols are bytes plus one; 0 is an end."""
-    n = sum(map(len, strings)) + len(strings)
-    text = np.zeros(n, np.uint16)
-    ends = np.cumsum([len(x) + 1 for x in strings]) - 1
-    inside = np.ones(n, bool)
-    inside[ends] = False
-    text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    # ranks by one symbol, where ends differ, then by doubled prefixes
-    rank = text.astype(np.int64) + len(strings)
-    rank[ends] = np.arange(len(strings))
-    order, width = None, 1
+def transform(strings: list[bytes], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix order of a shard's strings by their first ``depth`` symbols at
+    least, its transform (the symbol in front of each suffix) and its steps
+    (where in the order the suffix stands that is longer by that symbol).
+    Symbols are bytes plus one, which UTF-8 leaves room for; 0 ends a string."""
+    text = np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8) + np.uint8(1)
+    n = len(text)
+    rank = np.zeros(n + 8, np.uint64)
+    rank[:n] = text
+    for k in (1, 2, 4):  # eight symbols at once
+        rank = rank[:-k] << np.uint64(8 * k) | rank[k:]
+    rank, width = rank[:n], 8
     while True:
-        ahead = np.full(n, -1, np.int64)
-        ahead[:-width] = rank[width:]
-        both = rank * np.int64(n + 300 + len(strings)) + ahead
-        order = np.argsort(both, kind="stable")
-        new = np.cumsum(np.diff(both[order], prepend=both[order[0]]) != 0)
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        order = np.argsort(rank, kind="stable")
+        at = np.empty(n, np.int64)
+        if width >= depth:
+            at[order] = np.arange(n)
+            return order, text[order - 1], at[order - 1]
+        new = np.cumsum(np.diff(rank[order], prepend=rank[order[0]]) != 0)
+        at[order] = new
+        ahead = np.zeros(n, np.int64)
+        ahead[:-width] = at[width:] + 1
+        rank = at * np.int64(n + 1) + ahead
         width *= 2
-        if new[-1] == n - 1 or width > n:
-            break
-    return order, text[order - 1]
 
 
-def merge(transforms: list[np.ndarray], turns: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merge(transforms: list[tuple[np.ndarray, np.ndarray, np.ndarray]], turns: int = LENGTH) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
     """Merge transforms by refining their interleave.
 
-    Returns the interleave (shard of each merged suffix; suffixes of a shard
-    keep their order), the interval of each (equal numbers: the first
-    ``turns`` symbols are equal) and the common prefix with the suffix before
-    (``turns`` where it is that or more)."""
-    symbols = np.concatenate(transforms)
-    n = len(symbols)
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint16), [len(t) for t in transforms])
-    interval, common = np.zeros(n, np.int64), np.full(n, turns, np.int64)
-    if n:
-        common[0] = 0
-    small = symbols.astype(np.uint16)
+    Each turn reads the symbols in front of the suffixes in the order so far
+    and deals the suffixes that are longer by them out again, stably: they
+    then stand sorted by one symbol more.  Those with equal symbols in front
+    of one interval are an interval again.  A suffix that is alone in its
+    interval is settled and leaves: none that is longer by a symbol is shared
+    either.
+
+    Returns the suffixes (their places in the shards' orders, one shard after
+    the other) that share ``turns`` symbols with others, in merged order, the
+    interval of each, and how many suffixes were settled with how long a
+    common prefix."""
+    base = np.cumsum([0] + [len(t[0]) for t in transforms])
+    front = np.concatenate([t[1] for t in transforms])
+    step = np.concatenate([t[2] + b for t, b in zip(transforms, base)]).astype(np.int32)
+    order = np.arange(len(front), dtype=np.int32)
+    interval, settled = np.zeros(len(front), np.int32), {}
     for turn in range(1, turns + 1):
-        front = np.empty(n, np.uint16)
-        front[np.argsort(shard, kind="stable")] = small
-        deal = np.argsort(front, kind="stable")
-        shard, old, front = shard[deal], interval[deal], front[deal]
-        parted = np.empty(n, bool)
-        parted[:1] = True
-        parted[1:] = (front[1:] != front[:-1]) | (old[1:] != old[:-1])
-        common[parted & (common == turns)] = turn - 1
-        interval = np.cumsum(parted)
-    return shard, interval, common
+        symbol = front[order]
+        deal = np.argsort(symbol, kind="stable")
+        deal = deal[np.searchsorted(symbol[deal], 1) :]  # in front of a string is nothing
+        symbol, old = symbol[deal], interval[deal]
+        parted = np.empty(len(deal) + 1, bool)
+        parted[:1] = parted[-1:] = True
+        parted[1:-1] = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
+        shared = np.flatnonzero(~(parted[:-1] & parted[1:]))
+        settled[turn - 1] = len(deal) - len(shared)
+        order = step[order[deal[shared]]]
+        interval = np.cumsum(parted[:-1], dtype=np.int32)[shared]
+        if not len(order):
+            break
+    return order, interval, settled
 
 
 def owned(strings: list[bytes], ids: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -313,17 +321,14 @@ def owned(strings: list[bytes], ids: np.ndarray) -> list[list[tuple[int, int]]]:
         shards[-1].append(k)
         size += len(x)
     made = [transform([strings[k] for k in s]) for s in shards]
-    shard, interval, _ = merge([t for _, t in made])
-    # which string, and where in it, each merged suffix starts
-    place = np.empty(len(shard), np.int64)
-    base = np.cumsum([0] + [len(o) for o, _ in made])
-    place[np.argsort(shard, kind="stable")] = np.concatenate([o + b for (o, _), b in zip(made, base)])
+    order, interval, _ = merge(made)
+    # which string, and where in it, each shared suffix starts
+    base = np.cumsum([0] + [len(m[0]) for m in made])
+    place = np.concatenate([m[0] + b for m, b in zip(made, base)])[order]
     lens = np.array([len(strings[k]) + 1 for s in shards for k in s])
     first = np.cumsum(lens) - lens
-    string = np.repeat(np.arange(len(lens)), lens)[place]
+    string = np.searchsorted(first, place, side="right") - 1
     at = place - first[string]
-    whole = np.flatnonzero(at + LENGTH <= lens[string] - 1)
-    interval, string, at = interval[whole], string[whole], at[whole]
     start = np.flatnonzero(np.diff(interval, prepend=-1))
     least = np.repeat(np.minimum.reduceat(ids[string], start), np.diff(start, append=len(string))) if len(start) else ids[:0]
     hit = least < ids[string]
@@ -389,16 +394,29 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def text_spans(rows: pd.DataFrame) -> pd.DataFrame:
-    """Spans of one text from its pieces: a piece that a smaller id has goes
-    whole, one of the smallest id loses what other pieces own."""
-    spans: list[tuple[int, int]] = []
-    for ident, at, size, lo, ranges in zip(rows["id"], rows["at"], rows["size"], rows["lo"], rows["ranges"]):
-        if ident > lo:
-            spans.append((at, at + size))
-        else:
-            spans += [(at + a, at + b) for a, b in np.frombuffer(ranges, np.uint32).reshape(-1, 2).tolist()]
-    return pd.DataFrame({"key": [rows["key"].iloc[0]], "spans": [np.array(_merged(spans), np.uint32).tobytes()]})
+def text_spans(hits: DataFrame) -> DataFrame:
+    """Spans of each text from its pieces (sorted by key in their
+    partitions): a piece that a smaller id has goes whole, one of the
+    smallest id loses what other pieces own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, spans = None, []
+        for batch in batches:
+            done: list[tuple[bytes, bytes]] = []
+            for k, ident, at, size, lo, ranges in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if k != key:
+                    if spans:
+                        done.append((key, np.array(_merged(spans), "<u4").tobytes()))
+                    key, spans = k, []
+                if ident > lo:
+                    spans.append((at, at + size))
+                else:
+                    spans += [(at + a, at + b) for a, b in np.frombuffer(ranges, "<u4").reshape(-1, 2).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.binary()) for i in range(2)], names=SPANS.names)
+        if spans:
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), pa.array([np.array(_merged(spans), "<u4").tobytes()], pa.binary())], names=SPANS.names)
+
+    return hits.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
 def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -423,7 +441,7 @@ def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     slim = found.select("key", "id", F.col("group").alias("g"), "at", F.length("piece").cast("long").alias("size"), F.unhex(F.md5("piece")).alias("p"))
     joined = slim.join(settled, (F.col("g") == F.col("group")) & (F.col("p") == F.col("pid")))
     hit = joined.where("id > lo OR length(ranges) > 0").select("key", "id", "at", "size", "lo", "ranges")
-    lost = hit.groupBy("key").applyInPandas(text_spans, SPANS)
+    lost = text_spans(hit)
     copied = texts.where(f"hi > lo AND size >= {LENGTH}").select("key", F.col("lo").alias("least"))
     ids = texts.select("key", "lo")
     return copied.join(lost, "key", "full").join(ids, "key").select("key", "lo", "spans")
