@@ -66,10 +66,11 @@ def test_null_safe_join(spark):
 
 
 def test_checked_broadcast_bound(spark):
-    small, ok = J.checked_broadcast(spark.range(10), max_rows=100)
-    assert ok
-    _, ok = J.checked_broadcast(spark.range(1000), max_rows=100)
+    small, ok = J.checked_broadcast(spark.range(10))
+    assert ok and small.count() == 10
+    _, ok = J.checked_broadcast(spark.range(100_000), max_bytes=1000)
     assert not ok
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_kind_split_is_a_partition(spark):
@@ -154,7 +155,7 @@ def test_correlation_matches_pairwise_pandas(spark):
     ]
     cols = ["x", "y", "c", "z"]
     df = spark.createDataFrame(rows, "kind string, x double, y double, c double, z double")
-    got = {(r.colA, r.colB): r.corr for r in CORR.correlation_long(df, cols, decimals={c: 2 for c in cols}).collect()}
+    got = {(r.colA, r.colB): r.corr for r in CORR.correlation_long(df, cols).collect()}
     pdf = pd.DataFrame(rows, columns=["kind", *cols])[cols]
     want = pdf.corr()
     for a in cols:
@@ -197,7 +198,7 @@ def test_empty_inputs(spark):
     assert M.busiest_timestamp(empty).count() == 0
     assert M.hourly_resample(empty.withColumn("Humidity", F.lit(1.0)).withColumn("Wind_Speed", F.lit(1.0)).withColumn(S.LABEL, F.lit(1)).limit(0)).count() == 0
     cols = ["Temperature", "AvailableBikes"]
-    assert CORR.correlation_long(empty, cols, decimals={c: 2 for c in cols}).count() == 0
+    assert CORR.correlation_long(empty, cols).count() == 0
     ids = spark.range(0).withColumnRenamed("id", "readingId")
     assert SA.sample_n(ids, 10).count() == 0
     assert DD.latest_per_key(empty, ["stationId"], "timestamp").count() == 0

@@ -29,9 +29,26 @@ def as_text(col: str | Column, dtype: str | None = None) -> Column:
         return F.when(c.isNull(), F.lit(None)).otherwise(
             F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
         )
+    if dtype in ("double", "float"):
+        return _double_text(c)
     return c.cast("string")
 
 
+def _double_text(c: Column) -> Column:
+    """A double as Python's ``str`` writes it: plain digits from 1e-4 to
+    below 1e16, where Spark's cast has an exponent from 1e7 and below 1e-3."""
+    text, size = c.cast("string"), F.abs(c)
+    digits = F.rtrim(F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)E", 1), r"\.", ""), F.lit("0"))
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
+    whole = F.rpad(digits, F.greatest(power + 1, F.length(digits)), "0")
+    large = F.concat(sign, F.substring(whole, F.lit(1), power + 1), F.lit("."), F.coalesce(F.nullif(F.substring(whole, power + 2, F.length(whole)), F.lit("")), F.lit("0")))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    exponent = F.concat(F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", ""), F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    plain = power.isNull() | F.isnan(c)
+    return F.when(plain, text).when(size >= 1e16, exponent).when(size >= 1, large).when(size < 1e-4, exponent).otherwise(small)
+
+
 # P2 -------------------------------------------------------------------------
 def station_key(name: str | Column = "Name", station_id: str | Column = "StationId") -> Column:
     """``Name`` when it is a non-empty text, else ``StationId``."""
@@ -107,7 +124,7 @@ def literal_list_length(col: str | Column) -> Column:
     # Only the element count is returned, so every Python literal can become
     # JSON null: one regex pass instead of one per literal.
     text = F.regexp_replace(_c(col), r"\b(None|True|False)\b", "null")
-    return F.size(F.from_json(text, "array<string>")).cast("int")
+    return F.array_size(F.from_json(text, "array<string>")).cast("int")  # null for null, ANSI or not
 
 
 def list_literal(n: str | Column, style: str | Column | None = None) -> Column:
@@ -161,7 +178,7 @@ def list_literal_bounded(n: str, style: str, max_n: int) -> Column:
     """:func:`list_literal` for counts known to lie in ``0 .. max_n`` (``n``
     and ``style`` are column names): the texts are generated here and picked
     per row from literal arrays - one SQL expression, no per-row
-    higher-order function.  A count outside the range gives null."""
+    higher-order function.  A count outside the range is an error."""
 
     def sql_str(t: str) -> str:
         return "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -171,7 +188,8 @@ def list_literal_bounded(n: str, style: str, max_n: int) -> Column:
         for st in LIST_STYLES
     }
     pick = " ".join(f"WHEN `{style}` = '{st}' THEN element_at({arr}, `{n}` + 1)" for st, arr in arrays.items())
-    return F.expr(f"CASE WHEN `{n}` BETWEEN 0 AND {max_n} THEN CASE {pick} END END")
+    outside = f"raise_error(concat('list of ', `{n}`, ' elements; the bound is {max_n}'))"
+    return F.expr(f"CASE WHEN `{n}` BETWEEN 0 AND {max_n} THEN CASE {pick} END WHEN `{n}` IS NOT NULL THEN {outside} END")
 
 
 # P13 ------------------------------------------------------------------------
@@ -210,6 +228,17 @@ def trailing_range_start(day: str | Column, days: int = S.WINDOW_DAYS) -> Column
     return F.date_sub(_c(day), days - 1)
 
 
+def yesterday(now_utc: str | Column, tz: str = S.LOCAL_TZ) -> Column:
+    """Yesterday's date on the wall clock of ``tz``."""
+    return F.date_sub(F.to_date(local_wall_clock(now_utc, tz)), 1)
+
+
+def yesterday_range(now_utc: str | Column, tz: str = S.LOCAL_TZ, days: int = S.WINDOW_DAYS) -> Column:
+    """(yesterday, first day of the ``days``-day range ending on it)."""
+    end = yesterday(now_utc, tz)
+    return F.struct(end.alias("end"), trailing_range_start(end, days).alias("start"))
+
+
 def trailing_range_text(day: str | Column, days: int = S.WINDOW_DAYS) -> Column:
     """``yyyy-MM-dd-yyyy-MM-dd``: the end day first, then the start day."""
     d = _c(day)

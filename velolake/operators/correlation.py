@@ -1,178 +1,86 @@
 """A5: pairwise-complete Pearson correlation matrix, in long form.
 
-Two aggregates, both with map-side combine:
-
-1. rows are grouped by (group, null pattern) - the set of columns that are
-   null in the row - and reduced to exact integer moment sums
-   ``n, Σx, Σx², Σxy`` for every column and pair.  There are few patterns,
-   so this step turns any number of rows into a handful.
-2. per (group, pair) the patterns where both columns are present are added
+Three aggregates, all with map-side combine and all of Spark's own
+expressions:
+
+1. the mean of every column over the whole table, one row: the pilot values;
+2. rows are grouped by (group, null pattern) - the set of columns that are
+   null in the row - and reduced to ``n, sum x, sum x*y, min x, max x`` of
+   the values shifted by their pilot, so the sums hold deviations and not
+   offsets.  There are few patterns, so any number of rows becomes a handful;
+3. per (group, pair) the patterns where both columns are present are added
    up and the coefficient is formed.
 
-Values are quantised to their source precision (``decimals``) and summed as
-``decimal(38,0)``; the co-moment ``n·Σxy − Σx·Σy`` and the variances are
-formed exactly, so a constant column gives exactly zero variance (result:
-null, where Spark's ``corr`` raises under ANSI mode) and the result does not
-depend on partitioning.  Should an exact term overflow 38 digits, the same
-formula is evaluated in double instead.
+A column is constant over a pair's rows if its smallest value is its
+largest, whatever the number of rows; the coefficient is then null (Spark's
+``corr`` raises under ANSI mode).  Values are taken as they are: no rounding,
+no bound on their size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from velolake import schemas as S
 
-INT = "decimal(38,0)"
-
 
-# Quantised values stay below 2**31 units (exact int64 arithmetic below).
-MAX_UNITS = 2**31
+def _value(col: str) -> str:
+    """SQL for the value as a double; NaN counts as missing."""
+    return f"nanvl(CAST(`{col}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def _q(col: str, decimals: int) -> str:
-    """SQL for the value as a count of ``10**-decimals`` units (bigint);
-    NaN counts as missing, an out-of-range value is an error (never a
-    silent wrap)."""
-    v = f"CASE WHEN isnan(CAST(`{col}` AS DOUBLE)) THEN NULL ELSE CAST(`{col}` AS DOUBLE) END"
-    u = f"floor(({v}) * {10 ** decimals} + 0.5)"
-    return (
-        f"CASE WHEN abs({u}) < {MAX_UNITS} THEN CAST({u} AS BIGINT) "
-        f"WHEN {u} IS NOT NULL THEN raise_error('value of {col} out of range for exact correlation') END"
+def pattern_sums(df: DataFrame, cols: Sequence[str], by: Sequence[str], pilots: Sequence[float]) -> DataFrame:
+    """Step 2: one row per (group, null pattern)."""
+    k = len(cols)
+    xs = [f"{_value(c)} - ({p!r}D) AS _x{i}" for i, (c, p) in enumerate(zip(cols, pilots))]
+    mask = " + ".join(f"CASE WHEN _x{i} IS NULL THEN {1 << i}L ELSE 0L END" for i in range(k))
+    rows = df.selectExpr(*[f"`{b}`" for b in by], *xs).selectExpr("*", f"{mask} AS _mask")
+    sums = ["count(1) AS _n"]
+    for i in range(k):
+        sums += [f"sum(_x{i}) AS _s{i}", f"min(_x{i}) AS _lo{i}", f"max(_x{i}) AS _hi{i}"]
+    sums += [f"sum(_x{i} * _x{j}) AS _p{i}_{j}" for i, j in combinations_with_replacement(range(k), 2)]
+    return rows.groupBy(*by, "_mask").agg(*[F.expr(e) for e in sums])
+
+
+def pair_coefficients(patterns: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    """Step 3: ``(by..., i, j, corr)`` with i <= j."""
+    keys = [f"`{b}`" for b in by]
+    cells = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'a', _s{i}, 'b', _s{j}, 'aa', _p{i}_{i}, 'bb', _p{j}_{j}, 'ab', _p{i}_{j}, "
+        f"'la', _lo{i}, 'ha', _hi{i}, 'lb', _lo{j}, 'hb', _hi{j})"
+        for i, j in combinations_with_replacement(range(k), 2)
     )
-
-
-def _moments(by: list[str], k: int, pairs: list[tuple[int, int]]):
-    """Per task: for every (group, null pattern) the row count, the column
-    sums and the Gram matrix ``XᵀX`` of the quantised values, exactly.
-
-    ``X`` (int64, |x| < 2^31) splits into ``X = A·2^16 + B`` with
-    ``0 <= B < 2^16``; the three int64 products ``AᵀA, AᵀB, BᵀB`` cannot
-    overflow below 2^31 rows, and ``XᵀX = (AᵀA)·2^32 + (AᵀB + BᵀA)·2^16 + BᵀB``
-    is assembled in Python integers.
-    """
-
-    def run(batches):
-        import decimal
-
-        import numpy as np
-        import pandas as pd
-
-        acc: dict[tuple, list] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            vals = pdf[[f"_x{i}" for i in range(k)]]
-            present = vals.notna().to_numpy()
-            masks = ((~present) * (1 << np.arange(k))).sum(axis=1)
-            keys = pdf[by].astype(object).where(pdf[by].notna(), None) if by else None
-            frame = pd.DataFrame({"_mask": masks})
-            for b in by:
-                frame[b] = keys[b].to_numpy()
-            for key, idx in frame.groupby([*by, "_mask"], dropna=False, sort=False).indices.items():
-                key = key if isinstance(key, tuple) else (key,)
-                x = vals.iloc[idx].fillna(0).to_numpy(dtype=np.int64)
-                a = x >> 16
-                b_ = x & 0xFFFF
-                aa, ab, bb = a.T @ a, a.T @ b_, b_.T @ b_
-                gram = [[(int(aa[i, j]) << 32) + ((int(ab[i, j]) + int(ab[j, i])) << 16) + int(bb[i, j])
-                         for j in range(k)] for i in range(k)]
-                col_sums = [int(v) for v in x.sum(axis=0, dtype=object)]
-                cur = acc.get(key)
-                if cur is None:
-                    acc[key] = [len(idx), col_sums, gram]
-                else:
-                    cur[0] += len(idx)
-                    cur[1] = [u + v for u, v in zip(cur[1], col_sums)]
-                    cur[2] = [[u + v for u, v in zip(r1, r2)] for r1, r2 in zip(cur[2], gram)]
-        rows = []
-        for key, (n, col_sums, gram) in acc.items():
-            rows.append(
-                [*key[:-1], int(key[-1]), n]
-                + [decimal.Decimal(v) for v in col_sums]
-                + [decimal.Decimal(gram[i][j]) for i, j in pairs]
-            )
-        cols = [*by, "_mask", "_n"] + [f"_s{i}" for i in range(k)] + [f"_p{i}_{j}" for i, j in pairs]
-        yield pd.DataFrame(rows, columns=cols)
-
-    return run
+    per_pattern = patterns.selectExpr(*keys, "_mask", "_n", f"inline(array({cells}))")
+    per_pair = per_pattern.where("(_mask & (shiftleft(1L, i) | shiftleft(1L, j))) = 0").groupBy(*by, "i", "j").agg(
+        F.sum("_n").cast("double").alias("n"),
+        *[F.sum(c).alias(c) for c in ("a", "b", "aa", "bb", "ab")],
+        *[F.min(c).alias(c) for c in ("la", "lb")],
+        *[F.max(c).alias(c) for c in ("ha", "hb")],
+    )
+    # sqrt of each variance by itself: their product could overflow
+    raw = "try_divide(ab - a * b / n, sqrt(greatest(aa - a * a / n, 0D)) * sqrt(greatest(bb - b * b / n, 0D)))"
+    corr = f"CASE WHEN n >= 2 AND la < ha AND lb < hb THEN CASE WHEN i = j THEN 1D ELSE greatest(-1D, least(1D, {raw})) END END"
+    return per_pair.selectExpr(*keys, "i", "j", f"{corr} AS corr")
 
 
 def correlation_long(
     df: DataFrame,
     columns: Sequence[str] = tuple(S.CORRELATION_COLUMNS),
     by: Sequence[str] = ("kind",),
-    decimals: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """``(by..., colA, colB, corr)`` for every ordered pair of ``columns``.
 
     ``corr`` is null where fewer than two complete pairs exist or a column
     is constant over them; the diagonal is exactly 1.0 otherwise.
-    Expressions are passed as SQL text: one JVM call per expression keeps
-    plan construction cheap for the ~140 aggregates.
     """
-    by = list(by)
-    decimals = dict(S.CORRELATION_DECIMALS if decimals is None else decimals)
-    cols = list(columns)
-    k = len(cols)
-    pairs = list(combinations_with_replacement(range(k), 2))
-
-    # 1. moment sums per (group, null pattern): exact integer Gram matrices
-    #    of each Arrow batch (numpy, see _moments), one row per pattern and
-    #    partition, then added up exactly as decimal(38,0) by Spark.
-    xs = [f"({_q(c, decimals.get(c, 0))}) AS _x{i}" for i, c in enumerate(cols)]
-    prepared = df.selectExpr(*[f"CAST(`{b}` AS STRING) AS `{b}`" for b in by], *xs)
-    out_schema = T.StructType(
-        [T.StructField(b, T.StringType()) for b in by]
-        + [T.StructField("_mask", T.LongType()), T.StructField("_n", T.LongType())]
-        + [T.StructField(f"_s{i}", T.DecimalType(38, 0)) for i in range(k)]
-        + [T.StructField(f"_p{i}_{j}", T.DecimalType(38, 0)) for i, j in pairs]
-    )
-    partial = prepared.mapInPandas(_moments(by, k, pairs), out_schema)
-    sums = ["sum(_n) AS _n"]
-    sums += [f"sum(_s{i}) AS _s{i}" for i in range(k)]
-    sums += [f"sum(_p{i}_{j}) AS _p{i}_{j}" for i, j in pairs]
-    patterns = partial.groupBy(*by, "_mask").agg(*[F.expr(e) for e in sums])
-
-    # 2. one row per (group, pattern, pair), kept where both columns are
-    #    present, then summed per (group, pair): six sums, one coefficient
-    cells = ", ".join(
-        f"named_struct('i', {i}, 'j', {j}, 'sa', _s{i}, 'sb', _s{j}, "
-        f"'saa', _p{i}_{i}, 'sbb', _p{j}_{j}, 'sab', _p{i}_{j})"
-        for i, j in pairs
-    )
-    per_pattern = patterns.selectExpr(*[f"`{b}`" for b in by], "_mask", "_n", f"inline(array({cells}))")
-    per_pair = (
-        per_pattern.where("(_mask & (shiftleft(1, i) | shiftleft(1, j))) = 0")
-        .groupBy(*by, "i", "j")
-        .agg(
-            F.expr(f"CAST(sum(_n) AS {INT}) AS n"),
-            F.expr("sum(sa) AS a"),
-            F.expr("sum(sb) AS b"),
-            F.expr("sum(saa) AS aa"),
-            F.expr("sum(sbb) AS bb"),
-            F.expr("sum(sab) AS ab"),
-        )
-    )
-
-    def comoment(x: str, y: str, xy: str) -> str:
-        exact = f"try_subtract(try_multiply(n, {xy}), try_multiply({x}, {y}))"
-        approx = f"CAST(n AS DOUBLE) * CAST({xy} AS DOUBLE) - CAST({x} AS DOUBLE) * CAST({y} AS DOUBLE)"
-        return f"coalesce(CAST({exact} AS DOUBLE), {approx})"
-
-    scored = per_pair.selectExpr(
-        *[f"`{b}`" for b in by], "i", "j",
-        f"{comoment('a', 'b', 'ab')} AS _cov", f"{comoment('a', 'a', 'aa')} AS _va",
-        f"{comoment('b', 'b', 'bb')} AS _vb", "n",
-    ).selectExpr(
-        *[f"`{b}`" for b in by], "i", "j",
-        "CASE WHEN n >= 2 AND _va > 0 AND _vb > 0 THEN _cov / sqrt(_va * _vb) END AS corr",
-    )
+    by, cols = list(by), list(columns)
+    means = df.selectExpr(*[f"avg({_value(c)}) AS _m{i}" for i, c in enumerate(cols)]).first()
+    pilots = [float(m) if m is not None and abs(m) < float("inf") else 0.0 for m in means]
+    scored = pair_coefficients(pattern_sums(df, cols, by, pilots), len(cols), by)
     names = "array(" + ", ".join(f"'{c}'" for c in cols) + ")"
     # both orientations of every off-diagonal pair
     return scored.selectExpr(

@@ -74,12 +74,23 @@ def upsert_into(
     reads it, and the checkpoint also cuts the lineage.  The list of days is
     collected to the driver - one value per day, bounded by the calendar.
     """
+    checkpoint_root(spark)
+    updates = updates.checkpoint(eager=True)  # read twice: for its days and for the merge
     days = [r[0] for r in updates.select(date_col).distinct().collect()]
+    # a null day is a partition too, and overwritten like the others
+    touched = F.col(date_col).isin([d for d in days if d is not None])
+    if None in days:
+        touched = touched | F.col(date_col).isNull()
     try:
-        existing = spark.read.parquet(path).where(F.col(date_col).isin(days))
-    except AnalysisException:  # no table yet
-        existing = None
+        existing = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = None  # no table yet
+    if existing is not None:
+        if date_col not in existing.columns:
+            raise ValueError(f"the table at {path} has no column {date_col}")
+        existing = existing.where(touched)
     merged = updates if existing is None else existing.unionByName(updates)
     merged = latest_per_key(merged, [*keys, date_col], seq)
-    checkpoint_root(spark)
     return write_partitions(merged.checkpoint(eager=True), path, [date_col])

@@ -108,11 +108,14 @@ def build_features(readings: DataFrame, weather: DataFrame, **join_kw) -> DataFr
     carries unmatched rows.
     """
     r = with_calendar(with_timestamp(readings))
-    joined = drop_incomplete(join_weather(r, weather, how="inner", **join_kw))
-    return enrich(joined).select(*S.FEATURE_COLUMNS)
+    # the count comes first: a list that does not parse has none, and a null
+    # label would fail the fit as a whole
+    joined = drop_incomplete(enrich(join_weather(r, weather, how="inner", **join_kw)))
+    return joined.select(*S.FEATURE_COLUMNS)
 
 
 def build_features_left(readings: DataFrame, weather: DataFrame, **join_kw) -> DataFrame:
     """Left join, unmatched readings kept with null weather."""
     r = with_calendar(with_timestamp(readings))
+    join_kw.setdefault("null_safe", True)  # as pandas merges: null keys match null keys
     return enrich(join_weather(r, weather, how="left", **join_kw)).select(*S.FEATURE_COLUMNS)

@@ -2,7 +2,7 @@
 
 The weather side has one row per hour, so its size is bounded by the time
 span, never by the number of readings.  It is still broadcast only after its
-row count has been checked against ``max_rows``; above the bound the join is
+stored size has been checked against a bound in bytes; above the bound the join is
 left to the planner (sort-merge / AQE), which never fails on size, and AQE's
 skew-join handling splits an hour that holds an outsized share of readings.
 """
@@ -11,29 +11,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velolake import schemas as S
 from velolake.functions import columns as C
+from velolake.session import scratch_path
 
-# ~100 bytes per hourly weather row -> ~50 MB at the bound (57 years of hours).
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# Bytes as stored (Parquet) up to which a side is broadcast.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def checked_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(frame, broadcast?)``.
 
-    The frame is persisted (recomputable from lineage if an executor is
-    lost) and counted with a ``limit`` so the check stops at ``max_rows + 1``.
-    Only a frame proven to be within the bound gets the broadcast hint.
+    The frame is written to a fresh folder in the shared scratch space and
+    read back from there, so its size is known from the files and nothing is
+    cached: a later call with new data reads the new data.  Only a frame
+    within the bound gets the broadcast hint.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    return small, False
+    spark, path = small.sparkSession, scratch_path(small.sparkSession, "small-side")
+    small.write.parquet(path)
+    stored = spark.read.schema(small.schema).parquet(path)
+    size = int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return (F.broadcast(stored), True) if size <= max_bytes else (stored, False)
 
 
 def weather_by_hour(weather: DataFrame, ts: str = "Time") -> DataFrame:
@@ -48,7 +49,7 @@ def join_weather(
     weather: DataFrame,
     how: str = "inner",
     null_safe: bool = False,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     weather_ts: str = "Time",
 ) -> DataFrame:
     """Readings (with calendar columns) joined to hourly weather.
@@ -58,7 +59,7 @@ def join_weather(
     weather rows whose keys are null (pandas ``merge`` matches NaN keys).
     """
     w = weather_by_hour(weather, weather_ts)
-    w, _ = checked_broadcast(w, max_broadcast_rows)
+    w, _ = checked_broadcast(w, max_broadcast_bytes)
     if not null_safe:
         return readings.join(w, on=S.HOUR_KEYS, how=how)
     r = readings.alias("r")

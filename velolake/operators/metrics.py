@@ -36,25 +36,15 @@ def clean(col: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def quantise(col: str | Column, decimals: int = 0) -> Column:
-    """``col`` as a whole number of ``10**-decimals`` units (bigint), ties
-    rounded up.  ``floor(x + 0.5)`` stays in primitive arithmetic, where
-    ``round`` on a double goes through BigDecimal for every row."""
-    return F.floor(clean(col) * (10**decimals) + 0.5)
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
-def quantised_sum(col: str | Column, decimals: int = 0) -> Column:
-    """Exact sum of ``col`` quantised to ``decimals`` places, as an integer
-    count of units (bigint: exact, and an overflow raises under ANSI mode
-    instead of wrapping)."""
-    return F.sum(quantise(col, decimals))
-
-
-def exact_mean(col: str | Column, decimals: int = 0) -> Column:
-    """Mean of the non-null values of ``col`` quantised to ``decimals``
-    places: integer sum, then a single double division."""
-    c = clean(col)
-    return quantised_sum(col, decimals).cast("double") / (F.count(c) * (10**decimals))
+def mean_of(df: DataFrame, col: str) -> Column:
+    """Mean of the non-null values of ``df``'s column.  Whole numbers are
+    summed exactly and divided once; other types have a plain average."""
+    if dict(df.dtypes)[col] in INTEGERS:
+        return F.sum(F.col(col).cast("decimal(38,0)")).cast("double") / F.count(col)
+    return F.avg(clean(col))
 
 
 # A1 -------------------------------------------------------------------------
@@ -104,7 +94,7 @@ def busiest(
     The count per (group, bucket) is a partial hash aggregate; the arg-max
     runs on the counted table (one row per bucket)."""
     keys = _by(by)
-    counted = df.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.where(bucket.isNotNull()).groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     best = F.min(F.struct((-F.col("_n")).alias("negN"), F.col("_b").alias("b")))
     return counted.groupBy(*keys).agg(
         best.getField("b").alias(name), (-best.getField("negN")).alias("readings")
@@ -130,7 +120,7 @@ def weekend_vs_weekday(
 ) -> DataFrame:
     """Mean ``value`` on weekdays and on weekends, labelled."""
     keys = _by(by)
-    return df.groupBy(*keys, flag).agg(exact_mean(value).alias("meanAvailableBikes")).select(
+    return df.groupBy(*keys, flag).agg(mean_of(df, value).alias("meanAvailableBikes")).select(
         *keys, C.weekend_label(flag).alias("dayType"), "meanAvailableBikes"
     )
 
@@ -145,7 +135,6 @@ def hourly_resample(
     ts: str = "timestamp",
     means: Sequence[str] = HOURLY_MEANS,
     sums: Sequence[str] = (S.LABEL,),
-    decimals: int = S.MEASURE_DECIMALS,
 ) -> DataFrame:
     """Hourly series per group: mean of ``means``, sum of ``sums``; every
     hour between the group's first and last reading is present (gap hours:
@@ -160,7 +149,7 @@ def hourly_resample(
     keys = _by(by)
     hour = C.hour_floor(ts)
     agg = df.where(F.col(ts).isNotNull()).groupBy(*keys, hour.alias("hour")).agg(
-        *[exact_mean(m, decimals).alias(m) for m in means],
+        *[mean_of(df, m).alias(m) for m in means],
         *[F.sum(s).alias(s) for s in sums],
     )
     step = F.expr("INTERVAL 1 HOUR")
@@ -185,7 +174,7 @@ def date_range(df: DataFrame, by=("kind",), ts: str = "timestamp") -> DataFrame:
         F.date_format(F.min(ts), "yyyy-MM-dd").alias("minDate"),
         F.date_format(F.max(ts), "yyyy-MM-dd").alias("maxDate"),
     )
-    return r.withColumn("rangeName", F.concat_ws("-", "minDate", "maxDate"))
+    return r.withColumn("rangeName", F.concat("minDate", F.lit("-"), "maxDate"))  # null without rows
 
 
 # A9 / F7 --------------------------------------------------------------------
@@ -207,7 +196,7 @@ def station_profile(
     return df.groupBy(station).agg(
         F.min(value).alias("minBikes"),
         F.max(value).alias("maxBikes"),
-        exact_mean(value).alias("meanBikes"),
+        mean_of(df, value).alias("meanBikes"),
         F.count_distinct("Lat", "Long").alias("positions"),
         F.min("Lat").alias("minLat"),
         F.max("Lat").alias("maxLat"),

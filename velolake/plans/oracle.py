@@ -89,11 +89,6 @@ scored AS (
 SLOT = "(date_trunc('hour', timestamp) + to_minutes(CAST(minute(timestamp) // 10 * 10 AS BIGINT)))"
 
 
-def exact_mean(col: str, decimals: int) -> str:
-    scale = 10**decimals
-    return f"CAST(sum(CAST(round({col} * {scale}) AS BIGINT)) AS DOUBLE) / (count({col}) * {scale})"
-
-
 def exact_double(expr: str) -> str:
     """A huge integer converted to the nearest double."""
     return f"CAST(CAST({expr} AS VARCHAR) AS DOUBLE)"
@@ -102,30 +97,19 @@ def exact_double(expr: str) -> str:
 def correlation_sql() -> str:
     cols = S.CORRELATION_COLUMNS
     unpivot = "\n  UNION ALL ".join(
-        f"SELECT readingId, kind, '{c}' AS col, "
-        f"CAST(round(CAST({c} AS DOUBLE) * {10 ** S.CORRELATION_DECIMALS[c]}) AS BIGINT) AS v "
+        f"SELECT readingId, kind, '{c}' AS col, CAST({c} AS DOUBLE) AS v "
         f"FROM features WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))"
         for c in cols
     )
     return (
         BASE
         + f""", cells AS (
-  {unpivot}),
-moments AS (
-  SELECT a.kind, a.col AS colA, b.col AS colB, count(*) AS n,
-         sum(a.v) AS sa, sum(b.v) AS sb, sum(a.v * a.v) AS saa, sum(b.v * b.v) AS sbb,
-         sum(a.v * b.v) AS sab
-  FROM cells a JOIN cells b ON a.readingId = b.readingId
-  GROUP BY a.kind, a.col, b.col),
-terms AS (
-  SELECT kind, colA, colB, n,
-         {exact_double('n * sab - sa * sb')} AS cov,
-         {exact_double('n * saa - sa * sa')} AS va,
-         {exact_double('n * sbb - sb * sb')} AS vb
-  FROM moments)
-SELECT kind, colA, colB,
-       CASE WHEN n >= 2 AND va > 0 AND vb > 0 THEN cov / sqrt(va * vb) END AS corr
-FROM terms"""
+  {unpivot})
+SELECT a.kind, a.col AS colA, b.col AS colB,
+       CASE WHEN count(*) >= 2 AND min(a.v) < max(a.v) AND min(b.v) < max(b.v)
+            THEN CASE WHEN a.col = b.col THEN 1.0::DOUBLE ELSE round(corr(a.v, b.v), 6) + 0.0::DOUBLE END END AS corr
+FROM cells a JOIN cells b ON a.readingId = b.readingId
+GROUP BY a.kind, a.col, b.col"""
     )
 
 

@@ -19,10 +19,12 @@ from velolake.ml import forest as ML
 from velolake.operators import correlation as CORR
 from velolake.operators import dedupe as DD
 from velolake.operators import features as FE
+from velolake.operators import joins as J
 from velolake.operators import metrics as M
 from velolake.operators import sampling as SA
 from velolake.plans import binding as B
 from velolake.plans import oracle as O
+from velolake.plans import stages as STG
 from velolake.session import scratch_path
 from velolake.sinks import documents as DOC
 from velolake.sources import csv as CSV
@@ -123,15 +125,13 @@ WHERE Time >= {_ts(_days(-14))} AND Time < {_ts(_days(1))}"""
 
 
 def weather_for_readings(spark, sf):
-    window = ST.two_week_scan_alt(B.readings(spark, sf), D)
-    return WX.weather_window_of_readings(B.weather(spark, sf), window)
+    return WX.weather_window_of_readings(B.weather(spark, sf), B.readings(spark, sf))
 
 
-SQL_WEATHER_FOR_READINGS = O.BASE + f""",
-win AS (SELECT * FROM readings WHERE timestamp >= {_ts(_days(-15))} AND timestamp < {_ts(_days(-1))})
+SQL_WEATHER_FOR_READINGS = O.BASE + f"""
 SELECT Time, {O.MEASURES} FROM weather
-WHERE Time >= (SELECT CAST(CAST(min(timestamp) AS DATE) AS TIMESTAMP) FROM win)
-  AND Time < (SELECT CAST(CAST(max(timestamp) AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) FROM win)"""
+WHERE Time >= (SELECT CAST(CAST(min(timestamp) AS DATE) AS TIMESTAMP) FROM readings)
+  AND Time < (SELECT CAST(CAST(max(timestamp) AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) FROM readings)"""
 
 
 def geo_radius(spark, sf):
@@ -415,7 +415,8 @@ QUALIFY row_number() OVER (PARTITION BY kind ORDER BY readings DESC, busiestDay)
 
 
 def correlation_matrix(spark, sf):
-    return CORR.correlation_long(B.features(spark, sf))
+    # equal to six digits: sums of doubles depend on the order of rows
+    return CORR.correlation_long(B.features(spark, sf)).withColumn("corr", F.round("corr", 6))
 
 
 SQL_CORRELATION_MATRIX = O.correlation_sql()
@@ -432,15 +433,17 @@ FROM features GROUP BY kind, IsWeekend"""
 
 
 def hourly_resample(spark, sf):
-    return M.hourly_resample(B.features(spark, sf))
+    hours = M.hourly_resample(B.features(spark, sf))
+    # averages of doubles depend on the order of rows in the last digits
+    return hours.select("kind", "hour", *[F.round(m, 6).alias(m) for m in M.HOURLY_MEANS], S.LABEL)
 
 
 SQL_HOURLY_RESAMPLE = O.BASE + f""",
 agg AS (
   SELECT kind, date_trunc('hour', timestamp) AS hour,
-         {O.exact_mean('Humidity', S.MEASURE_DECIMALS)} AS Humidity,
-         {O.exact_mean('Wind_Speed', S.MEASURE_DECIMALS)} AS Wind_Speed,
-         {O.exact_mean('Temperature', S.MEASURE_DECIMALS)} AS Temperature,
+         round(avg(Humidity), 6) AS Humidity,
+         round(avg(Wind_Speed), 6) AS Wind_Speed,
+         round(avg(Temperature), 6) AS Temperature,
          sum(TotalAvailableBikes) AS TotalAvailableBikes
   FROM features GROUP BY ALL),
 grid AS (
@@ -548,10 +551,128 @@ def forest_predictions(spark, sf):
     """M2 + M3: random forest fitted on the training split, scored on the
     test split (not SQL-expressible)."""
     train, test = SA.split_by_hash(B.features(spark, sf), TEST_SHARE)
-    model = ML.fit(train)
+    model = ML.fit(train, maxDepth=QUERY_DEPTH)
     return ML.score(model, test)
 
 
+# MLlib ships the growing forest to the executors at every level; at its
+# full depth of 30 that takes minutes on a few thousand rows.
+QUERY_DEPTH = 12
+
+
+def splits_read_back(spark, sf):
+    """S7 + P11 + K2: the four parts written, read back and joined by key."""
+    base = scratch_path(spark, "splits")
+    path = STG.write_splits(B.features(spark, sf), base, "all", TEST_SHARE)
+    out = None
+    for split in STG.SPLITS:
+        target = STG.read_split(spark, path, split, "target")
+        parts = STG.read_split(spark, path, split, "features").join(target, "readingId")
+        parts = parts.select("readingId", F.lit(split).alias("split"), "Hour", S.LABEL)
+        out = parts if out is None else out.unionByName(parts)
+    return out
+
+
+SQL_SPLITS_READ_BACK = O.BASE + f""", {O.SPLIT}
+SELECT readingId, 'train' AS split, Hour, TotalAvailableBikes FROM train JOIN features f USING (readingId, TotalAvailableBikes, Hour)
+UNION ALL SELECT readingId, 'test', Hour, TotalAvailableBikes FROM test JOIN features f USING (readingId, TotalAvailableBikes, Hour)"""
+
+
+def metrics_csv(spark, sf):
+    """K6 + F8: the metrics as a one-row CSV at a dated path, read back."""
+    path = CSV.object_path(scratch_path(spark, "metrics_csv"), "model-metrics", CSV.dated_name("metrics-", D.isoformat()))
+    CSV.write_csv(CSV.require_rows(regression_metrics(spark, sf), "the metrics"), path)
+    schema = spark.createDataFrame([], "n long, MAE double, MSE double, R2 double").schema
+    return CSV.read_csv(spark, path, schema)
+
+
+def side_tables(spark, sf):
+    """K7: the weekend table written with the other side tables, read back."""
+    parts = DOC.stored_parts(B.features(spark, sf))
+    paths = DOC.write_side_tables(None, scratch_path(spark, "side_tables"), "all", parts)
+    schema = spark.createDataFrame([], "kind string, dayType string, meanAvailableBikes double").schema
+    return CSV.read_csv(spark, paths["weekend"], schema)
+
+
+def dated_object(spark, sf):
+    """K4: readings written under the name of their day, counted by the name
+    found in the path."""
+    base, day = scratch_path(spark, "dated_object"), D.isoformat()
+    path = f"{base}/{CSV.dated_name('readings-', day)}"
+    CSV.write_csv(ST.two_week_scan(B.readings(spark, sf), D).select("readingId", "stationId"), path)
+    back = spark.read.options(**CSV.CSV_OPTIONS).csv(path)
+    name = F.regexp_extract(F.input_file_name(), r"/(readings-[0-9-]+\.csv)/", 1)
+    return back.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+SQL_DATED_OBJECT = O.BASE + f"""
+SELECT 'readings-{D.isoformat()}.csv' AS name, count(*) AS n FROM readings
+WHERE timestamp >= {_ts(_days(-14))} AND timestamp < {_ts(_days(1))}"""
+
+
+def whole_bikes(spark, sf):
+    """Halves round to the even neighbour."""
+    half = (F.col("event_id") % 1001 - 500) / F.lit(2.0)
+    return B.events(spark, sf).select("event_id", C.whole_bikes(half).alias("bikes"))
+
+
+SQL_WHOLE_BIKES = "SELECT event_id, CAST(round_even((event_id % 1001 - 500) / 2.0, 0) AS BIGINT) AS bikes FROM events"
+
+
+def one_station_profile(spark, sf):
+    """the profile of one station."""
+    return M.station_profile(B.features(spark, sf), only="STATION 1")
+
+
+SQL_ONE_STATION_PROFILE = SQL_STATION_PROFILE.replace("FROM features", "FROM features WHERE stationId = 'STATION 1'")
+
+
+def null_safe_join(spark, sf):
+    """Readings whose time does not parse meet the weather row without
+    a time, as null keys match null keys in the surveyed merge."""
+    r = B.readings(spark, sf).withColumn("timestamp", F.when(F.col("readingId") % 7 != 0, F.col("timestamp")))
+    w = B.weather(spark, sf)
+    none = w.agg(F.lit(None).cast("timestamp_ntz").alias("Time"), *[F.max(m).alias(m) for m in S.WEATHER_MEASURES])
+    joined = J.join_weather(FE.with_calendar(r), w.unionByName(none), how="left", null_safe=True)
+    return joined.select("readingId", *S.WEATHER_MEASURES)
+
+
+SQL_NULL_SAFE_JOIN = O.BASE + f"""
+SELECT r.readingId, {", ".join(f"CASE WHEN r.readingId % 7 = 0 THEN (SELECT max({m}) FROM weather) ELSE w.{m} END AS {m}" for m in S.WEATHER_MEASURES)}
+FROM readings r LEFT JOIN weather w ON date_trunc('hour', r.timestamp) = w.Time"""
+
+
+def yesterday_range(spark, sf):
+    """Yesterday on the local wall clock, and its two-week range."""
+    p = C.yesterday_range("timestamp")
+    return B.readings(spark, sf).select("readingId", p["end"].alias("yesterday"), p["start"].alias("rangeStart"))
+
+
+SQL_YESTERDAY_RANGE = O.BASE + f""",
+l AS (SELECT readingId, CAST((timestamp AT TIME ZONE 'UTC') AT TIME ZONE '{S.LOCAL_TZ}' AS DATE) AS d FROM readings)
+SELECT readingId, CAST(d - 1 AS DATE) AS yesterday, CAST(d - {S.WINDOW_DAYS} AS DATE) AS rangeStart FROM l"""
+
+
+def model_reload(spark, sf):
+    """K8 + M2 + M3: rows that a saved and reloaded model scores otherwise
+    than the live one, and rows that a single full tree, taught a label that
+    is a function of its features, does not give back."""
+    train, test = SA.split_by_hash(B.features(spark, sf), TEST_SHARE)
+    exact = lambda df: df.withColumn(S.LABEL, (F.col("IsWeekend") * 5 + 2).cast("int"))
+    model = ML.fit(exact(train), numTrees=1, bootstrap=False, maxDepth=5)
+    path = ML.save(model, scratch_path(spark, "model_reload"))
+    live, back = ML.score(model, exact(test)), ML.score(ML.load(path), exact(test), label=None)
+    both = live.join(back.select("readingId", F.col("prediction").alias("again")), "readingId")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("prediction") != F.col("again")).alias("differing"),
+        F.count_if(F.col("prediction") != F.col(S.LABEL)).alias("wrong"),
+    )
+
+
+SQL_MODEL_RELOAD = O.BASE + f", {O.SPLIT}\nSELECT count(*) AS n, 0::BIGINT AS differing, 0::BIGINT AS wrong FROM test"
+
+
 def metrics_document(spark, sf):
     """K5: the feature table is written once to the shared scratch folder
     (one scan and join of the events); the document's four aggregates then
@@ -573,7 +694,7 @@ def stream_ingest(spark, sf):
     ING.land_snapshots(snaps, landing, landed_seq=0)
     ING.land_snapshots(snaps, landing, landed_seq=1)
     ING.start_ingest(spark, landing, sink, ckpt).awaitTermination()
-    return spark.read.parquet(sink).select("stationId", "timestamp", "AvailableBikes", "IsOpen")
+    return ING.read_latest(spark, sink).select("stationId", "timestamp", "AvailableBikes", "IsOpen")
 
 
 SQL_STREAM_INGEST = f"""
@@ -584,17 +705,18 @@ FROM events"""
 
 
 def stream_hourly(spark, sf):
-    """A7 as a stream: hours closed by the watermark (10 minutes)."""
+    """A7 as a stream: all hours, the newer half landed and read first."""
     landing, sink, ckpt = _stream_dirs(spark, "stream_hourly")
-    ING.land_snapshots(TB.snapshot_text_from_events(B.events(spark, sf)), landing)
-    ING.start_hourly(spark, landing, sink, ckpt, watermark="10 minutes").awaitTermination()
-    return spark.read.parquet(sink)
+    snaps = TB.snapshot_text_from_events(B.events(spark, sf))
+    for half in ("polledAt >= timestamp_ntz'2024-01-16'", "NOT polledAt >= timestamp_ntz'2024-01-16'"):
+        ING.land_snapshots(snaps.where(half), landing)
+        ING.start_hourly(spark, landing, sink, ckpt).awaitTermination()
+    return ING.read_hourly(spark, sink)
 
 
 SQL_STREAM_HOURLY = f"""
 SELECT date_trunc('hour', ts) AS hour, count(*) AS readings, CAST(sum({O.NBIKES}) AS BIGINT) AS availableBikes
-FROM events GROUP BY date_trunc('hour', ts)
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+FROM events GROUP BY date_trunc('hour', ts)"""
 
 
 def stream_upsert(spark, sf):
@@ -665,6 +787,15 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "stream_ingest": (stream_ingest, SQL_STREAM_INGEST),
     "stream_hourly": (stream_hourly, SQL_STREAM_HOURLY),
     "stream_upsert": (stream_upsert, SQL_STREAM_UPSERT),
+    "splits_read_back": (splits_read_back, SQL_SPLITS_READ_BACK),
+    "metrics_csv": (metrics_csv, SQL_REGRESSION_METRICS),
+    "side_tables": (side_tables, SQL_WEEKEND_VS_WEEKDAY),
+    "dated_object": (dated_object, SQL_DATED_OBJECT),
+    "whole_bikes": (whole_bikes, SQL_WHOLE_BIKES),
+    "one_station_profile": (one_station_profile, SQL_ONE_STATION_PROFILE),
+    "null_safe_join": (null_safe_join, SQL_NULL_SAFE_JOIN),
+    "yesterday_range": (yesterday_range, SQL_YESTERDAY_RANGE),
+    "model_reload": (model_reload, SQL_MODEL_RELOAD),
     "metrics_document": (metrics_document, None),
     "forest_predictions": (forest_predictions, None),
 }

@@ -23,6 +23,7 @@ from velolake.ml import forest as ML
 from velolake.operators import features as FE
 from velolake.operators import metrics as M
 from velolake.operators import sampling as SA
+from velolake.session import scratch_path
 from velolake.sinks import documents as DOC
 from velolake.sources import csv as CSV
 from velolake.sources import store as ST
@@ -41,12 +42,16 @@ def prepare(
     window = ST.two_week_scan(readings, day)
     CSV.require_rows(window, "the two-week window")
     feats = FE.with_kind(FE.build_features(window, weather))
-    rng = M.date_range(feats, by=None).first()
-    date_range = rng.rangeName if rng else day.isoformat()
-    path = f"{base.rstrip('/')}/features/{date_range}"
+    # stored once: the range and the table are both read from it
+    joined = scratch_path(spark, "joined-features")
+    feats.write.parquet(joined)
+    rows = CSV.require_rows(spark.read.schema(feats.schema).parquet(joined), "the readings joined to weather")
+    date_range = M.date_range(rows, by=None).first().rangeName
+    path = CSV.object_path(base, "features", date_range)
     (
         # not "day": names resolve case-insensitively and "Day" is a feature
-        feats.withColumn("readingDate", F.to_date("timestamp"))
+        rows.withColumn("readingDate", F.to_date("timestamp"))
+        .hint("rebalance", "kind", "readingDate")  # few files per kind and day
         .write.mode("overwrite")
         .partitionBy("kind", "readingDate")
         .parquet(path)
@@ -59,11 +64,12 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish_metrics(spark: SparkSession, features_path: str, base: str, date_range: str) -> dict[str, str]:
-    """K5 + K7 from the written feature table (one scan per output)."""
-    feats = read_features(spark, features_path)
-    docs = DOC.write_documents(DOC.metrics_document(feats), f"{base.rstrip('/')}/graphs", date_range)
+    """K5 + K7 from the written feature table: the pack and the three tables
+    are computed once, all outputs are made of them."""
+    parts = DOC.stored_parts(read_features(spark, features_path))
+    docs = DOC.write_documents(DOC.metrics_document(parts=parts), f"{base.rstrip('/')}/graphs", date_range)
     out = {f"document_{k}": v for k, v in docs.items()}
-    out.update(DOC.write_side_tables(feats, f"{base.rstrip('/')}/tables", date_range))
+    out.update(DOC.write_side_tables(None, f"{base.rstrip('/')}/tables", date_range, parts))
     return out
 
 
@@ -80,7 +86,7 @@ def write_splits(features: DataFrame, base: str, date_range: str, test_share: fl
     from velolake import schemas as S
 
     train, test = SA.split_by_hash(features, test_share, key)
-    path = f"{base.rstrip('/')}/splits/{date_range}"
+    path = CSV.object_path(base, "splits", date_range)
     for split, df in zip(SPLITS, (train, test)):
         target, feats = FE.split_target(df, S.LABEL, key)
         FE.select_features(feats, keep=[key]).write.mode("overwrite").parquet(f"{path}/split={split}/part=features")
@@ -105,10 +111,10 @@ def train_and_evaluate(
     feats = read_features(spark, features_path)
     train, test = SA.split_by_hash(feats, test_share)
     model = ML.fit(train, **forest_params)
-    model_path = ML.save(model, f"{base.rstrip('/')}/model/{date_range}")
+    model_path = ML.save(model, CSV.object_path(base, "model", date_range))
     scored = ML.score(model, test)
     metrics_path = CSV.write_csv(
-        ML.regression_metrics(scored), f"{base.rstrip('/')}/model-metrics/{date_range}"
+        ML.regression_metrics(scored), CSV.object_path(base, "model-metrics", date_range)
     )
     return {"model": model_path, "metrics": metrics_path}
 

@@ -74,29 +74,6 @@ CORRELATION_COLUMNS = [
     "IsWeekend",
 ]
 
-# Decimal places the weather source reports its measures with; means over
-# them are computed exactly at this precision.
-MEASURE_DECIMALS = 2
-
-# Decimal places per correlation column (exact moment sums, see A5).
-CORRELATION_DECIMALS = {
-    "AvailableBikes": 0,
-    "Distance": 2,
-    "Long": 6,
-    "Lat": 6,
-    "Year": 0,
-    "Month": 0,
-    "Day": 0,
-    "Hour": 0,
-    "Temperature": 2,
-    "Humidity": 2,
-    "Wind_Speed": 2,
-    "Precipitation": 2,
-    "Visibility": 2,
-    "Snowfall": 2,
-    "IsWeekend": 0,
-}
-
 # Visibility imputed where the weather source has no value.
 VISIBILITY_FILL = 23180.0
 

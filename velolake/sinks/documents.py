@@ -16,6 +16,7 @@ from velolake import schemas as S
 from velolake.functions import columns as C
 from velolake.operators import correlation as CORR
 from velolake.operators import metrics as M
+from velolake.session import scratch_path
 from velolake.sources.csv import object_path, write_csv
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -40,13 +41,26 @@ def metrics_tables(features: DataFrame) -> dict[str, DataFrame]:
     return {"correlation": corr, "weekend": weekend, "hourly": hourly}
 
 
-def metrics_document(features: DataFrame) -> DataFrame:
+def stored_parts(features: DataFrame) -> dict[str, DataFrame]:
+    """The scalar pack and the three tables, each computed once: written to
+    the shared scratch folder and read back for every output made of them."""
+    spark, root = features.sparkSession, scratch_path(features.sparkSession, "metric-parts")
+    out = {}
+    for name, df in {"pack": M.metrics_pack(features), **metrics_tables(features)}.items():
+        df.write.parquet(f"{root}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    return out
+
+
+def metrics_document(features: DataFrame | None = None, parts: dict[str, DataFrame] | None = None) -> DataFrame:
     """``(kind, document)``: the nine metrics of one kind as one JSON text,
     keyed and shaped as the dashboard reads them: scalars as text, tables
     as lists of records (the correlation matrix one record per row, in
-    column order; gap hours with null means)."""
+    column order; gap hours with null means).  ``parts`` are the tables of
+    :func:`stored_parts`, where they are at hand."""
     cols = list(S.CORRELATION_COLUMNS)
-    pack = M.metrics_pack(features)
+    t = parts or {"pack": M.metrics_pack(features), **metrics_tables(features)}
+    pack = t["pack"]
     scalars = pack.select(
         "kind",
         _text("numStations").alias("number_of_bikes_available"),
@@ -56,7 +70,6 @@ def metrics_document(features: DataFrame) -> DataFrame:
         C.timestamp_text("warmestDay").alias("warmest_day"),
         C.timestamp_text("busiestTime").alias("day_with_most_used_bikes"),
     )
-    t = metrics_tables(features)
     wide = CORR.correlation_wide(t["correlation"], cols)
     names = F.array(*[F.lit(c) for c in cols])
     corr = _ordered_records(wide, F.array_position(names, F.col("colA")), cols).withColumnRenamed(
@@ -82,17 +95,21 @@ def metrics_document(features: DataFrame) -> DataFrame:
 def write_documents(docs: DataFrame, base: str, date_range: str, kinds=(S.KIND_STATION, S.KIND_SINGLE)) -> dict[str, str]:
     """K5: ``{base}/{kind}/{range}/`` holds the kind's document (one line of
     JSON; one small file per kind)."""
+    path = scratch_path(docs.sparkSession, "documents")  # one row per kind, made once
+    docs.write.parquet(path)
+    docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
     out = {}
     for kind in kinds:
-        path = f"{base.rstrip('/')}/{kind}/{date_range}"
+        path = object_path(base, kind, date_range)
         docs.where(F.col("kind") == kind).select("document").coalesce(1).write.mode("overwrite").text(path)
         out[kind] = path
     return out
 
 
-def write_side_tables(features: DataFrame, base: str, date_range: str) -> dict[str, str]:
+def write_side_tables(features: DataFrame | None, base: str, date_range: str, parts: dict[str, DataFrame] | None = None) -> dict[str, str]:
     """K7: each long table as CSV under ``{base}/{table}/{range}``."""
     out = {}
-    for name, table in metrics_tables(features).items():
+    tables = {k: v for k, v in parts.items() if k != "pack"} if parts else metrics_tables(features)
+    for name, table in tables.items():
         out[name] = write_csv(table, object_path(base, name, date_range))
     return out

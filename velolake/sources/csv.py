@@ -13,6 +13,9 @@ from velolake import schemas as S
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
+    # spaces at the edges of a field are part of it
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -38,19 +41,29 @@ def read_csv(
     schema: T.StructType | None = None,
     infer: bool = False,
     na_tokens: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read CSV with a header.
 
-    With ``schema`` every column is read as text first, NA tokens are turned
-    into nulls and the text is then cast with ``try_cast`` (unparsable ->
-    null).  ``infer=True`` keeps Spark's inference (one extra pass).
+    With ``schema`` columns are found by their names in the header, in any
+    order; a name that the header lacks is an error, as is a file whose
+    header differs from the first one's.  Every column is read as text first,
+    NA tokens are turned into nulls and the text is then cast with
+    ``try_cast`` (unparsable -> null).  ``infer=True`` keeps Spark's
+    inference (one extra pass).  ``multi_line=True`` reads fields that hold
+    line breaks; such files are not split, so write them in pieces
+    (``write_csv(..., max_records=...)``).
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
     if schema is None:
         df = reader.option("inferSchema", str(infer).lower()).csv(path)
         return normalise_na(df, na_tokens)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    df = normalise_na(reader.schema(text_schema).csv(path), na_tokens)
+    header = reader.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"Columns missing in {path}: {missing}")
+    text_schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    df = normalise_na(reader.schema(text_schema).option("enforceSchema", "false").csv(path), na_tokens)
     return df.select(
         *[
             (F.col(f.name) if isinstance(f.dataType, T.StringType) else _typed(f)).alias(f.name)
@@ -86,15 +99,18 @@ def select_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 def object_path(base: str, kind: str, date_range: str, filename: str | None = None) -> str:
     """K2 path layout ``{base}/{kind}/{range}[/{filename}]``."""
-    parts = [base.rstrip("/"), kind, date_range]
-    if filename:
-        parts.append(filename)
+    parts = [base.rstrip("/"), kind, date_range] + ([filename] if filename is not None else [])
+    # an empty part would name the parent folder, which a write then replaces
+    if any(not p or not p.strip("/. ") for p in parts):
+        raise ValueError(f"empty part in object path: {parts}")
     return "/".join(parts)
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "overwrite"):
-    """K2/K3: CSV with header; quotes doubled inside fields."""
-    select_columns(df, columns).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "overwrite", max_records: int = 0):
+    """K2/K3: CSV with header; quotes doubled inside fields.  ``max_records``
+    bounds the rows of a file (0: no bound)."""
+    writer = select_columns(df, columns).write.mode(mode).options(**CSV_OPTIONS)
+    writer.option("maxRecordsPerFile", max_records).csv(path)
     return path
 
 

@@ -32,7 +32,7 @@ def flatten_snapshot_text(
     return parsed.select(*keep, "s.*")
 
 
-def snapshot_to_items(stations: DataFrame, polled_at: str = "polledAt") -> DataFrame:
+def snapshot_to_items(stations: DataFrame, polled_at: str = "polledAt", keep: tuple[str, ...] = ()) -> DataFrame:
     """Station rows -> store items: ``stationId`` (P2), poll ``timestamp``
     and every station attribute as text (P1), ``BikeIds`` as a list literal."""
     ids = F.col("BikeIds")
@@ -52,12 +52,13 @@ def snapshot_to_items(stations: DataFrame, polled_at: str = "polledAt") -> DataF
         # names case-insensitively
         C.as_text("StationId").alias("sourceStationId"),
         C.as_text("Name").alias("Name"),
-        C.as_text("Lat").alias("Lat"),
-        C.as_text("Long").alias("Long"),
+        C.as_text("Lat", "double").alias("Lat"),
+        C.as_text("Long", "double").alias("Long"),
         C.as_text("IsOpen", "boolean").alias("IsOpen"),
         C.as_text("AvailableBikes").alias("AvailableBikes"),
-        C.as_text("Distance").alias("Distance"),
+        C.as_text("Distance", "double").alias("Distance"),
         bike_ids_text.alias("BikeIds"),
+        *keep,
     )
 
 

@@ -77,7 +77,14 @@ def within_radius(
 
     dlat = math.degrees(radius_m / 6371008.8) * 1.001
     dlon = dlat / max(math.cos(math.radians(abs(lat0) + dlat)), 1e-9)
-    box = F.col(lat).between(lat0 - dlat, lat0 + dlat) & F.col(lon).between(lon0 - dlon, lon0 + dlon)
+    box = F.col(lat).between(lat0 - dlat, lat0 + dlat)
+    if dlon < 180 and abs(lat0) + dlat < 90:  # else every longitude may be near a pole
+        near = F.col(lon).between(lon0 - dlon, lon0 + dlon)
+        if lon0 - dlon < -180:
+            near = near | (F.col(lon) >= lon0 - dlon + 360)
+        if lon0 + dlon > 180:
+            near = near | (F.col(lon) <= lon0 + dlon - 360)
+        box = box & near
     d = C.haversine_m(lat, lon, lat0, lon0)
     out = df.where(box).where(d <= radius_m)
     if distance_col:

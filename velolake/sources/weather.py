@@ -96,9 +96,8 @@ def weather_window_for_day(df: DataFrame, today: dt.date, days: int = S.WINDOW_D
 def weather_window_of_readings(
     weather: DataFrame, readings: DataFrame, ts: str = "Time", readings_ts: str = "timestamp"
 ) -> DataFrame:
-    """F3 (data-driven): weather for the days the readings span.  The two
-    bounds are scalar subqueries (one row each), not a join."""
-    lo = readings.select(F.to_date(F.min(readings_ts))).scalar()
-    hi = readings.select(F.date_add(F.to_date(F.max(readings_ts)), 1)).scalar()
+    """F3 (data-driven): weather for the days the readings span.  Both bounds
+    come from one scalar subquery over the readings, not from a join."""
+    days = readings.select(F.struct(F.to_date(F.min(readings_ts)).alias("lo"), F.date_add(F.to_date(F.max(readings_ts)), 1).alias("hi"))).scalar()
     t = F.col(ts)
-    return weather.where((t >= lo.cast("timestamp_ntz")) & (t < hi.cast("timestamp_ntz")))
+    return weather.where((t >= days["lo"].cast("timestamp_ntz")) & (t < days["hi"].cast("timestamp_ntz")))
