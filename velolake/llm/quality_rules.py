@@ -144,7 +144,9 @@ def judged(df: DataFrame, text: str = "text", rules: tuple = RULES) -> DataFrame
 def kept_rows(df: DataFrame, text: str = "text", rules: tuple = RULES) -> DataFrame:
     """The rows of ``df`` that the rules keep, with its columns alone."""
     whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), F.col(f"`{text}`").alias("text"))
-    return judged(whole, "text", rules).where("kept").select("whole.*")
+    # not a filter: the optimiser would move it below the measures, with each
+    # measure written out again wherever the rules name it
+    return judged(whole, "text", rules).select(F.inline(F.when(F.col("kept"), F.array("whole"))))
 
 
 def digest(documents: DataFrame) -> DataFrame:
