@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -143,6 +144,7 @@ PATTERNS = {
 }
 
 
+@lru_cache(maxsize=None)
 def personal(text):
     out = []
     for kind, pattern in PATTERNS.items():
