@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from velolake.plans import registry
 from conftest import SF_SMALL
 
 TABLES = "events".split()
@@ -16,6 +17,8 @@ FAST = [
     "two_week_scan", "geo_radius", "upsert_latest", "ts_coerce", "bike_count", "weather_join",
     "weather_left_join", "current_weather", "stockholm_time", "extreme_days", "busiest_timestamp",
     "hourly_resample", "metrics_pack", "regression_metrics", "sample_n", "weekend_vs_weekday",
+    "correlation_matrix", "splits_read_back", "metrics_csv", "side_tables", "dated_object", "whole_bikes",
+    "one_station_profile", "null_safe_join", "yesterday_range", "model_reload", "stream_ingest", "stream_hourly",
 ]
 
 
@@ -41,9 +44,9 @@ def duck():
 
 
 def test_contract():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(q) >= 49
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(registry.queries()) <= set(E.queries())
+    q, o = registry.queries(), registry.oracle_sql()
+    assert len(q) >= 58
     assert set(q) - set(o) == {"metrics_document", "forest_predictions"}
 
 
@@ -79,13 +82,11 @@ def test_weather_join_is_broadcast(spark):
 
 
 def test_no_row_at_a_time_python(spark):
-    for key, q in E.queries().items():
-        if key in ("forest_predictions", "stream_ingest", "stream_hourly", "stream_upsert", "csv_round_trip"):
+    for key, q in registry.queries().items():
+        if key in ("forest_predictions", "model_reload", "stream_ingest", "stream_hourly", "stream_upsert", "csv_round_trip"):
             continue
         plan = _plan(q(spark, SF_SMALL))
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
-        if "MapInPandas" in plan:
-            assert key in ("correlation_matrix", "metrics_document"), key
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan, key
 
 
 def test_every_survey_key_is_registered():
