@@ -14,9 +14,11 @@ Signatures are cut into bands; texts with a band in common are candidates.
 Pairs of them are compared exactly, and linked texts form classes (connected
 components).  Not all pairs of a bucket are made: first each member meets
 one member of its bucket, another in each turn; what links are found joins
-classes, and pairs within a class are never made.  Only pairs of a bucket
-that are still apart after that are all compared, so no link that the bands
-show is lost.  Copies are one node of this graph.
+classes, and pairs within a class are never made.  Then all pairs of a
+bucket that are still apart are compared, so no link that the bands show is
+lost.  Pairs that can't be similar are not made at all: what two sets share
+is at most what either shares with any set, so a text with many shingles of
+its own is known to be alone.  Copies are one node of this graph.
 
 At similarity 0.8 a pair shares no band with probability 3e-6.
 
@@ -45,8 +47,8 @@ from velolake.llm.common import extended, free_name, slices, stored
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
-STARS = 4  # turns in which bucket members meet one of them
-BITS = 1 << 22
+STARS = 3  # turns in which bucket members meet one of them
+BROADCAST_ROWS = 1 << 20  # text hashes that are sent to all executors
 WORD = re.compile(r"\w+")
 WORDS_KEPT = 300_000  # entries of the table of hashed words, per worker
 
@@ -101,9 +103,10 @@ def darts(elements: np.ndarray, weights: np.ndarray, upto: np.ndarray, coordinat
     rank, out, turn = np.zeros(len(seed)), [], 0
     while len(seed):
         h = mixed(seed + np.uint64((2 * turn + 1) * int(_M2) % 2**64))
-        rank = rank - np.log1p(-(h >> np.uint64(11)).astype(float) * 2.0**-53)
-        on = np.flatnonzero(rank < bound)
-        which, seed, share, bound, rank, h = which[on], seed[on], share[on], bound[on], rank[on], h[on]
+        uniform = (h >> np.uint64(11)).astype(float) * 2.0**-53
+        on = np.flatnonzero(uniform < -np.expm1(rank - bound))  # only these arrive below the bound
+        which, seed, share, bound, h = which[on], seed[on], share[on], bound[on], h[on]
+        rank = rank[on] - np.log1p(-uniform[on])
         at = mixed(h + _M3)
         if (share < 1).any():
             ok = np.flatnonzero((mixed(at) >> np.uint64(11)).astype(float) * 2.0**-53 < share)
@@ -125,7 +128,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int = BAN
         upto = coordinates * factor / np.bincount(owner, weights)
         which, rank, at, ident = darts(np.concatenate([sets[i][0] for i in todo]), weights, upto[owner], coordinates)
         place = owner[which] * coordinates + at
-        order = np.lexsort((rank, place))
+        order = np.argsort(place + rank / (upto.max() * (1 + 1e-9)))
         place = place[order]
         first = np.flatnonzero(np.diff(place, prepend=-1))
         filled = np.bincount(place[first] // coordinates, minlength=len(todo)) == coordinates
@@ -202,27 +205,57 @@ def signed(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def shingle_sets(df: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
-    """(node, shingles) of the wanted nodes.  A bitmap of fixed size tells
-    most other texts apart before anything is sent; a join does the rest."""
-    places = wanted.select(F.pmod("node", F.lit(BITS)).alias("p")).distinct().collect()  # at most BITS numbers
-    on = np.zeros(BITS, np.uint8)
-    on[[r.p for r in places]] = 1
-    shared = df.sparkSession.sparkContext.broadcast(np.packbits(on).tobytes())  # BITS / 8 bytes
+    """(node, shingles) of the wanted (node, text_hash) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, shingler = np.unpackbits(np.frombuffer(shared.value, np.uint8)).tobytes(), _shingler()
+        shingler = _shingler()
         for batch in slices(batches):
             found: dict[int, bytes] = {}
             for x in batch.column(0).to_pylist():
                 s = shingler.shingles(x or "")
                 node = node_of(s) if len(s) else None
-                if node is not None and node not in found and bits[node % BITS]:
+                if node is not None and node not in found:
                     elements, counts = weighted(s)
                     found[node] = elements.tobytes() + counts.astype(np.uint32).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=SETS.names)
 
-    sent = df.select(text).mapInArrow(run, SETS).join(wanted.select("node"), "node")
-    return sent.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    side = wanted.select("text_hash").distinct()
+    if wanted.count() <= BROADCAST_ROWS:
+        side = F.broadcast(side)  # counted; a longer list is shuffled with the texts
+    t = F.col(f"`{text}`")
+    sent = df.select(t.alias("text")).withColumn("text_hash", F.xxhash64("text")).join(side, "text_hash", "left_semi")
+    return sent.select("text").mapInArrow(run, SETS).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+SHARED = StructType([StructField("shingle", LongType()), StructField("node", LongType()), StructField("weight", LongType())])
+
+
+def weights(sets: DataFrame) -> DataFrame:
+    """(node, weight, common): the weight of a set, and that of its shingles
+    which any other set holds.  What two sets share is ``common`` of either
+    at most, which bounds their similarity without comparing them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            got = [_set(x) for x in batch.column(1).to_pylist()]
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(e) for e, _ in got])
+            cat = lambda k, t: np.concatenate([g[k] for g in got]).astype(t) if got else np.zeros(0, t)
+            yield pa.RecordBatch.from_arrays([pa.array(cat(0, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(cat(1, np.int64))], names=SHARED.names)
+
+    each = sets.select("node", "shingles").mapInArrow(run, SHARED)
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight"))
+    own = held.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
+    whole = sets.select("node", "shingles").mapInArrow(_total, TOTAL)
+    return whole.join(own, "node", "left").select("node", "weight", (F.col("weight") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
+TOTAL = StructType([StructField("node", LongType()), StructField("weight", LongType())])
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = [int(_set(x)[1].sum()) for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.int64())], names=TOTAL.names)
 
 
 def _set(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -264,34 +297,41 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """Per row of ``df``: id, node and ``comp``, the name of its class."""
-    rows = stored(signed(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))), "signed")
+    slim = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
+    rows = stored(signed(slim), "signed")
     texts = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
     members = texts.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    kept = stored(members.join(shared.select("band"), "band"), "buckets")
-    sets = stored(shingle_sets(df, kept.select("node").distinct(), text), "shingle-sets")
-    names, tested = None, None
-    turn = 0
+    found = stored(members.join(shared, "band"), "buckets")
+    seen = found.groupBy("node").agg(F.sum("n").alias("met"))
+    wanted = stored(rows.join(seen.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash")), "wanted")
+    sets = stored(shingle_sets(df, wanted, text), "shingle-sets")
+    known = weights(sets).join(seen, "node").where(F.col("common") >= least * F.col("weight") - 1e-9)
+    kept = stored(found.select("band", "node").join(known, "node"), "members")
+    member = F.struct("node", "comp", "weight", "common", "met")
+    both = F.least("common", "o.common")
+    possible = both >= least * (F.col("weight") + F.col("o.weight") - both) - 1e-9
+    names, tested, turn = None, None, 0
     while True:
         named = kept.withColumn("comp", F.col("node")) if names is None else kept.join(names, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         if turn < STARS:
-            # each member of a bucket with one of its members, another in each turn
-            star = named.groupBy("band").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(turn))).alias("o"))
+            # each member of a bucket with one of its members: the one that
+            # meets most others (an original, among its copies), then others
+            order = F.struct("met", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+            star = named.groupBy("band").agg(F.max_by(member, order).alias("o"))
             met = named.join(star, "band")
         else:
             # what is left: all pairs of a bucket that no link has joined
             mixed_up = named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
             rest = stored(named.join(mixed_up, "band"), "unjoined")
-            met = rest.join(rest.select("band", F.struct("node", "comp").alias("o")), "band").where("node < o.node")
-        pairs = met.where("comp <> o.comp").select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
+            met = rest.join(rest.select(F.col("band").alias("b"), member.alias("o")), (F.col("band") == F.col("b")) & (F.col("node") < F.col("o.node")) & possible)
+        pairs = met.where((F.col("comp") != F.col("o.comp")) & possible).select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         fresh = stored(compared(stored(pairs, "pairs"), sets, least), "compared")
         tested = fresh if tested is None else tested.union(fresh)
-        if fresh.where("linked").limit(1).count() or names is None:
+        if names is None or fresh.where("linked").limit(1).count():
             names = components(tested.where("linked"))
-        elif turn < STARS:
-            turn = STARS - 1  # a star joined nothing: go on to the rest
         turn += 1
         if turn > STARS:
             break
