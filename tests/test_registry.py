@@ -18,7 +18,7 @@ FAST = [
     "weather_left_join", "current_weather", "stockholm_time", "extreme_days", "busiest_timestamp",
     "hourly_resample", "metrics_pack", "regression_metrics", "sample_n", "weekend_vs_weekday",
     "correlation_matrix", "splits_read_back", "metrics_csv", "side_tables", "dated_object", "whole_bikes",
-    "one_station_profile", "null_safe_join", "yesterday_range", "model_reload", "stream_ingest", "stream_hourly",
+    "one_station_profile", "null_safe_join", "yesterday_range", "model_reload", "stream_ingest", "stream_hourly", "quality_counts", "station_positions",
 ]
 
 
@@ -46,7 +46,7 @@ def duck():
 def test_contract():
     assert set(E.oracle_sql()) <= set(E.queries()) and set(registry.queries()) <= set(E.queries())
     q, o = registry.queries(), registry.oracle_sql()
-    assert len(q) >= 58
+    assert len(q) >= 60
     assert set(q) - set(o) == {"metrics_document", "forest_predictions"}
 
 
@@ -76,6 +76,11 @@ def test_scan_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
 
 
+def test_weather_range_reaches_the_scan(spark):
+    plan = _plan(E.queries()["weather_range_scan"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
 def test_weather_join_is_broadcast(spark):
     plan = _plan(E.queries()["weather_join"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

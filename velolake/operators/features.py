@@ -99,6 +99,12 @@ def enrich(joined: DataFrame) -> DataFrame:
     return with_weekend(with_bike_count(joined))
 
 
+def unread_lists(readings: DataFrame) -> DataFrame:
+    """P8's set-aside: readings whose list of bikes is missing or does not
+    parse, which the feature table drops."""
+    return readings.where(C.literal_list_length("BikeIds").isNull())
+
+
 def build_features(readings: DataFrame, weather: DataFrame, **join_kw) -> DataFrame:
     """J2 -> P9 -> P8 -> P7: the feature table.
 

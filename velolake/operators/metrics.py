@@ -177,6 +177,11 @@ def date_range(df: DataFrame, by=("kind",), ts: str = "timestamp") -> DataFrame:
     return r.withColumn("rangeName", F.concat("minDate", F.lit("-"), "maxDate"))  # null without rows
 
 
+def station_positions(df: DataFrame, station: str = "stationId") -> DataFrame:
+    """Every distinct position of every station with its readings."""
+    return df.groupBy(station, "Lat", "Long").agg(F.count(F.lit(1)).alias("readings"))
+
+
 # A9 / F7 --------------------------------------------------------------------
 def station_profile(
     df: DataFrame,

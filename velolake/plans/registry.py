@@ -116,7 +116,9 @@ SQL_WEATHER_EXPLODE = O.BASE + f"SELECT Time AS timestamp, {O.MEASURES} FROM wea
 
 
 def weather_range_scan(spark, sf):
-    return WX.weather_window_for_day(B.weather(spark, sf), D)
+    # the range also stands on the events' own time, where the scan takes it
+    events = WX.weather_window_for_day(B.events(spark, sf), D, ts="ts")
+    return WX.weather_window_for_day(TB.weather_from_events(events), D)
 
 
 SQL_WEATHER_RANGE_SCAN = O.BASE + f"""
@@ -619,6 +621,15 @@ def whole_bikes(spark, sf):
 SQL_WHOLE_BIKES = "SELECT event_id, CAST(round_even((event_id % 1001 - 500) / 2.0, 0) AS BIGINT) AS bikes FROM events"
 
 
+def station_positions(spark, sf):
+    """Distinct positions in long form."""
+    return M.station_positions(B.readings(spark, sf))
+
+
+SQL_STATION_POSITIONS = O.BASE + """
+SELECT stationId, Lat, Long, count(*) AS readings FROM readings GROUP BY stationId, Lat, Long"""
+
+
 def one_station_profile(spark, sf):
     """the profile of one station."""
     return M.station_profile(B.features(spark, sf), only="STATION 1")
@@ -673,6 +684,26 @@ def model_reload(spark, sf):
 SQL_MODEL_RELOAD = O.BASE + f", {O.SPLIT}\nSELECT count(*) AS n, 0::BIGINT AS differing, 0::BIGINT AS wrong FROM test"
 
 
+def quality_counts(spark, sf):
+    """S1 + P8: snapshots and lists with bad texts mixed in; what is landed
+    is what is kept and what is set aside, by reason."""
+    snaps = TB.snapshot_text_from_events(B.events(spark, sf))
+    bad = F.when(F.col("pollId") % 11 == 0, "not json").when(F.col("pollId") % 13 == 0, '{"a": 1}').when(F.col("pollId") % 17 == 0, F.lit(None).cast("string"))
+    snaps = snaps.withColumn("payload", F.when(bad.isNotNull() | (F.col("pollId") % 17 == 0), bad).otherwise(F.col("payload")))
+    aside = SN.set_aside(snaps)
+    kept = SN.flatten_snapshot_text(snaps.join(aside.select("pollId"), "pollId", "left_anti"), keep=["pollId"])
+    lists = B.readings(spark, sf).withColumn("BikeIds", F.when(F.col("readingId") % 19 == 0, "no list").otherwise(F.col("BikeIds")))
+    unread = FE.unread_lists(lists).select(F.lit("unread list").alias("outcome"))
+    counted = kept.select(F.lit("kept").alias("outcome")).unionByName(aside.select(F.col("reason").alias("outcome"))).unionByName(unread)
+    return counted.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+SQL_QUALITY_COUNTS = """
+SELECT CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'no list' WHEN event_id % 17 = 0 THEN 'missing' ELSE 'kept' END AS outcome, count(*) AS n
+FROM events GROUP BY 1
+UNION ALL SELECT 'unread list', count(*) FROM events WHERE event_id % 19 = 0"""
+
+
 def metrics_document(spark, sf):
     """K5: the feature table is written once to the shared scratch folder
     (one scan and join of the events); the document's four aggregates then
@@ -792,10 +823,12 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "side_tables": (side_tables, SQL_WEEKEND_VS_WEEKDAY),
     "dated_object": (dated_object, SQL_DATED_OBJECT),
     "whole_bikes": (whole_bikes, SQL_WHOLE_BIKES),
+    "station_positions": (station_positions, SQL_STATION_POSITIONS),
     "one_station_profile": (one_station_profile, SQL_ONE_STATION_PROFILE),
     "null_safe_join": (null_safe_join, SQL_NULL_SAFE_JOIN),
     "yesterday_range": (yesterday_range, SQL_YESTERDAY_RANGE),
     "model_reload": (model_reload, SQL_MODEL_RELOAD),
+    "quality_counts": (quality_counts, SQL_QUALITY_COUNTS),
     "metrics_document": (metrics_document, None),
     "forest_predictions": (forest_predictions, None),
 }

@@ -22,11 +22,23 @@ def read_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
     return raw
 
 
+def set_aside(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The rows that :func:`flatten_snapshot_text` can't use, with a
+    ``reason``: no text, text that is no list of stations, or an element that
+    is no station.  Kept snapshots and these are all snapshots."""
+    parsed = F.from_json(F.col(payload), S.SNAPSHOT_SCHEMA)
+    # a list text is an array of values even where they are no stations
+    listed = F.col(payload).startswith("[") & parsed.isNotNull()
+    empty = F.exists(parsed, lambda s: s.isNull() | (s["StationId"].isNull() & s["Name"].isNull()))
+    reason = F.when(F.col(payload).isNull(), "missing").when(~listed, "no list").when(empty, "no station")
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def flatten_snapshot_text(
     df: DataFrame, payload: str = "payload", keep: list[str] | None = None
 ) -> DataFrame:
     """A text column holding a JSON list of station objects -> one row per
-    station.  Unparsable text yields no rows (``explode`` of null)."""
+    station.  Unparsable text yields no rows here; :func:`set_aside` has it."""
     keep = keep or [c for c in df.columns if c != payload]
     parsed = df.select(*keep, F.explode(F.from_json(F.col(payload), S.SNAPSHOT_SCHEMA)).alias("s"))
     return parsed.select(*keep, "s.*")
