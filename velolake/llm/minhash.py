@@ -282,10 +282,11 @@ def components(links: DataFrame) -> DataFrame:
     """(node, comp) of all nodes in ``links`` (a, b): each takes the smallest
     name among its neighbours, then its name's name, until nothing changes.
     Every round is stored, so lineage stays short."""
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    names = stored(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("comp")), "names")
+    both = links.select(F.col("a").alias("near"), F.col("b").alias("far"))
+    both = stored(both.union(both.select("far", "near")).distinct(), "links")
+    names = stored(both.groupBy(F.col("near").alias("node")).agg(F.min(F.least("near", "far")).alias("comp")), "names")
     while True:
-        near = both.join(names.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
+        near = both.join(names.select(F.col("node").alias("far"), "comp"), "far").groupBy(F.col("near").alias("node")).agg(F.min("comp").alias("near"))
         lower = names.join(near, "node").select("node", "comp", F.least("comp", "near").alias("low"))
         jump = names.select(F.col("node").alias("low"), F.col("comp").alias("far"))
         new = stored(lower.join(jump, "low").select("node", F.least("low", "far").alias("comp"), F.col("comp").alias("was")), "names")
@@ -295,6 +296,19 @@ def components(links: DataFrame) -> DataFrame:
             return names
 
 
+def joined_classes(names: DataFrame, links: DataFrame) -> DataFrame:
+    """``names`` (node, comp) after new links: the classes they join are the
+    components of the links between classes, of which there are fewer in
+    each turn."""
+    end = lambda k: names.select(F.col("node").alias(k), F.col("comp").alias(f"{k}_comp"))
+    between = links.select("a", "b").join(end("a"), "a").join(end("b"), "b")
+    between = stored(between.where("a_comp <> b_comp").select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).distinct(), "class-links")
+    if between.isEmpty():
+        return names
+    new = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return stored(names.join(new, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "names")
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """Per row of ``df``: id, node and ``comp``, the name of its class."""
     slim = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
@@ -311,9 +325,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: fl
     member = F.struct("node", "comp", "weight", "common", "met")
     both = F.least("common", "o.common")
     possible = both >= least * (F.col("weight") + F.col("o.weight") - both) - 1e-9
-    names, tested, turn = None, None, 0
+    names = stored(known.select("node", F.col("node").alias("comp")), "names")
+    tested, turn = None, 0
     while True:
-        named = kept.withColumn("comp", F.col("node")) if names is None else kept.join(names, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        named = kept.join(names, "node")
         if turn < STARS:
             # each member of a bucket with one of its members: the one that
             # meets most others (an original, among its copies), then others
@@ -323,15 +338,18 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: fl
         else:
             # what is left: all pairs of a bucket that no link has joined
             mixed_up = named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-            rest = stored(named.join(mixed_up, "band"), "unjoined")
-            met = rest.join(rest.select(F.col("band").alias("b"), member.alias("o")), (F.col("band") == F.col("b")) & (F.col("node") < F.col("o.node")) & possible)
+            lists = kept.groupBy("node").agg(F.collect_list("band").alias("bands"))  # at most BANDS
+            rest = stored(named.join(mixed_up, "band").join(lists, "node"), "unjoined")
+            # a pair is made in the first band that it shares, once
+            once = F.col("band") == F.array_min(F.array_intersect("bands", "o_bands"))
+            other = rest.select(F.col("band").alias("b"), member.alias("o"), F.col("bands").alias("o_bands"))
+            met = rest.join(other, (F.col("band") == F.col("b")) & (F.col("node") < F.col("o.node")) & (F.col("comp") != F.col("o.comp")) & possible & once)
         pairs = met.where((F.col("comp") != F.col("o.comp")) & possible).select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         fresh = stored(compared(stored(pairs, "pairs"), sets, least), "compared")
         tested = fresh if tested is None else tested.union(fresh)
-        if names is None or fresh.where("linked").limit(1).count():
-            names = components(tested.where("linked"))
+        names = joined_classes(names, fresh.where("linked"))
         turn += 1
         if turn > STARS:
             break
