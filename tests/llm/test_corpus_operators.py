@@ -117,6 +117,28 @@ def test_recall_over_many_lists(spark):
     assert hit >= 0.9 * 20 * 300
 
 
+def recall(spark, x, every=20):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for row in neighbours.search(df, df.where(f"vec_id % {every} = 0")).select("query_id", "vec_id").collect():
+        found[row.query_id].add(row.vec_id)
+    hit = 0
+    for q in range(0, len(x), every):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    return hit / 20 / len(range(0, len(x), every))
+
+
+def test_recall_over_a_thousand_fine_lists(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 16)
+    r = np.random.default_rng(4)
+    x = r.normal(size=(17_000, 24))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    assert len(x) // neighbours.LIST_SIZE >= 1000
+    assert recall(spark, x, 50) >= 0.97
+
+
 # -- repeated passages ------------------------------------------------------
 def brute_repeats(rows):
     first, out, n = {}, [], suffix_dedup.LENGTH

@@ -7,7 +7,9 @@ it goes to the list of its nearest centroid and, as a boundary vector, to
 the lists of other centroids nearly as near that no chosen centroid hides.
 Centroids are searched in memory through a graph of their neighbours.  A
 query reads the lists whose centroid is at most a ratio farther than its
-nearest one.
+nearest one.  The ratio is ``READ`` or, if that is not enough at the table's
+size, the one that finds ``RECALL`` of the true neighbours of a sample of the
+queries, which are searched by brute force.
 
 Lists of centroids near each other are a bundle, and bundles are kept
 balanced by splitting: a large one (say, with a list full of copies of a
@@ -47,7 +49,9 @@ BLOCK = 8192  # vectors that a block of a bundle holds on average
 ITERATIONS = 8
 REPLICAS = 4  # lists that a boundary vector may be in
 BOUNDARY = 1.1  # of the nearest distance: how far they may be
-READ = 1.18  # of the nearest distance: how far a query's lists may be
+READ = 1.25  # of the nearest distance: how far a query's lists may be at least
+RECALL = 0.99  # of the true neighbours of the sampled queries, which the ratio is raised to
+MEASURED = 200  # queries that the ratio is measured on
 DEGREE = 24  # neighbours of a centroid in the graph
 BEAM = 64
 
@@ -140,11 +144,16 @@ class CentroidGraph:
                 out.append(i)
         return out
 
-    def read_for(self, x: np.ndarray, held: np.ndarray, needed: int) -> list[int]:
-        """Lists a query reads: those within ``READ`` of its nearest, and
+    def ratio_to(self, x: np.ndarray, lists: np.ndarray) -> float:
+        """The ratio at which a query reads the nearest of ``lists``."""
+        far = np.sqrt(np.maximum(0.0, (x**2).sum() - 2 * (self.c @ x - self.half)))
+        return float(min(1e6, far[lists].min() / max(far.min(), 1e-12)))
+
+    def read_for(self, x: np.ndarray, held: np.ndarray, needed: int, ratio: float = READ) -> list[int]:
+        """Lists a query reads: those within ``ratio`` of its nearest, and
         more until their own vectors (``held``) are as many as needed."""
-        ids, far = self.search(x, ratio=READ)
-        near = ids[far <= READ * far[0] + 1e-12]
+        ids, far = self.search(x, ratio=ratio)
+        near = ids[far <= ratio * far[0] + 1e-12]
         if held[near].sum() < needed:
             order = np.argsort(self.half - self.c @ x, kind="stable")
             enough = np.searchsorted(np.cumsum(held[order]), needed) + 1
@@ -200,6 +209,47 @@ def _best(vectors: tuple, queries: tuple, k: int) -> pd.DataFrame:
     return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
 
+def true_neighbours(base: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
+    """(query, vec_id) of the ``k`` best for each row of ``q``, by brute force:
+    each task keeps its best, so it gives at most ``k`` rows a query."""
+    shared = base.sparkSession.sparkContext.broadcast((ids, q))  # MEASURED vectors
+    schema = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, q = shared.value
+        best_id, best = np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                vec_id = part.column(0).to_numpy(zero_copy_only=False)
+                score = q @ np.array(part.column(1).flatten(), float).reshape(-1, q.shape[1]).T
+                score[own[:, None] == vec_id[None, :]] = -np.inf
+                best_id = np.concatenate([best_id, np.broadcast_to(vec_id, score.shape)], 1)
+                best = np.concatenate([best, score], 1)
+                if best.shape[1] > k:
+                    keep = np.argpartition(-best, k - 1, axis=1)[:, :k]
+                    best_id, best = np.take_along_axis(best_id, keep, 1), np.take_along_axis(best, keep, 1)
+        r, c = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(best_id[r, c], pa.int64()), pa.array(best[r, c], pa.float64())], names=schema.names)
+
+    return best_of(base.select("id", "vec").mapInArrow(run, schema), k).select("query_id", "vec_id")
+
+
+def read_ratio(base: DataFrame, asked: DataFrame, index: DataFrame, graph: CentroidGraph, lift, k: int) -> float:
+    """The ratio at which the sampled queries find ``RECALL`` of their true
+    neighbours in ``index``; ``READ`` at least."""
+    sample = asked.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(MEASURED).collect()
+    if not sample:
+        return READ
+    q = np.array([r.vec for r in sample], float)
+    true = true_neighbours(base, np.array([r.id for r in sample], np.int64), q, k)  # at most MEASURED * k rows
+    places = index.select(F.col("id").alias("vec_id"), F.explode("lists").alias("list")).join(F.broadcast(true), "vec_id")
+    # a vector is in REPLICAS lists at most
+    rows = places.groupBy("query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect()
+    needed = [graph.ratio_to(lift(q[r.query_id]), np.array(r.lists)) for r in rows]
+    return max(READ, float(np.quantile(needed, RECALL, method="higher")) * (1 + 1e-9)) if needed else READ
+
+
 def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
     """(query_id, vec_id, score): each query's ``k`` best of ``df`` as found."""
     spark = df.sparkSession
@@ -260,9 +310,13 @@ def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: st
     for r in index.where("first").groupBy(F.get("lists", F.lit(0)).alias("list")).agg(F.count(F.lit(1)).alias("n")).collect():
         held[r.list] = r.n
 
-    def by_query(g, row):  # only a query's direction matters; lifted by 0
-        x = np.append(row * (np.sqrt(m) / max(np.sqrt((row**2).sum()), 1e-300)), 0.0)
-        return [(b, x, True) for b, x in bundled(g.read_for(x, held, min(k + 1, int(held.sum()))))]
+    def asking(row):  # only a query's direction matters; lifted by 0
+        return np.append(row * (np.sqrt(m) / max(np.sqrt((row**2).sum()), 1e-300)), 0.0)
+
+    ratio = read_ratio(base, asked, index, graph, asking, k)
+
+    def by_query(g, row):
+        return [(b, x, True) for b, x in bundled(g.read_for(asking(row), held, min(k + 1, int(held.sum())), ratio))]
 
     counts = index.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).collect()  # fewer rows than lists
     sizes = F.broadcast(spark.createDataFrame([(r.bundle, -(-r.n // BLOCK)) for r in counts], "bundle int, blocks int"))
