@@ -139,6 +139,17 @@ def test_recall_over_a_thousand_fine_lists(spark, monkeypatch):
     assert recall(spark, x, 50) >= 0.97
 
 
+def test_unclustered_vectors_have_replicas():
+    x = np.random.default_rng(6).normal(size=(4000, 64)) / 8
+    graph = neighbours.CentroidGraph(neighbours.fit_centroids(x, 100))
+    lists = [graph.lists_of(v) for v in x[:500]]
+    assert all(1 <= len(set(a)) == len(a) <= neighbours.REPLICAS for a in lists)
+    assert np.mean([len(a) for a in lists]) >= 2
+    for v, a in zip(x, lists):
+        far = np.sqrt(((graph.c - v) ** 2).sum(1))
+        assert far[a[0]] <= far.min() * 1.01 and far[a].max() <= far[a[0]] * neighbours.BOUNDARY + 1e-9
+
+
 # -- repeated passages ------------------------------------------------------
 def brute_repeats(rows):
     first, out, n = {}, [], suffix_dedup.LENGTH

@@ -4,7 +4,7 @@ Vectors are lifted by one coordinate, the root of M^2 - |x|^2 (M: the largest
 norm), so the nearest by distance to a lifted query is the largest inner
 product.  Centroids are fitted on a bounded sample; every vector is indexed:
 it goes to the list of its nearest centroid and, as a boundary vector, to
-the lists of other centroids nearly as near that no chosen centroid hides.
+the lists of other centroids nearly as near.
 Centroids are searched in memory through a graph of their neighbours.  A
 query reads the lists whose centroid is at most a ratio farther than its
 nearest one.  The ratio is ``READ`` or, if that is not enough at the table's
@@ -16,7 +16,10 @@ balanced by splitting: a large one (say, with a list full of copies of a
 vector) is dealt out over blocks by a hash of the id, and a query that reads
 a list of the bundle reads that list in all blocks.  Each (bundle, block) is
 one group of work; it gives the best ``k`` of the lists' vectors for each of
-its queries, and a last step keeps the best over groups.  Where the lists within the ratio hold fewer than ``k`` vectors, a
+its queries, and a last step keeps the best over groups.  A query reads the
+bundle of its nearest list first; the others then give only what scores at
+least as high as the ``k``-th found there, as nothing else can be among the
+best.  Where the lists within the ratio hold fewer than ``k`` vectors, a
 query reads on, list by list, until they hold enough.
 
 Defined cases: vectors that are null, zero, of another length than the first
@@ -134,15 +137,11 @@ class CentroidGraph:
 
     def lists_of(self, x: np.ndarray) -> list[int]:
         """Lists of a vector: the nearest, and those within ``BOUNDARY`` of
-        it that are nearer to the vector than to any list chosen before."""
+        it, ``REPLICAS`` in all at most.  None is left out for being near to
+        another: in many dimensions centroids are nearer to each other than
+        vectors are to them."""
         ids, far = self.search(x, 16)
-        out: list[int] = []
-        for i, d in zip(ids.tolist(), far):
-            if out and (d > BOUNDARY * far[0] + 1e-12 or len(out) >= REPLICAS):
-                break
-            if all(((self.c[i] - self.c[j]) ** 2).sum() > d * d for j in out):
-                out.append(i)
-        return out
+        return ids[far <= BOUNDARY * far[0] + 1e-12][:REPLICAS].tolist()
 
     def ratio_to(self, x: np.ndarray, lists: np.ndarray) -> float:
         """The ratio at which a query reads the nearest of ``lists``."""
@@ -184,8 +183,9 @@ def _part(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows["id"].to_numpy(), np.array(rows["vec"].tolist(), float), bits
 
 
-def _best(vectors: tuple, queries: tuple, k: int) -> pd.DataFrame:
-    """The best ``k`` of the vectors in the lists that each query reads:
+def _best(vectors: tuple, queries: tuple, floor: np.ndarray, k: int) -> pd.DataFrame:
+    """The best ``k`` of the vectors in the lists that each query reads, as
+    far as they reach its ``floor``:
     scores by matrix product find those that can be among them, sums row by
     row rank them, so equal vectors score the same wherever they stand."""
     (ids, x, lists), (qids, q, reads) = vectors, queries
@@ -202,6 +202,7 @@ def _best(vectors: tuple, queries: tuple, k: int) -> pd.DataFrame:
             else:
                 near = seen
             exact = (x[near] * q[at + r]).sum(1)
+            near, exact = near[exact >= floor[at + r]], exact[exact >= floor[at + r]]
             order = np.lexsort((ids[near], -exact))[:k]
             out_q.append(np.full(len(order), qids[at + r]))
             out_v.append(ids[near][order])
@@ -315,22 +316,31 @@ def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: st
 
     ratio = read_ratio(base, asked, index, graph, asking, k)
 
-    def by_query(g, row):
-        return [(b, x, True) for b, x in bundled(g.read_for(asking(row), held, min(k + 1, int(held.sum())), ratio))]
+    def by_query(g, row):  # ``first`` marks the bundle of the nearest list read
+        lists = np.array(g.read_for(asking(row), held, min(k + 1, int(held.sum())), ratio))
+        nearest = lists[(g.c[lists] @ asking(row) - g.half[lists]).argmax()] // BUNDLE
+        return [(b, x, bool(b == nearest)) for b, x in bundled(lists.tolist())]
 
     counts = index.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).collect()  # fewer rows than lists
     sizes = F.broadcast(spark.createDataFrame([(r.bundle, -(-r.n // BLOCK)) for r in counts], "bundle int, blocks int"))
     blocks = index.join(sizes, "bundle").select("bundle", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "lists", "id", "vec")
-    wanted = asked.mapInArrow(place(by_query), placed)
-    work = wanted.join(sizes, "bundle").select("bundle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lists", "id", "vec")
+    wanted = stored(asked.mapInArrow(place(by_query), placed), "ann-queries")
 
     def compare(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        return _best(_part(vectors), _part(queries), k)
-
-    found = blocks.groupBy("bundle", "block").cogroup(work.groupBy("bundle", "block")).applyInPandas(compare, FOUND)
-    return best_of(found, k)
+        return _best(_part(vectors), _part(queries), queries["floor"].to_numpy(float), k)
+
+    def found(asking: DataFrame) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        work = asking.join(sizes, "bundle").select("bundle", every, "lists", "id", "vec", "floor")
+        return blocks.groupBy("bundle", "block").cogroup(work.groupBy("bundle", "block")).applyInPandas(compare, FOUND)
+
+    lowest = F.lit(float("-inf"))
+    near = stored(best_of(found(wanted.where("first").withColumn("floor", lowest)), k), "ann-near").drop("rank")
+    full = near.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    rest = wanted.where(~F.col("first")).join(full.select(F.col("query_id").alias("id"), "floor"), "id", "left")
+    return best_of(near.union(found(rest.withColumn("floor", F.coalesce("floor", lowest)))), k)
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
