@@ -194,6 +194,25 @@ def test_terms_that_disclose_are_masked(spark):
     assert "removed" in told[0] and told[0].startswith("email:") and told[100] == ""
 
 
+def planted(r, n):
+    words = ["".join(x) for x in zip("abcdefghijklmnopqrstuvwxyz" * 2, "eiou" * 13, "lmnrst" * 9)][:40]
+    return [" ".join(r.choice(words) for _ in range(n)) for _ in range(3)]
+
+
+def test_terms_of_entities_seen_one_to_three_times(spark):
+    r = random.Random(8)
+    rows = [(i, " ".join(planted(r, 12))) for i in range(300)]
+    for times, name in ((1, "quixotine"), (2, "brunhildy"), (3, "zanzibarian")):
+        rows += [(1000 * times + i, f"{planted(r, 12)[0]} {name} {name[:3]}@x.example.com {planted(r, 12)[0]}") for i in range(times)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.text for x in personal_data.sanitised(df).collect()}
+    for times, name in ((1, "quixotine"), (2, "brunhildy"), (3, "zanzibarian")):
+        for i in range(times):
+            before, after = dict(rows)[1000 * times + i].split(f"{name} {name[:3]}@x.example.com")
+            assert got[1000 * times + i] in (f"{before}[TERM] [EMAIL]{after}", f"{before} [EMAIL]{after}")
+    assert all(got[i] == x for i, x in rows if i < 1000)
+
+
 def test_sanitised_nulls(docs):
     got = personal_data.sanitised(docs)
     assert got.where("text IS NULL").count() == 1 and got.count() == docs.count()

@@ -7,8 +7,10 @@ the term and ct both within reach of each other, the pointwise mutual
 information log(n * ct / (c * t)) is what the term tells of the entity, and
 log(n / c) is all there is to tell.  Their ratio is the disclosure.  From
 ``REMOVE`` on a term is removed, from ``GENERALISE`` on it is replaced by its
-kind; a pair counts only when it is seen in ``CONTEXTS`` different
-surroundings, so copies of one passage prove nothing.
+kind.  That ratio is 1 + log(ct / t) / log(n / c); as few observations prove
+little, Wilson's lower bound (one-sided, 90 %) stands for the share ct / t.  A
+pair is observed once in each different surrounding, so copies of one passage
+add no confidence; there is no least number of observations.
 
 The corpus is read twice more or less in full: once for the entities and
 their surroundings, once to count the documents of the candidate terms.  A
@@ -42,7 +44,7 @@ from velolake.llm.common import extended, free_name, slices, stored
 KINDS = ("email", "ip", "card", "phone")
 REACH = 8  # terms on either side of an entity
 LEAST_TERM = 3  # letters
-CONTEXTS = 4  # different surroundings that a pair must be seen in
+Z = 1.2816  # normal quantile of the confidence, 90 % one-sided
 REMOVE, GENERALISE = 0.9, 0.6
 BITS = 1 << 20
 
@@ -192,6 +194,15 @@ def term_documents(df: DataFrame, bits: bytes, text: str = "text") -> DataFrame:
     return df.select(text).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def disclosure(ct, contexts, c, t, n: int):
+    """The ratio of the information, at the lower bound of ct / t.  ``t``
+    documents of which ``ct`` show ``contexts`` surroundings are as many
+    observations as surroundings stand for."""
+    share, seen = ct / t, t * F.least(contexts, ct) / ct
+    lower = (share + Z**2 / (2 * seen) - Z * F.sqrt(F.greatest(F.lit(0.0), share * (1 - share)) / seen + (Z / (2 * seen)) ** 2)) / (1 + Z**2 / seen)
+    return 1 + F.ln(lower) / F.ln(F.lit(float(n)) / c)
+
+
 def disclosures(documents: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, disclosure) of the pairs at ``GENERALISE`` or more.
     ``found`` is the stored result of ``entities``."""
@@ -202,14 +213,14 @@ def disclosures(documents: DataFrame, found: DataFrame, text: str = "text") -> D
     pair = holders.select("row", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))).alias("x")).select("x.entity", "x.term")
     both = pair.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("ct"))
     seen = near.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    candidates = stored(both.join(seen.where(F.col("contexts") >= CONTEXTS), ["entity", "term"]), "pii-candidates")
+    candidates = stored(both.join(seen, ["entity", "term"]), "pii-candidates")
     places = candidates.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("p")).distinct().collect()  # at most BITS numbers
     on = np.zeros(BITS, np.uint8)
     on[[r.p for r in places]] = 1
     terms = term_documents(documents, np.packbits(on).tobytes(), text)
     held = holders.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("c"))
     n = found.count()
-    ratio = F.ln(F.lit(float(n)) * F.col("ct") / (F.col("c") * F.col("n"))) / F.ln(F.lit(float(n)) / F.col("c"))
+    ratio = disclosure(F.col("ct"), F.col("contexts"), F.col("c"), F.col("n"), n)
     return (
         candidates.join(terms, "term").join(held, "entity").where(F.col("c") < n)
         .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
