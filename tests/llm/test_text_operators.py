@@ -213,6 +213,14 @@ def test_terms_of_entities_seen_one_to_three_times(spark):
     assert all(got[i] == x for i, x in rows if i < 1000)
 
 
+def test_numbers_are_terms():
+    text = "account 47110815 and E12345 of joe@x.example.com at 10.0.0.1"
+    found = personal_data.surroundings(text, personal_data.find(text))
+    places = {term: text[a:b] for entity, term, a, b, _ in found if entity == "email:joe@x.example.com"}
+    assert places["47110815"] == "47110815" and places["e12345"] == "E12345"
+    assert set(places) == {"account", "47110815", "and", "e12345"}
+
+
 def test_sanitised_nulls(docs):
     got = personal_data.sanitised(docs)
     assert got.where("text IS NULL").count() == 1 and got.count() == docs.count()

@@ -43,7 +43,7 @@ from velolake.llm.common import extended, free_name, slices, stored
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 8  # terms on either side of an entity
-LEAST_TERM = 3  # letters
+LEAST_TERM = 3  # letters or digits
 Z = 1.2816  # normal quantile of the confidence, 90 % one-sided
 REMOVE, GENERALISE = 0.9, 0.6
 BITS = 1 << 20
@@ -53,7 +53,7 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]+")
+TERM = re.compile(r"[^\W_]+")  # numbers too: accounts, employees
 DIGIT = re.compile("[0-9]")
 
 
@@ -130,7 +130,7 @@ def surroundings(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str
     for kind, a, b in spans:
         value = text[a:b].lower() if kind == "email" else text[a:b] if kind == "ip" else "".join(filter(str.isdigit, text[a:b]))
         lo, hi = max(0, a - 40 * REACH), min(len(text), b + 40 * REACH)
-        while lo and text[lo - 1].isalpha() and lo > a - 80 * REACH:  # from the start of a word
+        while lo and text[lo - 1].isalnum() and lo > a - 80 * REACH:  # from the start of a word
             lo -= 1
         near = [m for m in TERM.finditer(text, lo, hi) if free(m) and (m.end() < hi or hi == len(text))]
         left = [m for m in near if m.end() <= a][-REACH:]
