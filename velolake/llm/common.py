@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +64,28 @@ def extended(df: DataFrame, schema: StructType) -> tuple[list[str], StructType]:
     names = {f.name.lower() for f in schema.fields}
     kept = [c for c in df.columns if c.lower() not in names]
     return kept, StructType([df.schema[c] for c in kept] + schema.fields)
+
+
+TOTALS_IN = 16  # tasks in which the totals of all tasks meet
+
+
+def task_totals(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], width: int) -> np.ndarray:
+    """Sum of the vectors of ``width`` whole numbers that ``count`` gives,
+    one a task.  The vectors first meet in ``TOTALS_IN`` tasks, which add them
+    up as they come, so the driver gets that many at most however many tasks
+    there are."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([count(batches).astype("<i8").tobytes()], pa.binary())], names=["total"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(width, np.int64), False
+        for batch in slices(batches, 1):
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_py(), "<i8")
+                seen = True
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["total"])
+
+    parts = df.mapInArrow(each, "total binary").repartition(TOTALS_IN).mapInArrow(add, "total binary")
+    return sum((np.frombuffer(r.total, "<i8") for r in parts.collect()), np.zeros(width, np.int64))

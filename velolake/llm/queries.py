@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from velolake.llm import licenses, minhash, neighbours, packing, personal_data, quality_rules, sentencepiece_codec, shards, suffix_dedup, toxicity
+from velolake.llm import clustering, licenses, minhash, neighbours, packing, personal_data, quality_rules, resampling, sentencepiece_codec, shards, suffix_dedup, toxicity, warc
 from velolake.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -54,6 +54,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -65,8 +77,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_minhash": op10_minhash,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.oracle(),
+    "op11_importance_resampling": resampling.oracle(),
+    "op12_centroid_clustering": clustering.oracle(),
+    "op13_warc": warc.oracle(),
 }
