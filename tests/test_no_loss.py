@@ -43,7 +43,12 @@ def test_object_path_refuses_empty_parts(parts):
         CSV.object_path("s3://base", *parts)
 
 
+def persisted(spark):
+    return {k for k in spark.sparkContext._jsc.getPersistentRDDs()}
+
+
 def test_rewritten_weather_shows(spark, scratch):
+    before = persisted(spark)
     path = scratch("weather")
     hour = spark.sql("SELECT timestamp_ntz'2024-01-01 10:00:00' AS Time, " + ", ".join(f"5.0D AS {m}" for m in S.WEATHER_MEASURES))
     reading = spark.createDataFrame([(2024, 1, 1, 10)], S.HOUR_KEYS)
@@ -51,7 +56,7 @@ def test_rewritten_weather_shows(spark, scratch):
         hour.withColumn("Temperature", F.lit(value)).write.mode("overwrite").parquet(path)
         got = J.join_weather(reading, spark.read.parquet(path)).first()
         assert got.Temperature == value
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert persisted(spark) == before  # nothing is cached on the way
 
 
 def test_null_day_rows_survive_an_upsert(spark, scratch):

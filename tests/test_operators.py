@@ -65,12 +65,17 @@ def test_null_safe_join(spark):
     assert J.join_weather(r, w, how="inner", null_safe=True).count() == 1
 
 
+def persisted(spark):
+    return {k for k in spark.sparkContext._jsc.getPersistentRDDs()}
+
+
 def test_checked_broadcast_bound(spark):
+    before = persisted(spark)
     small, ok = J.checked_broadcast(spark.range(10))
     assert ok and small.count() == 10
     _, ok = J.checked_broadcast(spark.range(100_000), max_bytes=1000)
     assert not ok
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert persisted(spark) == before  # nothing is cached on the way
 
 
 def test_kind_split_is_a_partition(spark):

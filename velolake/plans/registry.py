@@ -23,6 +23,7 @@ from velolake.operators import joins as J
 from velolake.operators import metrics as M
 from velolake.operators import sampling as SA
 from velolake.plans import binding as B
+from velolake.plans import extended as X
 from velolake.plans import oracle as O
 from velolake.plans import stages as STG
 from velolake.session import scratch_path
@@ -831,6 +832,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "quality_counts": (quality_counts, SQL_QUALITY_COUNTS),
     "metrics_document": (metrics_document, None),
     "forest_predictions": (forest_predictions, None),
+    **X.QUERIES,
 }
 
 
