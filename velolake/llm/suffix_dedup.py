@@ -7,7 +7,10 @@ in one place, so strings are first brought together:
 * Anchors.  Every string of ``LENGTH`` bytes holds a minimiser: of its
   ``GRAM``-byte grams the one with the smallest hash (of equals the last).
   Equal strings have equal minimisers.  Grams held by one text alone can't
-  be part of a repeat and go; this only chooses candidates.
+  be part of a repeat and go; this only chooses candidates.  A block of texts
+  tells a gram once, with the smallest holder; it sends the answer on to its
+  other holders itself, so a gram that a third of all texts share meets once a
+  block.
 * Pieces.  Stretches of candidate strings are cut from the texts and go to
   the group their minimiser names: the text and stretch where it occurs
   first.  Neighbouring strings of a copied passage so stay together, and a
@@ -21,7 +24,8 @@ in one place, so strings are first brought together:
   settled.  After ``LENGTH`` turns what no boundary parts is a repeated
   interval: equal strings, whose smallest id decides.
 
-Equal texts are one text with its smallest id before all this.
+Of equal texts one, with the smallest id, is cut into pieces, the others go
+whole; a block takes one of them for its anchors.
 
 Defined cases: null texts are empty; texts shorter than ``LENGTH`` lose
 nothing; strings never cross documents; a null id counts as larger than any
@@ -48,7 +52,7 @@ GRAM = 24
 STRETCH = 512  # bytes of a text that share a group
 BLOCK_BYTES = 1 << 21  # text whose anchors are sent as one block
 BUCKET_BYTES = 1 << 22  # text per bucket of anchors
-MAX_BUCKETS = 1 << 16
+MAX_BUCKETS = 1 << 20
 SHARD_BYTES = 1 << 16
 MERGE_BYTES = 1 << 18  # pieces that are merged at once, whole groups
 BROADCAST_BYTES = 32 << 20
@@ -101,43 +105,49 @@ def text_name(data: bytes) -> int:
     return int.from_bytes(hashlib.md5(data).digest()[:8], "big")
 
 
-ANCHORS = StructType(
-    [StructField("bucket", LongType()), StructField("block", LongType())] + [StructField(n, BinaryType()) for n in ("names", "grams", "texts", "spots")]
-)
+ANCHORS = StructType([StructField("bucket", LongType()), StructField("block", LongType())] + [StructField(n, BinaryType()) for n in ("grams", "names", "spots")])
+_TWO = np.uint32(1 << 31)  # flag on a spot: the block has a second text with the gram
 
 
 def anchors(texts: DataFrame, bits: int) -> DataFrame:
     """The minimisers of all texts, packed by block of texts and bucket of
-    hashes: 48 bits of the hash, the text's number, its stretch."""
+    hashes.  A block tells each gram once, however many of its texts hold it:
+    48 bits of the hash, the smallest name, its stretch, whether there is a
+    second text.  The other holders go past the buckets, under a bucket of
+    their block's own (negative), as (gram, name)."""
 
     def pack(block: list[bytes]) -> pa.RecordBatch | None:
-        names = np.array([text_name(x) for x in block], np.uint64)
-        grams, owner, spot = [], [], []
-        for k, x in enumerate(block):
-            if len(x) >= LENGTH:
-                _, place, h = minimisers(np.frombuffer(x, np.uint8))
-                grams.append(h)
-                owner.append(np.full(len(h), k, np.uint16))
-                spot.append((place // STRETCH).astype(np.uint32))
-        if not grams:
+        distinct = {text_name(x): x for x in block if len(x) >= LENGTH}  # copies hold the same grams
+        if not distinct:
             return None
+        names = np.array(sorted(distinct), np.uint64)
+        grams, owner, spot = [], [], []
+        for k, name in enumerate(names.tolist()):
+            _, place, h = minimisers(np.frombuffer(distinct[name], np.uint8))
+            grams.append(h)
+            owner.append(np.full(len(h), k, np.uint32))
+            spot.append((place // STRETCH).astype(np.uint32))
         g, o, s = np.concatenate(grams), np.concatenate(owner), np.concatenate(spot)
-        order = np.argsort(g)
+        order = np.argsort(g, kind="stable")  # of a gram: by name, then by place
         g, o, s = g[order], o[order], s[order]
+        first = np.flatnonzero(np.diff(g, prepend=g[0] + np.uint64(1)))
+        last = np.append(first[1:], len(g)) - 1
+        other = np.ones(len(g), bool)
+        other[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
+        other[first] = False
+        links = np.stack([g[other] & _LOW48, names[o[other]]], 1)
+        s = np.where(o[last] > o[first], s[first] | _TWO, s[first])
+        g, n = g[first], names[o[first]]
         bucket = (g >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(g), np.int64)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        ends = [*cuts[1:].tolist(), len(g)]
+        pairs = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(g)]))
         low = g.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        number = int.from_bytes(hashlib.md5(names.tobytes()).digest()[:8], "little", signed=True)
-        pairs = list(zip(cuts.tolist(), ends))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[cuts], pa.int64()), pa.array([number] * len(cuts), pa.int64()), pa.array([names.tobytes()] * len(cuts), pa.binary()),
-                pa.array([low[i:j].tobytes() for i, j in pairs], pa.binary()), pa.array([o[i:j].tobytes() for i, j in pairs], pa.binary()),
-                pa.array([s[i:j].tobytes() for i, j in pairs], pa.binary()),
-            ],
-            names=ANCHORS.names,
-        )
+        number = int.from_bytes(hashlib.md5(names.tobytes()).digest()[:8], "little") >> 2
+        rows = [(b, number, low[i:j].tobytes(), n[i:j].tobytes(), s[i:j].tobytes()) for b, (i, j) in zip(bucket[cuts].tolist(), pairs)]
+        if len(links):
+            rows.append((-1 - number, number, b"", links.tobytes(), b""))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=ANCHORS.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = [], 0
@@ -156,41 +166,45 @@ def anchors(texts: DataFrame, bits: int) -> DataFrame:
     return texts.mapInArrow(run, ANCHORS)
 
 
-REPLY = StructType([StructField("block", LongType()), StructField("found", BinaryType())])
+REPLY = StructType([StructField("block", LongType()), StructField("found", BinaryType()), StructField("links", BinaryType())])
 
 
 def repeated(bucket: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket, the grams that two texts hold: for each block (text's
-    name, gram, group), packed."""
+    """Of a bucket, the grams that two texts hold: for each block (name,
+    gram, group), packed.  A gram is here once a block, not once a text.
+    Links pass."""
+    if bucket["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"block": bucket["block"], "found": [b""] * len(bucket), "links": bucket["names"]})
     low = [np.frombuffer(x, np.uint8).reshape(-1, 6) for x in bucket["grams"]]
     size = np.array([len(x) for x in low])
     wide = np.zeros((size.sum(), 8), np.uint8)
     wide[:, :6] = np.concatenate(low)
     gram = wide.reshape(-1).view("<u8")
-    name = np.concatenate([np.frombuffer(k, np.uint64)[np.frombuffer(t, np.uint16)] for k, t in zip(bucket["names"], bucket["texts"])])
+    del low, wide
+    name = np.concatenate([np.frombuffer(x, np.uint64) for x in bucket["names"]])
     spot = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket["spots"]])
-    row = np.repeat(np.arange(len(size)), size)
     order = np.argsort(gram, kind="stable")
     start = np.flatnonzero(np.diff(gram[order], prepend=gram[order[0]] + np.uint64(1)))
-    many = np.repeat(np.diff(start, append=len(order)) > 1, np.diff(start, append=len(order)))
-    order = order[many]
+    count = np.diff(start, append=len(order))
+    flagged = np.maximum.reduceat(spot[order], start) >= _TWO
+    order = order[np.repeat((count > 1) | flagged, count)]
     if not len(order):
-        return pd.DataFrame({"block": pd.Series([], dtype="int64"), "found": pd.Series([], dtype=object)})
-    order = order[np.lexsort((spot[order], name[order], gram[order]))]
-    g, n = gram[order], name[order]
+        return pd.DataFrame({"block": pd.Series([], dtype="int64"), "found": pd.Series([], dtype=object), "links": pd.Series([], dtype=object)})
+    order = order[np.lexsort((spot[order] & ~_TWO, name[order], gram[order]))]
+    g, n, s = gram[order], name[order], spot[order]
     start = np.flatnonzero(np.diff(g, prepend=g[0] + np.uint64(1)))
     count = np.diff(start, append=len(g))
-    two = np.maximum.reduceat(n, start) != n[start]
-    group = np.repeat(mixed(mixed(n[start]) + spot[order][start].astype(np.uint64)), count)
+    two = (np.maximum.reduceat(n, start) != n[start]) | (np.maximum.reduceat(s, start) >= _TWO)
+    group = np.repeat(mixed(mixed(n[start]) + (s[start] & ~_TWO).astype(np.uint64)), count)
     keep = np.repeat(two, count)
     order, g, n, group = order[keep], g[keep], n[keep], group[keep]
-    blocks, found = bucket["block"].to_numpy(), []
-    by = np.argsort(row[order], kind="stable")
-    cuts = np.flatnonzero(np.diff(row[order][by], prepend=-1))
-    packed = np.stack([n[by], g[by], group[by]], 1) if len(by) else np.zeros((0, 3), np.uint64)
-    for i, j in zip(cuts, [*cuts[1:], len(by)]):
-        found.append(packed[i:j].tobytes())
-    return pd.DataFrame({"block": blocks[row[order][by][cuts]] if len(by) else np.zeros(0, np.int64), "found": found})
+    row = np.searchsorted(np.cumsum(size), order, side="right")
+    by = np.argsort(row, kind="stable")
+    row = row[by]
+    packed = np.stack([n[by], g[by], group[by]], 1)
+    cuts = np.flatnonzero(np.diff(row, prepend=-1))
+    found = [packed[i:j].tobytes() for i, j in zip(cuts, [*cuts[1:], len(row)])]
+    return pd.DataFrame({"block": bucket["block"].to_numpy()[row[cuts]], "found": found, "links": [b""] * len(found)})
 
 
 HELD = StructType([StructField("name", LongType()), StructField("grams", BinaryType())])
@@ -199,6 +213,13 @@ HELD = StructType([StructField("name", LongType()), StructField("grams", BinaryT
 def by_text(reply: pd.DataFrame) -> pd.DataFrame:
     """A block's repeated grams by text: (gram, group) pairs, sorted."""
     x = np.concatenate([np.frombuffer(b, np.uint64).reshape(-1, 3) for b in reply["found"]])
+    if not len(x):
+        return pd.DataFrame({"name": pd.Series([], dtype="int64"), "grams": pd.Series([], dtype=object)})
+    links = np.concatenate([np.frombuffer(b, np.uint64).reshape(-1, 2) for b in reply["links"]])
+    x = x[np.argsort(x[:, 1])]  # in a block each gram was told once
+    at = np.minimum(np.searchsorted(x[:, 1], links[:, 0]), len(x) - 1)
+    on = x[at, 1] == links[:, 0]
+    x = np.concatenate([x, np.stack([links[on, 1], links[on, 0], x[at[on], 2]], 1)])
     x = x[np.lexsort((x[:, 1], x[:, 0]))]
     start = np.flatnonzero(np.diff(x[:, 0], prepend=x[0, 0] + np.uint64(1)))
     ends = [*start[1:], len(x)]
@@ -430,7 +451,7 @@ def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     total = texts.agg(F.sum("size")).first()[0] or 0
     bits = max(0, min(MAX_BUCKETS, -(-total // BUCKET_BYTES)) - 1).bit_length()
     sent = anchors(docs.where(F.octet_length("text") >= LENGTH).select("text"), bits)
-    replies = sent.groupBy("bucket").applyInPandas(repeated, REPLY)
+    replies = sent.groupBy("bucket").applyInPandas(repeated, REPLY)  # and links, which only pass
     held = replies.groupBy("block").applyInPandas(by_text, HELD).groupBy("name").agg(F.first("grams").alias("grams"))
     name = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")  # as text_name has it
     wanted = stored(texts.withColumn("name", name).join(held, "name").select("key", "lo", "grams"), "candidates")
