@@ -46,7 +46,8 @@ REACH = 8  # terms on either side of an entity
 LEAST_TERM = 3  # letters or digits
 Z = 1.2816  # normal quantile of the confidence, 90 % one-sided
 REMOVE, GENERALISE = 0.9, 0.6
-BITS = 1 << 20
+BITS, MAX_BITS = 1 << 20, 1 << 22  # of the bitmap of candidates
+COUNTED = 1 << 18  # terms that a task counts before it passes them on
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -179,17 +180,25 @@ def entities(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def term_documents(df: DataFrame, bits: bytes, text: str = "text") -> DataFrame:
-    """(term, n): documents that hold each term whose hash is in the bitmap."""
+    """(term, n): documents that hold each term whose hash is in the bitmap.
+    A task counts over all of its rows, and passes its counts on at
+    ``COUNTED`` terms."""
     schema = StructType([StructField("term", StringType()), StructField("n", LongType())])
-    shared = df.sparkSession.sparkContext.broadcast(bits)  # BITS / 8 bytes
+    shared = df.sparkSession.sparkContext.broadcast(bits)  # MAX_BITS / 8 bytes at most
+
+    def counted(n: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.unpackbits(np.frombuffer(shared.value, np.uint8)).tobytes()
-        for batch in batches:
-            n: Counter = Counter()
+        size, n = len(on), Counter()
+        for batch in slices(batches):
             for x in batch.column(0).to_pylist():
-                n.update([w for w in set(TERM.findall((x or "").lower())) if on[zlib.crc32(w.encode()) % BITS]])
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=schema.names)
+                n.update([w for w in set(TERM.findall((x or "").lower())) if on[zlib.crc32(w.encode()) % size]])
+            if len(n) >= COUNTED:
+                yield counted(n)
+                n = Counter()
+        yield counted(n)
 
     return df.select(text).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -214,9 +223,11 @@ def disclosures(documents: DataFrame, found: DataFrame, text: str = "text") -> D
     both = pair.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("ct"))
     seen = near.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
     candidates = stored(both.join(seen, ["entity", "term"]), "pii-candidates")
-    places = candidates.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("p")).distinct().collect()  # at most BITS numbers
-    on = np.zeros(BITS, np.uint8)
-    on[[r.p for r in places]] = 1
+    # sixteen bits a candidate, as far as MAX_BITS goes; the join below is exact
+    bits = min(MAX_BITS, max(BITS, 1 << (16 * candidates.count() - 1).bit_length()))
+    places = candidates.select((F.crc32(F.col("term").cast("binary")) % bits).cast("int").alias("p")).distinct().toArrow()  # at most MAX_BITS numbers
+    on = np.zeros(bits, np.uint8)
+    on[places.column(0).to_numpy()] = 1
     terms = term_documents(documents, np.packbits(on).tobytes(), text)
     held = holders.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("c"))
     n = found.count()
