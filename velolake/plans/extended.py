@@ -4,16 +4,24 @@ each with an independent SQL formulation (see :mod:`velolake.plans.registry`).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake import schemas as S
+from velolake.functions import columns as C
 from velolake.ml import forest as ML
+from velolake.operators import daily_state as DS
 from velolake.operators import sampling as SA
 from velolake.plans import binding as B
 from velolake.plans import oracle as O
 from velolake.session import scratch_path
+from velolake.sources import csv as CSV
+from velolake.sources import quarantine as QU
+from velolake.sources import store as ST
 from velolake.sources import tables as TB
+from velolake.sources import weather_source as WS
 from velolake.streaming import event_time as EV
 from velolake.streaming import ingest as ING
 from velolake.streaming import scoring as SC
@@ -129,9 +137,161 @@ SQL_EXACT_SPLIT = O.BASE + f""", ranked AS (
 SELECT readingId, TotalAvailableBikes, CASE WHEN k <= ceil(CAST({TEST_SHARE} AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split FROM ranked"""
 
 
+# ---------------------------------------------------------------------------
+# State per day
+# ---------------------------------------------------------------------------
+SINCE, UNTIL = dt.date(2024, 1, 7), dt.date(2024, 1, 21)
+IN_WINDOW = f"timestamp >= TIMESTAMP '{SINCE} 00:00:00' AND timestamp < TIMESTAMP '{UNTIL} 00:00:00'"
+
+
+def _daily_state(spark: SparkSession, sf: str, name: str) -> str:
+    """State of all days in two increments; the second one writes a day of
+    the first again."""
+    root = scratch_path(spark, name)
+    dated = B.features(spark, sf).withColumn(DS.DAY, F.to_date("timestamp"))
+    dated.write.partitionBy(DS.DAY).parquet(f"{root}/features")
+    features = spark.read.parquet(f"{root}/features")
+    days = sorted(r[0] for r in features.select(DS.DAY).distinct().collect())  # the calendar
+    half = len(days) // 2
+    for part in (days[: half + 1], days[half:]):
+        DS.update_state(features, f"{root}/state", part)
+    return f"{root}/state"
+
+
+def pack_by_days(spark, sf):
+    """A10 by increments: the metrics pack of two weeks from its days."""
+    path = _daily_state(spark, sf, "pack_by_days")
+    return DS.merged_pack(DS.read_state(spark, path, "pack", SINCE, UNTIL))
+
+
+SQL_PACK_BY_DAYS = O.BASE + f""", f AS (SELECT * FROM features WHERE {IN_WINDOW}),
+slots AS (SELECT kind, {O.SLOT} AS slot, count(*) AS n FROM f GROUP BY ALL)
+SELECT kind, count(*) AS rows, count(DISTINCT stationId) AS numStations,
+       max(Temperature) AS warmestTemperature, min(Temperature) AS coldestTemperature,
+       (SELECT min(timestamp) FROM f g WHERE g.kind = f.kind AND g.Temperature = max(f.Temperature)) AS warmestDay,
+       (SELECT min(timestamp) FROM f g WHERE g.kind = f.kind AND g.Temperature = min(f.Temperature)) AS coldestDay,
+       (SELECT slot FROM slots s WHERE s.kind = f.kind ORDER BY n DESC, slot LIMIT 1) AS busiestTime
+FROM f GROUP BY kind"""
+
+
+def correlation_by_days(spark, sf):
+    """A5 by increments: the correlation matrix of two weeks from the
+    co-moments of its days."""
+    path = _daily_state(spark, sf, "correlation_by_days")
+    merged = DS.merged_correlation(DS.read_state(spark, path, "moments", SINCE, UNTIL))
+    return merged.withColumn("corr", F.round("corr", 6) + F.lit(0.0))
+
+
+SQL_CORRELATION_BY_DAYS = O.correlation_sql().replace("FROM features WHERE", f"FROM features WHERE {IN_WINDOW} AND")
+
+
+def stations_by_days(spark, sf):
+    """A1: the stations of two weeks as sketches of its days estimate them;
+    the estimate is given as whether it lies within three standard errors of
+    the exact number, which the stored state has as well."""
+    path = _daily_state(spark, sf, "stations_by_days")
+    sketch = DS.merged_stations(DS.read_state(spark, path, "sketch", SINCE, UNTIL))
+    exact = DS.merged_pack(DS.read_state(spark, path, "pack", SINCE, UNTIL)).select("kind", "numStations")
+    near = F.abs(F.col("stations") - F.col("numStations")) <= F.greatest(3 * F.col("standardError"), F.lit(1.0))
+    return exact.join(sketch, "kind").select("kind", "numStations", "days", near.alias("estimateNear"))
+
+
+SQL_STATIONS_BY_DAYS = O.BASE + f"""
+SELECT kind, count(DISTINCT stationId) AS numStations, count(DISTINCT CAST(timestamp AS DATE)) AS days, TRUE AS estimateNear
+FROM features WHERE {IN_WINDOW} GROUP BY kind"""
+
+
+# ---------------------------------------------------------------------------
+# Sources
+# ---------------------------------------------------------------------------
+RADIUS_M = 2500.0
+
+
+def geo_radius_stored(spark, sf):
+    """S6 on stored data: the circle as ranges of cells."""
+    path = ST.write_by_cell(B.readings(spark, sf), scratch_path(spark, "geo_radius_stored"))
+    near = ST.within_radius_stored(spark.read.parquet(path), radius_m=RADIUS_M, distance_col=None)
+    return near.select("readingId", "stationId")
+
+
+SQL_GEO_RADIUS_STORED = O.BASE + f"""
+SELECT readingId, stationId FROM readings
+WHERE {O.haversine_sql('Lat', 'Long', S.STATION_CENTER_LAT, S.STATION_CENTER_LON)} <= {RADIUS_M}"""
+
+
+def weather_source(spark, sf):
+    """S5 as a data source: landed days, the range and two fields taken by
+    the source."""
+    path = WS.land_weather(B.weather(spark, sf), scratch_path(spark, "weather_source"))
+    rows = WS.read_landed_weather(spark, path, SINCE, UNTIL - dt.timedelta(days=1), S.WEATHER_SOURCE_FIELDS[1:3])
+    return rows.toDF("day", "Time", "Temperature", "Humidity")
+
+
+SQL_WEATHER_SOURCE = O.BASE + f"""
+SELECT CAST(Time AS DATE) AS day, Time, Temperature, Humidity FROM weather
+WHERE Time >= TIMESTAMP '{SINCE} 00:00:00' AND Time < TIMESTAMP '{UNTIL} 00:00:00'"""
+
+
+PER_FILE = 500  # stations of a landed file
+
+
+def json_quarantine(spark, sf):
+    """Multi-line snapshot files, some cut off; per outcome the files
+    and their records."""
+    root = scratch_path(spark, "json_quarantine")
+    snaps = TB.snapshot_text_from_events(B.events(spark, sf)).withColumn("chunk", F.floor(F.col("pollId") / PER_FILE))
+    station = F.regexp_replace(F.substring("payload", 2, 1 << 20), r"\]$", "")
+    text = snaps.groupBy("chunk").agg(F.array_join(F.sort_array(F.collect_list(station)), ",\n  ").alias("t"))
+    whole = F.concat(F.lit("[\n  "), F.col("t"), F.lit("\n]"))
+    landed = text.select(F.when(F.col("chunk") % 7 == 3, F.substring(whole, 1, 300)).otherwise(whole).alias("value"))
+    landed.write.option("maxRecordsPerFile", 1).text(root)
+    got = QU.read_json_quarantined(spark, root, S.STATION_SCHEMA, required=("StationId", "Name"))
+    outcome = F.when(F.col("aside") > 0, "set aside").otherwise("kept")
+    return got.files.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("files"), F.sum("kept").alias("records"))
+
+
+SQL_JSON_QUARANTINE = f"""
+WITH c AS (SELECT event_id // {PER_FILE} AS chunk, count(*) AS n FROM events GROUP BY 1)
+SELECT CASE WHEN chunk % 7 = 3 THEN 'set aside' ELSE 'kept' END AS outcome, count(*) AS files,
+       CAST(sum(CASE WHEN chunk % 7 = 3 THEN 0 ELSE n END) AS BIGINT) AS records
+FROM c GROUP BY 1"""
+
+
+def csv_quarantine(spark, sf):
+    """S3: rows with a field too many, counts that are no numbers and times
+    that do not parse, set aside by reason; the kept ones are summed."""
+    path = scratch_path(spark, "csv_quarantine")
+    rows = B.readings(spark, sf).select("readingId", "stationId", C.as_text("timestamp", "timestamp_ntz").alias("timestamp"), F.col("AvailableBikes").cast("string").alias("AvailableBikes"))
+    k = F.col("readingId")
+    rows = rows.withColumn("AvailableBikes", F.when(k % 17 == 0, "many").otherwise(F.col("AvailableBikes")))
+    rows = rows.withColumn("timestamp", F.when(k % 19 == 0, "soon").otherwise(F.col("timestamp")))
+    line = F.concat_ws(",", "readingId", "stationId", "timestamp", "AvailableBikes", F.when(k % 13 == 0, "more"))
+    # the header stands first in each file, as the writer of landed files puts it
+    head = F.lit("readingId,stationId,timestamp,AvailableBikes")
+    files = rows.select(line.alias("l"), F.floor(k / PER_FILE).alias("file")).groupBy("file").agg(F.array_join(F.collect_list("l"), "\n").alias("t"))
+    files.select(F.concat_ws("\n", head, "t").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    schema = "readingId long, stationId string, timestamp timestamp_ntz, AvailableBikes int"
+    got = QU.read_csv_quarantined(spark, path, spark.createDataFrame([], schema).schema)
+    kept = got.kept.agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("AvailableBikes").cast("long").alias("bikes"))
+    return kept.unionByName(got.aside.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("bikes")))
+
+
+SQL_CSV_QUARANTINE = O.BASE + """, o AS (
+  SELECT *, CASE WHEN readingId % 13 = 0 THEN 'malformed' WHEN readingId % 19 = 0 THEN 'bad timestamp'
+                 WHEN readingId % 17 = 0 THEN 'bad AvailableBikes' ELSE 'kept' END AS outcome FROM readings)
+SELECT outcome, count(*) AS n, CASE WHEN outcome = 'kept' THEN CAST(sum(AvailableBikes) AS BIGINT) END AS bikes FROM o GROUP BY outcome"""
+
+
 QUERIES = {
     "stream_settled": (stream_settled, SQL_STREAM_SETTLED),
     "stream_event_hours": (stream_event_hours, SQL_STREAM_EVENT_HOURS),
     "stream_scores": (stream_scores, SQL_STREAM_SCORES),
     "exact_split": (exact_split, SQL_EXACT_SPLIT),
+    "pack_by_days": (pack_by_days, SQL_PACK_BY_DAYS),
+    "correlation_by_days": (correlation_by_days, SQL_CORRELATION_BY_DAYS),
+    "stations_by_days": (stations_by_days, SQL_STATIONS_BY_DAYS),
+    "geo_radius_stored": (geo_radius_stored, SQL_GEO_RADIUS_STORED),
+    "weather_source": (weather_source, SQL_WEATHER_SOURCE),
+    "json_quarantine": (json_quarantine, SQL_JSON_QUARANTINE),
+    "csv_quarantine": (csv_quarantine, SQL_CSV_QUARANTINE),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,11 +73,15 @@ def read_csv(
 
 
 def _typed(field: T.StructField):
-    c = F.col(field.name)
-    if isinstance(field.dataType, T.BooleanType):
-        low = F.lower(c)
+    return typed(F.col(field.name), field.dataType)
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """A text column as ``kind``; what does not fit is null."""
+    if isinstance(kind, T.BooleanType):
+        low = F.lower(text)
         return F.when(low == "true", True).when(low == "false", False)
-    return c.try_cast(field.dataType)
+    return text.try_cast(kind)
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velolake import schemas as S
+from velolake.functions import cells as CELLS
 from velolake.functions import columns as C
 
 
@@ -90,3 +92,36 @@ def within_radius(
     if distance_col:
         out = out.withColumn(distance_col, d)
     return out
+
+
+CELL = "cell"
+
+
+def write_by_cell(df: DataFrame, path: str, lat: str = "Lat", lon: str = "Long", partitions: int | None = None) -> str:
+    """S6 on stored data: ``df`` sorted by its cell on the space-filling curve,
+    with the number as column ``cell``.  Ranges are cut by (cell, hash of the
+    row), so a place that holds much of the table is dealt over many files."""
+    if CELL in (c.lower() for c in df.columns):
+        raise ValueError(f"a column {CELL} is there already")
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    celled = df.withColumn(CELL, CELLS.cell(lat, lon))
+    by = [F.col(CELL), spread]
+    ranged = celled.repartitionByRange(partitions, *by) if partitions else celled.repartitionByRange(*by)
+    ranged.sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return path
+
+
+def within_radius_stored(
+    stored: DataFrame,
+    lat: str = "Lat",
+    lon: str = "Long",
+    lat0: float = S.STATION_CENTER_LAT,
+    lon0: float = S.STATION_CENTER_LON,
+    radius_m: float = S.STATION_RADIUS_M,
+    distance_col: str | None = "dist_m",
+) -> DataFrame:
+    """S6 over a table of :func:`write_by_cell`: the rows of
+    :func:`within_radius`.  The circle becomes ranges of cell numbers, which
+    the scan tests against each file's and row group's extremes."""
+    near = reduce(lambda a, b: a | b, [F.col(CELL).between(a, b) for a, b in CELLS.covering(lat0, lon0, radius_m)])
+    return within_radius(stored.where(near), lat, lon, lat0, lon0, radius_m, distance_col).drop(CELL)
