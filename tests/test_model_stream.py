@@ -133,3 +133,11 @@ def test_forest_deterministic_per_seed(spark):
     a = ML.score(ML.fit(train, numTrees=8, maxDepth=5, seed=7), test)
     b = ML.score(ML.fit(train, numTrees=8, maxDepth=5, seed=7), test)
     assert sorted((r.readingId, r.prediction) for r in a.collect()) == sorted((r.readingId, r.prediction) for r in b.collect())
+
+
+def test_scoring_rows_of_a_batch(spark):
+    df = spark.createDataFrame([(1, 57.7, 3.5, None, True), (2, None, None, 4.0, False)], "id int, Lat double, Windspeed double, Wind_Speed double, IsOpen boolean")
+    rows = ML.scoring_rows(df, keep=["id"])
+    assert rows.columns == ["id", *S.MODEL_FEATURES]
+    got = [(r.id, r.Lat, r.Wind_Speed, r.Visibility) for r in rows.orderBy("id").collect()]
+    assert got == [(1, 57.7, 3.5, None), (2, None, 4.0, None)]  # the name comes before its alias

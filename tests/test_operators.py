@@ -209,3 +209,10 @@ def test_empty_inputs(spark):
     assert DD.latest_per_key(empty, ["stationId"], "timestamp").count() == 0
     m = ML.regression_metrics(spark.createDataFrame([], "TotalAvailableBikes int, prediction int")).first()
     assert m.n == 0 and m.MAE is None and m.R2 is None
+
+
+def test_metrics_pack_by_raw_timestamp(spark):
+    t = [dt.datetime(2024, 1, 1, 0, m) for m in (1, 1, 2, 3, 4)]
+    df = spark.createDataFrame([("k", "a", x, 1.0) for x in t], "kind string, stationId string, timestamp timestamp_ntz, Temperature double")
+    assert M.metrics_pack(df, slot_minutes=None).first().busiestTime == t[0]
+    assert M.metrics_pack(df).first().busiestTime == dt.datetime(2024, 1, 1)

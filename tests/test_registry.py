@@ -19,6 +19,8 @@ FAST = [
     "hourly_resample", "metrics_pack", "regression_metrics", "sample_n", "weekend_vs_weekday",
     "correlation_matrix", "splits_read_back", "metrics_csv", "side_tables", "dated_object", "whole_bikes",
     "one_station_profile", "null_safe_join", "yesterday_range", "model_reload", "stream_ingest", "stream_hourly", "quality_counts", "station_positions",
+    "exact_split", "pack_by_days", "correlation_by_days", "stations_by_days", "geo_radius_stored", "weather_source", "json_quarantine", "csv_quarantine",
+    "document_rows", "side_table_rows", "scoring_batch", "stream_settled", "stream_event_hours", "stream_scores",
 ]
 
 

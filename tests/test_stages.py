@@ -48,3 +48,10 @@ def test_splits_written_and_read_back(spark, scratch):
     assert x_test.join(x_train, "readingId").count() == 0
     assert y_test.columns == ["readingId", "TotalAvailableBikes"]
     assert x_test.columns[1:] == [c for c in __import__("velolake.schemas", fromlist=["x"]).MODEL_FEATURES]
+
+
+def test_exact_splits(spark, scratch):
+    f = B.features(spark, "/root/testdata/sf0.001")
+    path = P.write_splits(f, scratch("splits"), "r", test_share=0.01, exact=True)
+    counts = [P.read_split(spark, path, s, "target").count() for s in P.SPLITS]
+    assert counts[1] == -(-f.count() // 100) and sum(counts) == f.count()

@@ -45,8 +45,10 @@ def _double_text(c: Column) -> Column:
     large = F.concat(sign, F.substring(whole, F.lit(1), power + 1), F.lit("."), F.coalesce(F.nullif(F.substring(whole, power + 2, F.length(whole)), F.lit("")), F.lit("0")))
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
     exponent = F.concat(F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", ""), F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    # most values have no exponent; the others' digits are only then taken apart
+    common = c.isNull() | (size == 0) | ((size >= 1e-3) & (size < 1e7))
     plain = power.isNull() | F.isnan(c)
-    return F.when(plain, text).when(size >= 1e16, exponent).when(size >= 1, large).when(size < 1e-4, exponent).otherwise(small)
+    return F.when(common | plain, text).when(size >= 1e16, exponent).when(size >= 1, large).when(size < 1e-4, exponent).otherwise(small)
 
 
 # P2 -------------------------------------------------------------------------

@@ -44,13 +44,13 @@ TABLES = ("pack", "moments", "sketch")
 # ---------------------------------------------------------------------------
 # One day's state
 # ---------------------------------------------------------------------------
-def pack_state(df: DataFrame, by: Sequence[str] = ("kind",), ts: str = "timestamp", slot_minutes: int = 10) -> DataFrame:
+def pack_state(df: DataFrame, by: Sequence[str] = ("kind",), ts: str = "timestamp", slot_minutes: int | None = 10) -> DataFrame:
     """Per group, day and item (``what``: rows, station, temperature, slot)
     the rows and their first time.  Items that are null are left out."""
     keys = [*by, DAY]
     base = df.select(
         *keys, F.col("stationId").alias("station"), F.when(F.col(ts).isNotNull(), clean("Temperature")).alias("temperature"),
-        C.slot_floor(ts, slot_minutes).alias("slot"), F.col(ts).alias("_t"),
+        (C.slot_floor(ts, slot_minutes) if slot_minutes else F.col(ts)).alias("slot"), F.col(ts).alias("_t"),
     )
     items = ["station", "temperature", "slot"]
     sets = [keys, *[[*keys, i] for i in items]]

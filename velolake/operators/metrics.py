@@ -218,8 +218,9 @@ def poll_counts(df: DataFrame, ts: str = "timestamp", slot_minutes: int | None =
 
 
 # A10 ------------------------------------------------------------------------
-def metrics_pack(df: DataFrame, by=("kind",), ts: str = "timestamp", slot_minutes: int = 10) -> DataFrame:
+def metrics_pack(df: DataFrame, by=("kind",), ts: str = "timestamp", slot_minutes: int | None = 10) -> DataFrame:
     """The scalar dashboard metrics of each group in one row (A1-A4, A10).
+    Without ``slot_minutes`` the busiest time is a raw timestamp.
 
     One scan: a single ``GROUPING SETS`` aggregate (Expand + partial/final
     hash aggregate) counts rows per group, per (group, station), per
@@ -230,7 +231,7 @@ def metrics_pack(df: DataFrame, by=("kind",), ts: str = "timestamp", slot_minute
     """
     keys = _by(by)
     temp = clean("Temperature")
-    slot = C.slot_floor(ts, slot_minutes)
+    slot = C.slot_floor(ts, slot_minutes) if slot_minutes else F.col(ts)
     base = df.select(
         *keys,
         F.col("stationId").alias("_st"),

@@ -17,6 +17,7 @@ from velolake.operators import sampling as SA
 from velolake.plans import binding as B
 from velolake.plans import oracle as O
 from velolake.session import scratch_path
+from velolake.sinks import documents as DOC
 from velolake.sources import csv as CSV
 from velolake.sources import quarantine as QU
 from velolake.sources import store as ST
@@ -282,11 +283,134 @@ SQL_CSV_QUARANTINE = O.BASE + """, o AS (
 SELECT outcome, count(*) AS n, CASE WHEN outcome = 'kept' THEN CAST(sum(AvailableBikes) AS BIGINT) END AS bikes FROM o GROUP BY outcome"""
 
 
+# ---------------------------------------------------------------------------
+# The dashboard's files
+# ---------------------------------------------------------------------------
+_SCALARS = ("number_of_bikes_available", "warmest_temperature", "coldest_temperature", "warmest_day", "coldest_day", "day_with_most_used_bikes")
+_HOUR_FIELDS = ("Humidity", "Wind_Speed", "Temperature", S.LABEL)
+DOCUMENT_SCHEMA = ", ".join(
+    [f"{n} string" for n in _SCALARS]
+    + [f"correlation_matrix array<struct<{', '.join(f'{c}: double' for c in S.CORRELATION_COLUMNS)}>>", "weekend_vs_weekday array<struct<IsWeekend: string, AvailableBikes: double>>"]
+    + [f"weather_over_timestamp array<struct<timestamp: string, {', '.join(f'{c}: double' for c in _HOUR_FIELDS)}>>"]
+)
+
+
+def document_rows(spark, sf):
+    """K5 + P14: the documents written, read back and taken apart: ``kind,
+    part, item`` (its place), ``name, text, number``."""
+    base = scratch_path(spark, "document_rows")
+    paths = DOC.write_documents(DOC.metrics_document(parts=DOC.stored_parts(B.features(spark, sf))), base, "all")
+    read = None
+    for kind, path in paths.items():
+        one = spark.read.text(path).select(F.lit(kind).alias("kind"), F.from_json("value", DOCUMENT_SCHEMA).alias("d"))
+        read = one if read is None else read.unionByName(one)
+    nothing, row = F.lit(None).cast("double"), lambda name, text, number: F.struct(F.lit(name).alias("name"), text.alias("text"), number.alias("number"))
+    number = lambda c: F.round(c, 6) + F.lit(0.0)
+    scalars = read.select("kind", F.lit("scalar").alias("part"), F.lit(0).alias("item"), F.inline(F.array(*[row(n, F.col(f"d.{n}"), nothing) for n in _SCALARS])))
+    parts = {
+        "correlation": ("correlation_matrix", [row(c, F.lit(None).cast("string"), number(F.col(f"col.{c}"))) for c in S.CORRELATION_COLUMNS]),
+        "weekend": ("weekend_vs_weekday", [row("AvailableBikes", F.col("col.IsWeekend"), number(F.col("col.AvailableBikes")))]),
+        "hours": ("weather_over_timestamp", [row(c, F.col("col.timestamp"), number(F.col(f"col.{c}"))) for c in _HOUR_FIELDS]),
+    }
+    out = scalars
+    for part, (field, rows) in parts.items():
+        items = read.select("kind", F.posexplode(f"d.{field}"))
+        out = out.unionByName(items.select("kind", F.lit(part).alias("part"), (F.col("pos") + 1).alias("item"), F.inline(F.array(*rows))))
+    return out
+
+
+def _text(ts: str) -> str:
+    return f"(strftime({ts}, '%Y-%m-%d %H:%M:%S') || CASE WHEN epoch_us({ts}) % 1000000 = 0 THEN '' ELSE strftime({ts}, '.%f') END)"
+
+
+def document_rows_sql(pack: str, correlation: str, weekend: str, hours: str) -> str:
+    """From the SQL of the four metrics, each a query of its own."""
+    values = {
+        "number_of_bikes_available": "CAST(numStations AS VARCHAR)", "warmest_temperature": "CAST(warmestTemperature AS VARCHAR)", "coldest_temperature": "CAST(coldestTemperature AS VARCHAR)",
+        "warmest_day": _text("warmestDay"), "coldest_day": _text("coldestDay"), "day_with_most_used_bikes": _text("busiestTime"),
+    }
+    scalars = " UNION ALL ".join(f"SELECT kind, 'scalar' AS part, 0 AS item, '{n}' AS name, {v} AS text, NULL::DOUBLE AS number FROM pack" for n, v in values.items())
+    places = ", ".join(f"'{c}'" for c in S.CORRELATION_COLUMNS)
+    fields = " UNION ALL ".join(
+        f"SELECT kind, 'hours', CAST(row_number() OVER (PARTITION BY kind ORDER BY hour) AS INTEGER), '{c}', {_text('hour')}, round(CAST({c} AS DOUBLE), 6) + 0.0 FROM hours" for c in _HOUR_FIELDS
+    )
+    return f"""WITH pack AS ({pack}), corr AS ({correlation}), week AS ({weekend}), hours AS ({hours})
+{scalars}
+UNION ALL SELECT kind, 'correlation', CAST(list_position([{places}], colA) AS INTEGER), colB, NULL, corr FROM corr
+UNION ALL SELECT kind, 'weekend', CAST(row_number() OVER (PARTITION BY kind ORDER BY dayType) AS INTEGER), 'AvailableBikes', dayType, round(meanAvailableBikes, 6) + 0.0 FROM week
+UNION ALL {fields}"""
+
+
+def side_table_rows(spark, sf):
+    """K7: all three side tables written as CSV, read back by their names."""
+    paths = DOC.write_side_tables(None, scratch_path(spark, "side_table_rows"), "all", DOC.stored_parts(B.features(spark, sf)))
+    read = lambda name, schema: CSV.read_csv(spark, paths[name], spark.createDataFrame([], schema).schema)
+    number = lambda c: (F.round(c, 6) + F.lit(0.0)).alias("number")
+    table = lambda df, part, a, b, value: df.select("kind", F.lit(part).alias("part"), a.cast("string").alias("a"), b.alias("b"), number(value))
+    out = table(read("correlation", "kind string, colA string, colB string, corr double"), "correlation", F.col("colA"), F.col("colB"), F.col("corr"))
+    out = out.unionByName(table(read("weekend", "kind string, dayType string, meanAvailableBikes double"), "weekend", F.col("dayType"), F.lit(None).cast("string"), F.col("meanAvailableBikes")))
+    hours = read("hourly", "kind string, hour string, " + ", ".join(f"{c} double" for c in _HOUR_FIELDS))
+    for c in _HOUR_FIELDS:
+        out = out.unionByName(table(hours, "hours", F.col("hour"), F.lit(c), F.col(c)))
+    return out
+
+
+def side_table_rows_sql(correlation: str, weekend: str, hours: str) -> str:
+    fields = " UNION ALL ".join(f"SELECT kind, 'hours', {_text('hour')}, '{c}', round(CAST({c} AS DOUBLE), 6) + 0.0 FROM hours" for c in _HOUR_FIELDS)
+    return f"""WITH corr AS ({correlation}), week AS ({weekend}), hours AS ({hours})
+SELECT kind, 'correlation' AS part, colA AS a, colB AS b, corr AS number FROM corr
+UNION ALL SELECT kind, 'weekend', dayType, NULL, round(meanAvailableBikes, 6) + 0.0 FROM week
+UNION ALL {fields}"""
+
+
+# ---------------------------------------------------------------------------
+# The forest as it is used
+# ---------------------------------------------------------------------------
+def forest_checked(spark, sf):
+    """M2 + M3 + K8: the forest with its defaults (100 trees, full depth),
+    taught a label that hour, weekend and place explain.  Test rows; rows that
+    a second fit or the saved and reloaded model scores otherwise; rows scored
+    outside of the label's range; whether its squared error is over a tenth of
+    that of the hours' means."""
+    features = stored_features(spark, sf, "forest-checked")
+    taught = features.withColumn(S.LABEL, ((F.col("Hour") % 6) * 2 + F.col("IsWeekend") * 6 + F.when(F.col("Lat") > 57.725, 4).otherwise(0)).cast("int"))
+    train, test = SA.split_exact(taught, TEST_SHARE)
+    model = ML.fit(train)
+    path = ML.save(model, scratch_path(spark, "forest-checked-model"))
+    scored = ML.score(model, test)
+    for name, other in (("again", ML.fit(train)), ("reloaded", ML.load(path))):
+        scored = scored.join(ML.score(other, test, label=None).select("readingId", F.col("prediction").alias(name)), "readingId", "left")
+    baseline = ML.score_baseline(ML.hour_baseline(train), test).select("readingId", F.col("prediction").alias("mean"))
+    error = lambda c: F.sum((F.col(c) - F.col(S.LABEL)) ** 2)
+    same = F.col("prediction").eqNullSafe(F.col("again")) & F.col("prediction").eqNullSafe(F.col("reloaded"))
+    return scored.join(baseline, "readingId").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~same).alias("differing"), F.count_if(~F.col("prediction").between(0, 20)).alias("outside"),
+        (error("prediction") > 0.1 * error("mean")).alias("worse"),
+    )
+
+
+SQL_FOREST_CHECKED = O.BASE + f"""
+SELECT CAST(ceil(CAST({TEST_SHARE} AS DOUBLE) * count(*)) AS BIGINT) AS n, 0::BIGINT AS differing, 0::BIGINT AS outside, FALSE AS worse FROM features"""
+
+
+def scoring_batch(spark, sf):
+    """P15 for a batch: rows with the source's name for the wind and without
+    Visibility as rows of the model."""
+    named = B.features(spark, sf).withColumnRenamed("Wind_Speed", "Windspeed").drop("Visibility")
+    return ML.scoring_rows(named, keep=["readingId"])
+
+
+SQL_SCORING_BATCH = O.BASE + f"""
+SELECT readingId, {", ".join("NULL::DOUBLE AS Visibility" if c == "Visibility" else c for c in S.MODEL_FEATURES)} FROM features"""
+
+
 QUERIES = {
     "stream_settled": (stream_settled, SQL_STREAM_SETTLED),
     "stream_event_hours": (stream_event_hours, SQL_STREAM_EVENT_HOURS),
     "stream_scores": (stream_scores, SQL_STREAM_SCORES),
     "exact_split": (exact_split, SQL_EXACT_SPLIT),
+    "forest_checked": (forest_checked, SQL_FOREST_CHECKED),
+    "scoring_batch": (scoring_batch, SQL_SCORING_BATCH),
     "pack_by_days": (pack_by_days, SQL_PACK_BY_DAYS),
     "correlation_by_days": (correlation_by_days, SQL_CORRELATION_BY_DAYS),
     "stations_by_days": (stations_by_days, SQL_STATIONS_BY_DAYS),

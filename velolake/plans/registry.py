@@ -833,6 +833,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "metrics_document": (metrics_document, None),
     "forest_predictions": (forest_predictions, None),
     **X.QUERIES,
+    "document_rows": (X.document_rows, X.document_rows_sql(SQL_METRICS_PACK, SQL_CORRELATION_MATRIX, SQL_WEEKEND_VS_WEEKDAY, SQL_HOURLY_RESAMPLE)),
+    "side_table_rows": (X.side_table_rows, X.side_table_rows_sql(SQL_CORRELATION_MATRIX, SQL_WEEKEND_VS_WEEKDAY, SQL_HOURLY_RESAMPLE)),
 }
 
 

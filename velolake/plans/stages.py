@@ -77,7 +77,12 @@ SPLITS = ("train", "test")
 PARTS = ("features", "target")
 
 
-def write_splits(features: DataFrame, base: str, date_range: str, test_share: float = 0.2, key: str = "readingId") -> str:
+def split(features: DataFrame, test_share: float = 0.2, key: str = "readingId", exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """M1: by hash, or with exactly ``ceil(test_share * rows)`` test rows."""
+    return (SA.split_exact if exact else SA.split_by_hash)(features, test_share, key)
+
+
+def write_splits(features: DataFrame, base: str, date_range: str, test_share: float = 0.2, key: str = "readingId", exact: bool = False) -> str:
     """M1 + P11 + K2: the four parts (train/test x features/target), each
     as parquet under ``{path}/split=<s>/part=<p>``.  Both parts keep the row
     key, so features and target are joined by key, never by row order.
@@ -85,12 +90,12 @@ def write_splits(features: DataFrame, base: str, date_range: str, test_share: fl
     part is one scan of it."""
     from velolake import schemas as S
 
-    train, test = SA.split_by_hash(features, test_share, key)
+    train, test = split(features, test_share, key, exact)
     path = CSV.object_path(base, "splits", date_range)
-    for split, df in zip(SPLITS, (train, test)):
+    for name, df in zip(SPLITS, (train, test)):
         target, feats = FE.split_target(df, S.LABEL, key)
-        FE.select_features(feats, keep=[key]).write.mode("overwrite").parquet(f"{path}/split={split}/part=features")
-        target.write.mode("overwrite").parquet(f"{path}/split={split}/part=target")
+        FE.select_features(feats, keep=[key]).write.mode("overwrite").parquet(f"{path}/split={name}/part=features")
+        target.write.mode("overwrite").parquet(f"{path}/split={name}/part=target")
     return path
 
 
@@ -105,11 +110,12 @@ def train_and_evaluate(
     base: str,
     date_range: str,
     test_share: float = 0.2,
+    exact: bool = False,
     **forest_params,
 ) -> dict[str, str]:
     """M1-M4 + K6 + K8; returns the written locations."""
     feats = read_features(spark, features_path)
-    train, test = SA.split_by_hash(feats, test_share)
+    train, test = split(feats, test_share, exact=exact)
     model = ML.fit(train, **forest_params)
     model_path = ML.save(model, CSV.object_path(base, "model", date_range))
     scored = ML.score(model, test)

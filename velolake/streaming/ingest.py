@@ -112,7 +112,8 @@ def start_hourly(
     """Readings and available bikes per event-time hour.  Each micro-batch
     writes its own sums to its own partition (a replayed batch overwrites
     it), :func:`read_hourly` adds them up: runs in any order give one result
-    and no reading is too late."""
+    and no reading is too late.  What is summed are deliveries: a poll landed
+    twice counts twice here, and once in ``event_time.start_hours``."""
     items = items_stream(read_landed(spark, landing, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
