@@ -2,8 +2,10 @@
 driver tables, and the shape of the physical plans."""
 
 import hashlib
-import os
 import json
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -52,6 +54,13 @@ def test_contract():
     assert set(q) - set(o) == {"metrics_document", "forest_predictions"}
 
 
+@pytest.mark.parametrize("gone", ["public_tokenizers", "velolake.llm", "corpus_pipeline"])
+def test_entry_without_training_data_operators(gone):
+    code = f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as E; print(len(E.queries()), any(q.startswith('op') for q in E.queries()), 'pipeline' in E.queries())"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.abspath(E.__file__)))
+    assert out.returncode == 0 and out.stdout.split() == [str(len(registry.queries())), "False", "False"]
+
+
 def test_entry(spark):
     df = E.entry(spark)
     rows = df.collect()
