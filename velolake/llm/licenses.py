@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,10 +151,13 @@ def scan_text(text: str) -> tuple[int, list[tuple[str, str, int, int]], list[str
     words = text.encode("utf-8").translate(WORD_BYTES).split()
     if not words:
         return 0, [], [], None
-    line = f" {b' '.join(words).decode('latin-1')} "
-    findings, labels, demand, tagged = [], set(), None, False
-    for end, (kind, label, length, n) in automaton().iter(line):
-        first = line.count(" ", 0, end - length)
+    packed = b" " + b" ".join(words) + b" "
+    found, labels, demand, tagged = list(automaton().iter(packed.decode("latin-1"))), set(), None, False
+    # a place's word is the number of spaces before it
+    spaces = np.flatnonzero(np.frombuffer(packed, np.uint8) == 32) if found else np.zeros(0, np.int64)
+    places = np.searchsorted(spaces, [end - data[2] for end, data in found]).tolist()
+    findings = []
+    for (_, (kind, label, _, n)), first in zip(found, places):
         findings.append((kind, label, first, n))
         tagged = tagged or kind == "tag"
         if label:
