@@ -91,10 +91,11 @@ def repeated_words(df: DataFrame, hashes: str, n: str, window: int = WINDOW) ->
 
 
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the measures and ratios of its texts."""
-    names = {"_t", "_words", "_lines", "_h", "_n", "_solid", "_w", "_s", "_at"}
-    df = df.select(text, *[c for c in df.columns if c != text and c.lower() not in names])
-    made = _added(df, {"_t": F.coalesce(F.col(f"`{text}`"), F.lit(""))})
+    """``df`` with the measures and ratios of its texts; its columns of
+    these names give way, those of any other name stay."""
+    # its columns are one while the measures are made: no name can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    made = df.select(whole.alias("_record"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
     t = F.col("_t")
     words = F.filter(F.split(F.translate(t, SPACES[1:], " " * (len(SPACES) - 1)), " ", -1), lambda w: w != "")
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
@@ -114,7 +115,8 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     }
     made = replaced(made, {k: c.cast("long") for k, c in counts.items()})
     made = replaced(made, {k: F.try_divide(F.col(a).cast("double"), F.col(b)) for k, a, b in RATIOS})
-    return made.drop("_t", "_words", "_lines", "_h", "_n", "_solid")
+    own = [*counts, *[k for k, _, _ in RATIOS]]
+    return made.select(*[F.col(f"_record.`{c}`").alias(c) for c in df.columns if c.lower() not in own], *own)
 
 
 def base_failed() -> Column:
