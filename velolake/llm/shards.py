@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velolake.llm.common import stored
+from velolake.llm.common import free_name, stored
 
 OVERHEAD = 16  # bytes that each record has besides its text
 RANGES_PER_SHARD = 4
@@ -38,13 +38,15 @@ OVERFULL = 2  # times the mean range
 ROUNDS = 4  # of subdividing
 GROUP_SHARE = 0.02  # of a shard: equal texts up to this stay together
 
-Boundary = tuple[int, int | None]
+Boundary = tuple[int, int | None, int]
 
 
-def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id, size, checksum and key of each record."""
+def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text", row: Column | None = None) -> DataFrame:
+    """Id, size, checksum, key and number of each record.  The number parts
+    rows that are equal in all else; the rows must be stored with it."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return df.select(
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
         F.col(f"`{id_col}`").alias("id"),
         (F.octet_length(t) + OVERHEAD).cast("long").alias("size"),
         F.crc32(t.cast("binary")).alias("crc"),
@@ -54,11 +56,12 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFram
 
 def _below(b: Boundary) -> Column:
     """Whether a record comes before a boundary."""
-    key, ident = b
-    less = F.col("key") < F.lit(key)
+    key, ident, row = b
+    before, same = F.col("key") < F.lit(key), F.col("key") == F.lit(key)
+    none, earlier = F.col("id").isNull(), F.col("row") < F.lit(row)
     if ident is None:
-        return less
-    return less | ((F.col("key") == F.lit(key)) & (F.col("id").isNull() | (F.col("id") < F.lit(ident))))
+        return before | (same & none & earlier)
+    return before | (same & (none | (F.col("id") < F.lit(ident)) | ((F.col("id") == F.lit(ident)) & earlier)))
 
 
 def range_of(boundaries: list[Boundary], first: int = 0) -> Column:
@@ -70,13 +73,13 @@ def range_of(boundaries: list[Boundary], first: int = 0) -> Column:
 
 
 def _order(b: Boundary) -> tuple:
-    return (b[0], b[1] is not None, b[1] or 0)
+    return (b[0], b[1] is not None, b[1] or 0, b[2])
 
 
 def _quantiles(drawn: list, parts: int, least: float) -> list[Boundary]:
     """Boundaries that cut a weighted sample into ``parts`` equal shares.  A
     record drawn for certain weighs its size, the others ``least``."""
-    drawn = sorted(((r.key, r.id), max(r.size, least)) for r in drawn if r.id is not None) if drawn else []
+    drawn = sorted((((r.key, r.id, r.row), max(r.size, least)) for r in drawn), key=lambda x: _order(x[0]))
     total, upto, out = sum(w for _, w in drawn), 0.0, []
     for at, weight in drawn:
         if upto * parts >= total * (len(out) + 1) and (not out or at != out[-1]):
@@ -93,11 +96,11 @@ def splitters(records: DataFrame, shards: int) -> tuple[list[Boundary], list]:
     if not total.rows:
         return [], []
     ranges = min(MAX_RANGES, max(shards * RANGES_PER_SHARD, -(-total.rows // ROWS_PER_RANGE)))
-    uniform = F.pmod(F.xxhash64("key", "id", F.lit(17)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    uniform = F.pmod(F.xxhash64("key", "id", "row", F.lit(17)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
     def draw(rows: DataFrame, size: int, parts: int) -> list[Boundary]:
         each = size / (parts * DRAWS_PER_RANGE)
-        return _quantiles(rows.where(uniform * each < F.col("size")).select("key", "id", "size").collect(), parts, each)
+        return _quantiles(rows.where(uniform * each < F.col("size")).select("key", "id", "row", "size").collect(), parts, each)
 
     bounds = draw(records, total.size, ranges)
     for turn in range(ROUNDS + 1):
@@ -116,11 +119,11 @@ def splitters(records: DataFrame, shards: int) -> tuple[list[Boundary], list]:
     return bounds, got
 
 
-def assign(df: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per record of ``df``: id, size, crc, key, shard, slot."""
+def assign(df: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text", row: Column | None = None) -> DataFrame:
+    """Per record of ``df``: id, size, crc, key, row, shard, slot."""
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    records = stored(keyed(df, id_col, text), "shard-keys")
+    records = stored(keyed(df, id_col, text, row), "shard-keys")
     bounds, got = splitters(records, shards)
     total, rows = sum(r.size for r in got), 0
     before: dict[int, tuple[int, int]] = {}
@@ -131,7 +134,7 @@ def assign(df: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text
     spark = df.sparkSession
     # one row per range: at most a few thousand
     offsets = F.broadcast(spark.createDataFrame([(k, a, b) for k, (a, b) in before.items()], "range int, bytes_before long, rows_before long"))
-    order = [F.col("key"), F.col("id").asc_nulls_first(), F.col("crc"), F.col("size")]
+    order = [F.col("key"), F.col("id").asc_nulls_first(), F.col("row")]
     within = Window.partitionBy("range").orderBy(*order)
     group = Window.partitionBy("range", "key")
     ranked = (
@@ -147,7 +150,7 @@ def assign(df: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text
     middle = 2 * F.col("bytes_before") + twice
     placed = stored(
         ranked.select(
-            "id", "size", "crc", "key",
+            "id", "size", "crc", "key", "row",
             F.least(F.floor(middle * shards / F.lit(2.0 * max(total, 1))), F.lit(shards - 1)).cast("int").alias("shard"),
             (F.col("rows_before") + F.col("row") - 1).alias("place"),
         ),
@@ -155,22 +158,28 @@ def assign(df: DataFrame, shards: int, id_col: str = "doc_id", text: str = "text
     )
     # one row per shard
     first = F.broadcast(placed.groupBy("shard").agg(F.min("place").alias("first")))
-    return placed.join(first, "shard").select("id", "size", "crc", "key", "shard", (F.col("place") - F.col("first")).alias("slot"))
-
-
-def write_shards(df: DataFrame, path: str, shards: int, id_col: str = "doc_id", text: str = "text") -> None:
-    """Write the records of ``df`` to one folder per shard, in key order of
-    the shards' first records: a row's shard is a comparison with them."""
-    placed = assign(df, shards, id_col, text)
-    firsts = placed.where("slot = 0").select("shard", "key", "id").collect()  # one row per shard
-    bounds = [(r.key, r.id) for r in sorted(firsts, key=lambda r: r.shard)][1:]
-    numbers = F.array(*[F.lit(r.shard) for r in sorted(firsts, key=lambda r: r.shard)]) if firsts else F.array(F.lit(0))
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    named = df.select("*", F.xxhash64(t).alias("key"), F.col(f"`{id_col}`").alias("id")) if not {"key", "id"} & {c.lower() for c in df.columns} else None
-    if named is None:
-        raise ValueError("columns named key or id can't be written; rename them")
-    out = named.withColumn("shard", F.get(numbers, range_of(bounds))).drop("key", "id")
-    out.repartition("shard", F.spark_partition_id() % 16).write.partitionBy("shard").parquet(path)
+    return placed.join(first, "shard").select("id", "size", "crc", "key", "row", "shard", (F.col("place") - F.col("first")).alias("slot"))
+
+
+def write_shards(df: DataFrame, path: str, shards: int, id_col: str = "doc_id", text: str = "text") -> str:
+    """Write the records of ``df`` to one folder per shard, where ``assign``
+    puts them: a row's shard is a comparison with the shards' first records.
+    Returns the name of the column that the folders are named by: ``shard``,
+    with underscores in front if ``df`` has that."""
+    row, shard = (free_name(df.columns, n) for n in ("row", "shard"))
+    numbered = stored(df.withColumn(row, F.monotonically_increasing_id()), "shard-rows")
+    placed = assign(numbered, shards, id_col, text, F.col(row))
+    firsts = sorted(placed.where("slot = 0").select("shard", "key", "id", "row").collect(), key=lambda r: r.shard)  # one row per shard
+    bounds = [(r.key, r.id, r.row) for r in firsts][1:]
+    numbers = F.array(*[F.lit(r.shard) for r in firsts]) if firsts else F.array(F.lit(0))
+    key = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    # the columns are one while the shard is found: no name can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    named = numbered.select(whole.alias("_record"), key.alias("key"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{row}`").alias("row"))
+    found = named.select("_record", F.get(numbers, range_of(bounds)).alias("_shard"), F.pmod(F.xxhash64("row"), F.lit(16)).alias("_part"))
+    dealt = found.repartition("_shard", "_part")
+    dealt.select(*[F.col(f"_record.`{c}`").alias(c) for c in df.columns], F.col("_shard").alias(shard)).write.partitionBy(shard).parquet(path)
+    return shard
 
 
 def digest(documents: DataFrame, shards: int = 40) -> DataFrame:
