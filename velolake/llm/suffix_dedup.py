@@ -106,7 +106,7 @@ def text_name(data: bytes) -> int:
 
 
 ANCHORS = StructType([StructField("bucket", LongType()), StructField("block", LongType())] + [StructField(n, BinaryType()) for n in ("grams", "names", "spots")])
-_TWO = np.uint32(1 << 31)  # flag on a spot: the block has a second text with the gram
+_TWO = np.uint16(1 << 15)  # flag on a spot: the block has a second text with the gram
 
 
 def anchors(texts: DataFrame, bits: int) -> DataFrame:
@@ -126,7 +126,7 @@ def anchors(texts: DataFrame, bits: int) -> DataFrame:
             _, place, h = minimisers(np.frombuffer(distinct[name], np.uint8))
             grams.append(h)
             owner.append(np.full(len(h), k, np.uint32))
-            spot.append((place // STRETCH).astype(np.uint32))
+            spot.append((place // STRETCH % int(_TWO)).astype(np.uint16))  # it only names a group
         g, o, s = np.concatenate(grams), np.concatenate(owner), np.concatenate(spot)
         order = np.argsort(g, kind="stable")  # of a gram: by name, then by place
         g, o, s = g[order], o[order], s[order]
@@ -182,7 +182,7 @@ def repeated(bucket: pd.DataFrame) -> pd.DataFrame:
     gram = wide.reshape(-1).view("<u8")
     del low, wide
     name = np.concatenate([np.frombuffer(x, np.uint64) for x in bucket["names"]])
-    spot = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket["spots"]])
+    spot = np.concatenate([np.frombuffer(x, np.uint16) for x in bucket["spots"]])
     order = np.argsort(gram, kind="stable")
     start = np.flatnonzero(np.diff(gram[order], prepend=gram[order[0]] + np.uint64(1)))
     count = np.diff(start, append=len(order))
