@@ -7,23 +7,24 @@ it goes to the list of its nearest centroid and, as a boundary vector, to
 the lists of other centroids nearly as near.
 Centroids are searched in memory through a graph of their neighbours.  A
 query reads the lists whose centroid is at most a ratio farther than its
-nearest one.  The ratio is ``READ`` or, if that is not enough at the table's
-size, the one that finds ``RECALL`` of the true neighbours of a sample of the
-queries, which are searched by brute force.
+nearest one.  The ratio is the smallest one that finds ``RECALL`` of the true
+neighbours of a sample of the queries, which are searched by brute force: it
+is measured on the table itself, whatever its size.
 
 Lists of centroids near each other are a bundle, and bundles are kept
 balanced by splitting: a large one (say, with a list full of copies of a
 vector) is dealt out over blocks by a hash of the id, and a query that reads
-a list of the bundle reads that list in all blocks.  Each (bundle, block) is
-one group of work; it gives the best ``k`` of the lists' vectors for each of
-its queries, and a last step keeps the best over groups.  A query reads the
+a list of the bundle reads that list in all blocks.  The queries of
+a bundle are dealt out in the same way.  Each (bundle, block of vectors, block
+of queries) is one group of work; it gives the best ``k`` of the lists'
+vectors for each of its queries, and a last step keeps the best over groups.  A query reads the
 bundle of its nearest list first; the others then give only what scores at
 least as high as the ``k``-th found there, as nothing else can be among the
 best.  Where the lists within the ratio hold fewer than ``k`` vectors, a
 query reads on, list by list, until they hold enough.
 
-Defined cases: vectors that are null, zero, of another length than the first
-or hold null or non-finite components take no part (neither as query nor as
+Defined cases: vectors that are null, zero, of another length than most
+(of equally many, than the longest) or hold null or non-finite components take no part (neither as query nor as
 candidate); equal scores go to the smaller id; of rows with one id
 the best counts, and a query never finds rows of its own id; a null id takes
 no part; fewer candidates than ``k`` give fewer rows; an empty table
@@ -52,8 +53,9 @@ BLOCK = 8192  # vectors that a block of a bundle holds on average
 ITERATIONS = 8
 REPLICAS = 4  # lists that a boundary vector may be in
 BOUNDARY = 1.1  # of the nearest distance: how far they may be
-READ = 1.25  # of the nearest distance: how far a query's lists may be at least
-RECALL = 0.99  # of the true neighbours of the sampled queries, which the ratio is raised to
+READ = 1.25  # of the nearest distance: how far a query's lists may be, where no query is there to measure it
+RECALL = 0.97  # of the true neighbours of the sampled queries, which the ratio must find
+ASKED = 4096  # queries that a block of a bundle's queries holds on average
 MEASURED = 200  # queries that the ratio is measured on
 DEGREE = 24  # neighbours of a centroid in the graph
 BEAM = 64
@@ -237,8 +239,8 @@ def true_neighbours(base: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) ->
 
 
 def read_ratio(base: DataFrame, asked: DataFrame, index: DataFrame, graph: CentroidGraph, lift, k: int) -> float:
-    """The ratio at which the sampled queries find ``RECALL`` of their true
-    neighbours in ``index``; ``READ`` at least."""
+    """The smallest ratio at which the sampled queries find ``RECALL`` of
+    their true neighbours in ``index``."""
     sample = asked.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(MEASURED).collect()
     if not sample:
         return READ
@@ -248,7 +250,7 @@ def read_ratio(base: DataFrame, asked: DataFrame, index: DataFrame, graph: Centr
     # a vector is in REPLICAS lists at most
     rows = places.groupBy("query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect()
     needed = [graph.ratio_to(lift(q[r.query_id]), np.array(r.lists)) for r in rows]
-    return max(READ, float(np.quantile(needed, RECALL, method="higher")) * (1 + 1e-9)) if needed else READ
+    return float(np.quantile(needed, RECALL, method="higher")) * (1 + 1e-9) if needed else READ
 
 
 def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -287,7 +289,6 @@ def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: st
             out.setdefault(x // BUNDLE, []).append(x)
         return list(out.items())
 
-
     def place(pick):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g = shared.value
@@ -332,9 +333,15 @@ def search(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: st
         return _best(_part(vectors), _part(queries), queries["floor"].to_numpy(float), k)
 
     def found(asking: DataFrame) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-        work = asking.join(sizes, "bundle").select("bundle", every, "lists", "id", "vec", "floor")
-        return blocks.groupBy("bundle", "block").cogroup(work.groupBy("bundle", "block")).applyInPandas(compare, FOUND)
+        # one row per bundle: fewer than lists
+        many = asking.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).collect()
+        parts = F.broadcast(spark.createDataFrame([(r.bundle, -(-r.n // ASKED)) for r in many], "bundle int, parts int"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        work = asking.join(sizes, "bundle").join(parts, "bundle")
+        work = work.select("bundle", every("blocks").alias("block"), F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int").alias("part"), "lists", "id", "vec", "floor")
+        held = blocks.join(parts, "bundle").select("bundle", "block", every("parts").alias("part"), "lists", "id", "vec")
+        group = ["bundle", "block", "part"]
+        return held.groupBy(*group).cogroup(work.groupBy(*group)).applyInPandas(compare, FOUND)
 
     lowest = F.lit(float("-inf"))
     near = stored(best_of(found(wanted.where("first").withColumn("floor", lowest)), k), "ann-near").drop("rank")
