@@ -1,21 +1,27 @@
 """Personal data: patterns, and information-theoretic sanitisation.
 
-Patterns find the protected entities (e-mail, ip, card, phone).  What stands
-around them may give them away as well, so terms near an entity are weighed
-by what the corpus says: with n documents, c of them holding the entity, t
-the term and ct both within reach of each other, the pointwise mutual
-information log(n * ct / (c * t)) is what the term tells of the entity, and
-log(n / c) is all there is to tell.  Their ratio is the disclosure.  From
-``REMOVE`` on a term is removed, from ``GENERALISE`` on it is replaced by its
-kind.  That ratio is 1 + log(ct / t) / log(n / c); as few observations prove
-little, Wilson's lower bound (one-sided, 90 %) stands for the share ct / t.  A
-pair is observed once in each different surrounding, so copies of one passage
-add no confidence; there is no least number of observations.
-
-The corpus is read twice more or less in full: once for the entities and
-their surroundings, once to count the documents of the candidate terms.  A
-fixed bitmap of candidate hashes goes to that pass, the exact terms are
-joined after it.
+Patterns find the protected entities (e-mail, ip, card, phone).  Other terms
+may give them away as well, so terms are weighed by what the corpus says.
+With t documents that hold a term, and ct of them the entity as well, wherever
+in the text, the term leaves -log2(ct / t) bits to tell the entity by: at 0
+bits the term names it.  As few observations prove little, Wilson's lower
+bound (one-sided, 90 %) stands for ct / t; documents that show the pair in one
+surrounding are one observation, so copies of a passage add no confidence.  A
+term that leaves at most ``REMOVE`` bits is removed, at most ``GENERALISE`` it
+is replaced by its kind.  Documents that hold neither change nothing: the bits
+are the same in a corpus of any size.  Only for an entity that itself stands in
+much of the corpus a term must also tell something, ``GAIN`` bits more than
+the entity's own share of all documents does.
+
+Weighed are the terms that stand within ``REACH`` words of an entity in some
+document.  What they tell is counted over whole texts, and a term that tells
+is masked wherever it stands: in all of the text, and in documents that do not
+hold the entity.
+
+The corpus is read three times in full: for the entities and what stands
+beside them, to count the candidates (terms, and terms with entities), and to
+find the places of those that tell.  A bitmap of hashes goes along with each of
+the last two, sized to what it holds; the exact terms are joined after it.
 
 Defined cases: a null text is the empty text (no spans; sanitised it stays
 null); patterns run over whole texts in linear time; repeated rows are
@@ -42,11 +48,12 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from velolake.llm.common import extended, free_name, slices, stored
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 8  # terms on either side of an entity
+REACH = 8  # terms on either side of an entity that are weighed
 LEAST_TERM = 3  # letters or digits
 Z = 1.2816  # normal quantile of the confidence, 90 % one-sided
-REMOVE, GENERALISE = 0.9, 0.6
-BITS, MAX_BITS = 1 << 20, 1 << 22  # of the bitmap of candidates
+REMOVE, GENERALISE = 1.0, 2.0  # bits that a term leaves at most
+GAIN = 1.0  # bits that it must tell beyond the entity's share of the corpus
+BITS, MAX_BITS = 1 << 20, 1 << 23  # of a bitmap
 COUNTED = 1 << 18  # terms that a task counts before it passes them on
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -113,23 +120,17 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def value_of(text: str, kind: str, a: int, b: int) -> str:
+    """The entity that a span names: one for all ways to write it."""
+    return f"{kind}:" + (text[a:b].lower() if kind == "email" else text[a:b] if kind == "ip" else "".join(filter(str.isdigit, text[a:b])))
+
+
 def surroundings(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int, int]]:
     """(entity, term, start, end, hash of the surroundings) for the terms
     within reach of each entity, outside of all spans."""
-    out, ends, begins = [], [], []
-    for _, a, b in sorted(spans, key=lambda s: s[1:]):  # merged, so both lists ascend
-        if ends and a < ends[-1]:
-            ends[-1] = max(ends[-1], b)
-        else:
-            begins.append(a)
-            ends.append(b)
-
-    def free(m: re.Match) -> bool:
-        k = bisect_right(ends, m.start())
-        return k == len(ends) or begins[k] >= m.end()
-
+    out, free = [], _outside(spans)
     for kind, a, b in spans:
-        value = text[a:b].lower() if kind == "email" else text[a:b] if kind == "ip" else "".join(filter(str.isdigit, text[a:b]))
+        entity = value_of(text, kind, a, b)
         lo, hi = max(0, a - 40 * REACH), min(len(text), b + 40 * REACH)
         while lo and text[lo - 1].isalnum() and lo > a - 80 * REACH:  # from the start of a word
             lo -= 1
@@ -139,7 +140,7 @@ def surroundings(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str
         around = zlib.crc32(" ".join(m.group().lower() for m in left + right).encode())
         for m in left + right:
             if m.end() - m.start() >= LEAST_TERM:
-                out.append((f"{kind}:{value}", m.group().lower(), m.start(), m.end(), around))
+                out.append((entity, m.group().lower(), m.start(), m.end(), around))
     return out
 
 
@@ -179,72 +180,133 @@ def entities(df: DataFrame, text: str = "text") -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def term_documents(df: DataFrame, bits: bytes, text: str = "text") -> DataFrame:
-    """(term, n): documents that hold each term whose hash is in the bitmap.
-    A task counts over all of its rows, and passes its counts on at
-    ``COUNTED`` terms."""
-    schema = StructType([StructField("term", StringType()), StructField("n", LongType())])
-    shared = df.sparkSession.sparkContext.broadcast(bits)  # MAX_BITS / 8 bytes at most
+def _outside(spans: list[tuple[str, int, int]]):
+    """Whether a match lies outside of all spans."""
+    begins, ends = [], []
+    for _, a, b in sorted(spans, key=lambda s: s[1:]):  # merged, so both lists ascend
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+
+    def free(m: re.Match) -> bool:
+        k = bisect_right(ends, m.start())
+        return k == len(ends) or begins[k] >= m.end()
+
+    return free
+
+
+def bitmap(values: DataFrame, rows: int) -> bytes:
+    """Bits of the hashes of one text column, sixteen a value as far as
+    ``MAX_BITS`` goes."""
+    bits = min(MAX_BITS, max(BITS, 1 << (16 * rows - 1).bit_length()))
+    at = (F.crc32(values[values.columns[0]].cast("binary")) % bits).cast("int").alias("p")
+    places = values.select(at).distinct().toArrow()  # at most MAX_BITS numbers
+    on = np.zeros(bits, np.uint8)
+    on[places.column(0).to_numpy()] = 1
+    return np.packbits(on).tobytes()
+
+
+COUNTS = StructType([StructField("entity", StringType()), StructField("term", StringType()), StructField("n", LongType())])
+
+
+def term_documents(df: DataFrame, terms: bytes, pairs: bytes, text: str = "text") -> DataFrame:
+    """(entity, term, n): documents that hold each term (entity: null), and
+    each pair of an entity and a term, of those whose hashes are in the
+    bitmaps.  A task counts over all of its rows, and passes its counts on at
+    ``COUNTED`` of them."""
+    shared = df.sparkSession.sparkContext.broadcast((terms, pairs))  # MAX_BITS / 8 bytes each at most
 
     def counted(n: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=schema.names)
+        columns = [pa.array([k[i] for k in n], pa.string()) for i in range(2)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(list(n.values()), pa.int64())], names=COUNTS.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on = np.unpackbits(np.frombuffer(shared.value, np.uint8)).tobytes()
-        size, n = len(on), Counter()
+        on, both = (np.unpackbits(np.frombuffer(x, np.uint8)).tobytes() for x in shared.value)
+        size, wide, n = len(on), len(both), Counter()
         for batch in slices(batches):
             for x in batch.column(0).to_pylist():
-                n.update([w for w in set(TERM.findall((x or "").lower())) if on[zlib.crc32(w.encode()) % size]])
+                x = x or ""
+                held = [w for w in {w.lower() for w in set(TERM.findall(x))} if on[zlib.crc32(w.encode()) % size]]
+                n.update([(None, w) for w in held])
+                for entity in {value_of(x, *s) for s in find(x)} if held else ():
+                    start = zlib.crc32(f"{entity}\n".encode())
+                    n.update([(entity, w) for w in held if both[zlib.crc32(w.encode(), start) % wide]])
             if len(n) >= COUNTED:
                 yield counted(n)
                 n = Counter()
         yield counted(n)
 
-    return df.select(text).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n"))
+    return df.select(text).mapInArrow(run, COUNTS).groupBy("entity", "term").agg(F.sum("n").alias("n"))
 
 
-def disclosure(ct, contexts, c, t, n: int):
-    """The ratio of the information, at the lower bound of ct / t.  ``t``
-    documents of which ``ct`` show ``contexts`` surroundings are as many
-    observations as surroundings stand for."""
+def bits_left(ct, contexts, t):
+    """-log2 of the lower bound of ct / t.  ``t`` documents of which ``ct``
+    show ``contexts`` surroundings are as many observations as surroundings
+    stand for."""
     share, seen = ct / t, t * F.least(contexts, ct) / ct
     lower = (share + Z**2 / (2 * seen) - Z * F.sqrt(F.greatest(F.lit(0.0), share * (1 - share)) / seen + (Z / (2 * seen)) ** 2)) / (1 + Z**2 / seen)
-    return 1 + F.ln(lower) / F.ln(F.lit(float(n)) / c)
+    return -F.log2(lower)
 
 
 def disclosures(documents: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of the pairs at ``GENERALISE`` or more.
-    ``found`` is the stored result of ``entities``."""
-    spark = documents.sparkSession
-    near = found.select("text_key", F.explode("near").alias("x")).select("text_key", "x.entity", "x.term", "x.around")
-    # a document counts once for a pair; every count is summed map-side first
-    holders = found.select(F.monotonically_increasing_id().alias("row"), "near")
-    pair = holders.select("row", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))).alias("x")).select("x.entity", "x.term")
-    both = pair.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("ct"))
-    seen = near.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    candidates = stored(both.join(seen, ["entity", "term"]), "pii-candidates")
-    # sixteen bits a candidate, as far as MAX_BITS goes; the join below is exact
-    bits = min(MAX_BITS, max(BITS, 1 << (16 * candidates.count() - 1).bit_length()))
-    places = candidates.select((F.crc32(F.col("term").cast("binary")) % bits).cast("int").alias("p")).distinct().toArrow()  # at most MAX_BITS numbers
-    on = np.zeros(bits, np.uint8)
-    on[places.column(0).to_numpy()] = 1
-    terms = term_documents(documents, np.packbits(on).tobytes(), text)
-    held = holders.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("c"))
+    """(entity, term, bits) of the pairs that leave ``GENERALISE`` bits or
+    fewer.  ``found`` is the stored result of ``entities``."""
+    near = found.select(F.explode("near").alias("x")).select("x.entity", "x.term", "x.around")
+    contexts = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    candidates = stored(contexts, "pii-candidates")
+    rows = candidates.count()
+    terms = bitmap(candidates.select("term"), rows)
+    pairs = bitmap(candidates.select(F.concat_ws("\n", "entity", "term")), rows)
+    counts = stored(term_documents(documents, terms, pairs, text), "pii-counts")
+    of_term = counts.where("entity IS NULL").select("term", F.col("n").alias("t"))
+    of_pair = counts.where("entity IS NOT NULL").select("entity", "term", F.col("n").alias("ct"))
+    holders = found.select(F.array_distinct(F.transform("near", lambda x: x["entity"])).alias("e"))
+    held = holders.select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("c"))
     n = found.count()
-    ratio = disclosure(F.col("ct"), F.col("contexts"), F.col("c"), F.col("n"), n)
+    left = bits_left(F.col("ct"), F.col("contexts"), F.col("t"))
     return (
-        candidates.join(terms, "term").join(held, "entity").where(F.col("c") < n)
-        .select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
-    )
+        candidates.join(of_pair, ["entity", "term"]).join(of_term, "term").join(held, "entity")
+        .select("entity", "term", left.alias("bits"), (F.log2(F.lit(float(n)) / F.col("c")) - left).alias("gain"))
+        .where((F.col("bits") <= GENERALISE) & (F.col("gain") >= GAIN)).drop("gain")
+    )
+
+
+PLACES = StructType([StructField("told_key", BinaryType()), StructField("term", StringType()), StructField("start", LongType()), StructField("end", LongType())])
+
+
+def term_places(df: DataFrame, terms: bytes, text: str = "text") -> DataFrame:
+    """(told_key, term, start, end): places of the terms whose hashes are in
+    the bitmap, outside of the patterns' spans, in each distinct text that a
+    batch has."""
+    shared = df.sparkSession.sparkContext.broadcast(terms)  # MAX_BITS / 8 bytes at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on = np.unpackbits(np.frombuffer(shared.value, np.uint8)).tobytes()
+        size = len(on)
+        for batch in slices(batches):
+            rows: list[tuple] = []
+            for x in set(batch.column(0).to_pylist()) - {None, ""}:
+                held = {w for w in {w.lower() for w in set(TERM.findall(x))} if on[zlib.crc32(w.encode()) % size]}
+                if held:
+                    free, key = _outside(find(x)), text_key(x)
+                    rows += [(key, w, m.start(), m.end()) for m in TERM.finditer(x) if (w := m.group().lower()) in held and free(m)]
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.string(), pa.int64(), pa.int64()))], names=PLACES.names)
+
+    return df.select(text).mapInArrow(run, PLACES)
 
 
-def term_spans(found: DataFrame, told: DataFrame) -> DataFrame:
-    """(text_key, terms): spans of disclosing terms in each distinct text."""
-    near = found.where(F.size("near") > 0).select("text_key", F.explode("near").alias("x")).select("text_key", "x.*")
-    hit = near.join(told, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    kind = F.when(F.col("disclosure") >= REMOVE, F.lit("removed")).otherwise(F.lit("generalised"))
-    span = F.struct(kind.alias("kind"), "start", "end")
-    return hit.groupBy(F.col("text_key").alias("told_key")).agg(F.sort_array(F.collect_set(span)).alias("terms"))
+def term_spans(documents: DataFrame, told: DataFrame, text: str = "text") -> DataFrame:
+    """(told_key, terms): spans of terms that tell in each distinct text.
+    ``told`` is the stored result of ``disclosures``."""
+    worst = told.groupBy("term").agg(F.min("bits").alias("bits"))
+    places = term_places(documents, bitmap(told.select("term"), told.count()), text)
+    kind = F.when(F.col("bits") <= REMOVE, F.lit("removed")).otherwise(F.lit("generalised"))
+    hit = places.join(worst, "term").select("told_key", F.struct(kind.alias("kind"), "start", "end").alias("span"))
+    # copies of a text give the same spans; a set takes them once
+    return hit.groupBy("told_key").agg(F.sort_array(F.collect_set("span")).alias("terms"))
 
 
 def spans(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -253,7 +315,7 @@ def spans(documents: DataFrame, text: str = "text") -> DataFrame:
     found = stored(entities(documents, text), "pii-entities")
     told = stored(disclosures(documents, found, text), "pii-disclosures")
     other = free_name(found.columns, "told_key")
-    terms = term_spans(found, told).withColumnRenamed("told_key", other)
+    terms = term_spans(documents, told, text).withColumnRenamed("told_key", other)
     rest = found.select(*[c for c in found.columns if c.lower() not in ("near", "terms")])
     return rest.join(terms, F.col("text_key") == F.col(other), "left").drop(other)
 
@@ -278,7 +340,7 @@ def sanitised(documents: DataFrame, text: str = "text") -> DataFrame:
     found = stored(entities(slim, "text"), "pii-entities")
     told = stored(disclosures(slim, found), "pii-disclosures")
     key, other, terms = (free_name(documents.columns, n) for n in ("text_key", "told_key", "terms"))
-    flagged = term_spans(found, told).select(F.col("told_key").alias(other), F.col("terms").alias(terms))
+    flagged = term_spans(slim, told).select(F.col("told_key").alias(other), F.col("terms").alias(terms))
     keyed = documents.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))))
     joined = keyed.join(flagged, F.col(key) == F.col(other), "left").drop(other, key)
     source, more, names = joined.columns.index(text), joined.columns.index(terms), documents.columns
