@@ -31,8 +31,9 @@ def documents(spark):
 
 #: names that operators use for columns of their own
 CLASHES = (
-    "n_tokens ids spans decoded n_words kept score shard slot key id row lo bands node comp class_id band piece start length offset "
-    "sequence_id text_key told_key terms near labels findings predicted whole size _t _words _rank _salt row_of_class"
+    "n_tokens ids spans decoded n_words kept shard slot key id row lo bands node comp class_id band piece start length offset "
+    "sequence_id text_key told_key terms near labels findings predicted whole size _t _words _rank _salt row_of_class "
+    "n_repeat_words n_lines stop_word_ratio _lines _h _n _solid _w _s _at _record crc range _shard _part n_features weight score rank"
 ).split()
 
 

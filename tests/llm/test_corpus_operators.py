@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from rows import clashing, documents
+from rows import clashing, documents, prose
 
 from velolake.llm import minhash, neighbours, packing, shards, suffix_dedup
 from velolake.llm.queries import WORD_MODEL
@@ -17,7 +17,9 @@ from velolake.llm.queries import WORD_MODEL
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return documents(spark).cache()
+    frame = documents(spark).cache()
+    yield frame
+    frame.unpersist(blocking=True)
 
 
 @pytest.fixture(scope="module")
@@ -61,11 +63,47 @@ def test_shards_are_even_despite_a_hot_group(spark):
     assert all(len(h) == 1 for h in homes.values())  # small groups stay whole
 
 
+def brute_bytes(rows, count):
+    """Shard of each record in a plain sorted order: that of the middle of its
+    bytes (every text its own group of one)."""
+    total, upto, out = sum(n for _, n in rows), 0, []
+    for _, n in rows:
+        out.append(min(count - 1, (2 * upto + n) * count // (2 * total)))
+        upto += n
+    return out
+
+
+def test_shards_equal_a_plain_sorted_cut(spark):
+    r = random.Random(7)
+    rows = [(i, f"{i} " + "z" * r.randint(0, 500)) for i in range(3000)]
+    got = shards.assign(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 13).collect()
+    order = sorted(got, key=lambda x: (x.key, x.id))
+    assert [x.shard for x in order] == brute_bytes([(x.id, x["size"]) for x in order], 13)
+    check_shards(got, 13)
+
+
+def test_rows_equal_in_everything_are_dealt_out(spark):
+    # a third of all rows are one row, id included; another third has no id
+    rows = [(5, "same row")] * 2000 + [(None, "no id " * 3)] * 2000 + [(i, f"own {i} " * 4) for i in range(10, 2010)]
+    records = shards.assign(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 12)
+    size = check_shards(records.collect(), 12)
+    mean = sum(size.values()) / 12
+    assert len(size) == 12 and max(size.values()) - min(size.values()) < 0.02 * mean + 100
+    _, ranges = shards.splitters(records.select("row", "id", "size", "crc", "key"), 12)
+    assert max(r.rows for r in ranges) <= shards.OVERFULL * len(rows) / 48 + 1
+
+
 def test_written_shards(docs, scratch):
     path = scratch("shards")
-    shards.write_shards(docs, path, 4)
+    named = clashing(docs)
+    column = shards.write_shards(named, path, 4)
     back = docs.sparkSession.read.parquet(path)
-    assert back.count() == docs.count() and {*docs.columns} <= {*back.columns}
+    assert column.endswith("shard") and column not in named.columns
+    assert {*back.columns} == {*named.columns, column} and back.count() == docs.count()
+    assert {r.shard for r in back.select("shard").collect()} == {"mine"}
+    want = Counter(r.shard for r in shards.assign(docs, 4).collect())
+    got = Counter(r[0] for r in back.select(column).collect())
+    assert got == want and set(want) <= set(range(4))
 
 
 # -- neighbours -------------------------------------------------------------
@@ -139,6 +177,30 @@ def test_recall_over_a_thousand_fine_lists(spark, monkeypatch):
     assert recall(spark, x, 50) >= 0.97
 
 
+@pytest.mark.parametrize("clusters, most", [(400, 0.25), (None, 0.75)])
+def test_lists_are_pruned_and_neighbours_found(spark, monkeypatch, clusters, most):
+    """Share of the lists that queries read, beside the recall, at a thousand
+    lists: vectors in clear clusters and vectors in none."""
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 12)
+    monkeypatch.setattr(neighbours, "ASKED", 60)  # queries are dealt over blocks
+    r = np.random.default_rng(8)
+    x = r.normal(size=(12_500, 24))
+    if clusters:
+        x = r.normal(size=(clusters, 24))[r.integers(0, clusters, len(x))] + 0.15 * x
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    seen, keep = {}, neighbours.stored
+
+    def kept(df, name):
+        seen[name] = keep(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(neighbours, "stored", kept)
+    assert recall(spark, x, 50) >= 0.93
+    lists = len(x) // 12
+    read = [len(q.lists) for q in seen["ann-queries"].collect()]
+    assert lists >= 1000 and sum(read) / len(range(0, len(x), 50)) <= most * lists
+
+
 def test_unclustered_vectors_have_replicas():
     x = np.random.default_rng(6).normal(size=(4000, 64)) / 8
     graph = neighbours.CentroidGraph(neighbours.fit_centroids(x, 100))
@@ -184,6 +246,23 @@ def test_random_repeats_equal_brute_force(spark):
     assert sorted((tuple(x) for x in suffix_dedup.digest(df).collect()), key=str) == brute_repeats(rows + rows[:5])
 
 
+def test_hot_grams_are_told_once_a_block(spark):
+    # copies of one text, and a line that a third of all texts share
+    r = random.Random(5)
+    line = prose(40, 25)
+    rows = [(i, prose(1, 60)) for i in range(1000)]
+    rows += [(i, prose(i, 12) + " " + line + " " + prose(i + 1, 12)) for i in range(1000, 2000)]
+    rows += [(i, prose(3 * i, 30)) for i in range(2000, 2600)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {x.doc_id: x for x in suffix_dedup.digest(df).collect()}
+    assert {d: tuple(found[d])[1:] for d, _ in rows} == {w[0]: tuple(w)[1:] for w in brute_repeats(rows)}
+    sent = suffix_dedup.anchors(df.select("text"), 0).collect()
+    blocks = {x.block for x in sent}
+    grams = [g for x in sent if x.bucket >= 0 for g in np.frombuffer(x.grams, np.uint8).reshape(-1, 6).tolist()]
+    assert max(Counter(map(tuple, grams)).values()) <= len(blocks) <= 8
+
+
 def test_texts_without_repeats(docs):
     wide = clashing(docs)
     out = suffix_dedup.deduplicated(wide)

@@ -21,7 +21,9 @@ from velolake.llm.queries import ORACLE_SQL, PIECE_MODEL, WORD_MODEL
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return documents(spark).cache()
+    frame = documents(spark).cache()
+    yield frame
+    frame.unpersist(blocking=True)
 
 
 @pytest.fixture(scope="module")
@@ -125,6 +127,14 @@ def test_quality_is_native_and_equals_sql(docs):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_quality_columns_of_any_name(docs):
+    plain = {(r.doc_id, r.n_words, r.n_repeat_words, r.n_lines, r.stop_word_ratio, r.kept) for r in quality_rules.judged(docs).collect()}
+    rows = quality_rules.judged(clashing(docs))
+    assert {(r.doc_id, r.n_words, r.n_repeat_words, r.n_lines, r.stop_word_ratio, r.kept) for r in rows.collect()} == plain
+    own = {"n_words", "n_repeat_words", "n_lines", "stop_word_ratio", "kept"}
+    assert all(set(r) == {"mine"} for r in rows.select(*[c for c in CLASHES if c not in own]).collect())
+
+
 def test_quality_keeps_rows_and_columns(docs):
     wide = clashing(docs)
     kept = quality_rules.kept_rows(wide)
@@ -213,6 +223,72 @@ def test_terms_of_entities_seen_one_to_three_times(spark):
     assert all(got[i] == x for i, x in rows if i < 1000)
 
 
+def plain_disclosures(rows):
+    """Spans of telling terms of each text, by plain counting."""
+    import math
+
+    term = re.compile(r"[^\W_]+")
+    found = [(t or "", personal_data.find(t or "")) for _, t in rows]
+    holds = [{personal_data.value_of(t, *s) for s in spans} for t, spans in found]
+    words = [{w.lower() for w in term.findall(t)} for t, _ in found]
+    around = {}
+    for t, spans in found:
+        for entity, w, _, _, a in personal_data.surroundings(t, spans):
+            around.setdefault((entity, w), set()).add(a)
+    bits = {}
+    for (entity, w), seen in around.items():
+        t = sum(w in x for x in words)
+        ct = sum(w in x and entity in h for x, h in zip(words, holds))
+        c = sum(entity in h for h in holds)
+        p, k, z = ct / t, t * min(len(seen), ct) / ct, personal_data.Z
+        low = (p + z * z / (2 * k) - z * math.sqrt(max(0.0, p * (1 - p)) / k + (z / (2 * k)) ** 2)) / (1 + z * z / k)
+        if -math.log2(low) <= personal_data.GENERALISE and math.log2(len(rows) / c) + math.log2(low) >= personal_data.GAIN:
+            bits[w] = min(bits.get(w, 9), -math.log2(low))
+    out = []
+    for t, spans in found:
+        inside = lambda m: any(a < m.end() and m.start() < b for _, a, b in spans)
+        told = [(bits[m.group().lower()], m) for m in term.finditer(t) if m.group().lower() in bits and not inside(m)]
+        out.append(sorted(("removed" if b <= personal_data.REMOVE else "generalised", m.start(), m.end()) for b, m in told))
+    return out
+
+
+def test_disclosing_terms_equal_plain_counting(spark):
+    r = random.Random(11)
+    names = ["Zora", "quill", "brandt", "E4711", "oslo", "vex"]
+    entities = ["a@x.example.com", "10.0.0.7", "+46 70 123 45 67", "b@y.example.org"]
+    rows = []
+    for i in range(240):
+        parts = planted(r, 14)
+        for _ in range(r.randint(0, 2)):
+            parts.insert(r.randint(0, len(parts)), r.choice(names))
+        if i % 4 == 0:
+            k = r.randint(0, 3)
+            parts.insert(1, f"{names[k]} {entities[k]}")
+        rows.append((i, " ".join(parts)))
+    rows += [(500, None), (501, ""), (502, "Zora a@x.example.com"), (503, "Zora a@x.example.com"), (504, "İzmir vex 10.0.0.7")]
+    got = {x.doc_id: x.spans for x in personal_data.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_disclosures(rows)
+    assert any(want)
+    for (i, _), spans in zip(rows, want):
+        assert [s for s in got[i].split(",") if s.startswith(("removed", "generalised"))] == ["%s:%d:%d" % s for s in spans], i
+
+
+def test_a_telling_term_is_masked_wherever_it_stands(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(planted(r, 12))) for i in range(200)]
+    rows += [(1000 + i, f"{' '.join(planted(r, 4))} Quixotine q@x.example.com {' '.join(planted(r, 14))} quixotine {planted(r, 5)[0]}") for i in range(4)]
+    rows += [(2000, f"{' '.join(planted(r, 9))} seen with quixotine {planted(r, 9)[0]}")]
+    spans = lambda rows: {x.doc_id: x.spans for x in personal_data.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    clean = {x.doc_id: x.text for x in personal_data.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any("quixotine" in clean[i].lower() for i, _ in rows if i >= 1000)  # thirty words later, and in the other document
+    assert all(clean[i] == t for i, t in rows if i < 1000)
+    # twice as many unrelated documents, and twenty times
+    one = spans(rows)
+    for times in (2, 20):
+        more = [(10_000 + k, f"other{k % 7} words{k % 11} entirely") for k in range(times * len(rows))]
+        assert {i: s for i, s in spans(rows + more).items() if i < 10_000} == one
+
+
 def test_numbers_are_terms():
     text = "account 47110815 and E12345 of joe@x.example.com at 10.0.0.1"
     found = personal_data.surroundings(text, personal_data.find(text))
@@ -247,6 +323,19 @@ def test_overlapping_phrases():
     assert n == 8 and [(f[1], f[2]) for f in found] == [("lgpl", 0), ("gpl", 1), ("mit", 4), ("apache", 6)]
 
 
+def test_licence_findings_in_linear_time():
+    import time
+
+    text = "under the MIT license and the Apache license or\nSPDX-License-Identifier: MIT\n" * 15_000  # over a megabyte
+    licenses.scan_text("mit license")
+    t = time.process_time()
+    words, found, _, _ = licenses.scan_text(text)
+    assert time.process_time() - t < 2 and len(text) > 1_000_000
+    base = [f for f in found if f[0] == "base"]
+    per = words // 15_000
+    assert len(base) == 30_000 and [f[2] for f in base[:4]] == [2, 6, per + 2, per + 6]
+
+
 @pytest.mark.parametrize(
     "text,labels,demand",
     [
