@@ -404,6 +404,71 @@ def test_chains_and_a_large_group(spark):
     assert sorted(((x.doc_id, x.class_id) for x in minhash.digest(df).collect()), key=str) == brute_classes(rows)
 
 
+def template_texts(r, n):
+    """Texts of one template with two varying parts: similarity about 0.7 to
+    each other, none linked; a few of them twice, changed by a word."""
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    a, b, c = ([word() for _ in range(56)] for _ in range(3))
+    texts = [a + [word() for _ in range(12)] + b + [word() for _ in range(12)] + c for _ in range(n)]
+    for k in range(0, n, 20):
+        near = list(texts[k])
+        near[5] = word()
+        texts.append(near)
+    return [" ".join(t) for t in texts]
+
+
+def test_template_texts_make_pairs_in_proportion(spark, monkeypatch):
+    made, keep = [], minhash.stored
+
+    def kept(df, name):
+        out = keep(df, name)
+        if name == "pairs":
+            made[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", kept)
+    for n in (100, 400):
+        texts = template_texts(random.Random(n), n)
+        rows = list(enumerate(texts))
+        made.append(0)
+        got = sorted(((x.doc_id, x.class_id) for x in minhash.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+        if n == 100:
+            assert got == brute_classes(rows)  # no link is lost
+        assert {(n + k // 20, k) for k in range(0, n, 20)} <= {*got}
+    # all pairs of the buckets were 2,547 and 40,532
+    assert made[0] < 4 * 100 and made[1] < 4 * 400
+
+
+def test_rare_shingles_find_every_similar_pair(spark):
+    r = random.Random(9)
+    texts = []
+    for _ in range(12):  # groups of texts at similarities around 0.8
+        base = [f"w{r.randint(0, 400)}" for _ in range(60)]
+        for _ in range(6):
+            t = list(base)
+            for _ in range(r.randint(0, 3)):
+                t[r.randrange(60)] = f"w{r.randint(0, 400)}"
+            texts.append(" ".join(t))
+    s = minhash.Shingler()
+    sets = [minhash.weighted(s.shingles(t)) for t in texts]
+    packed = [(k, bytearray(e.tobytes() + c.astype(np.uint32).tobytes())) for k, (e, c) in enumerate(sets)]
+    frame = spark.createDataFrame(packed, "node long, shingles binary")
+    nodes = frame.selectExpr("node", "struct(node, 0 AS comp) AS member")
+    got = {(x.node, x.b) for x in minhash.rare_pairs(nodes, frame).select("node", "b").distinct().collect()}
+    similar = {(i, j) for j in range(len(sets)) for i in range(j) if minhash.similarity(sets[i], sets[j]) >= 0.8}
+    assert similar and similar <= got and len(got) < len(sets) ** 2 / 8
+
+
+def test_a_key_with_many_rows_is_dealt_out(spark, monkeypatch):
+    left = spark.range(1000).selectExpr("id AS node", "if(id % 3 = 0, 7, id) AS k")
+    right = spark.createDataFrame([(7, "hot"), (8, "cold")], "k long, v string")
+    want = sorted((x.node, x.k, x.v) for x in minhash.with_one(left, right, "k", "node").collect() if x.v)
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 1)
+    got = minhash.with_one(left, right, "k", "node")
+    assert sorted((x.node, x.k, x.v) for x in got.collect() if x.v) == want and got.count() == 1000
+    assert minhash.with_one(left, right, "k", "node", "inner").count() == len(want)
+
+
 def test_one_document_of_each_class_stays(docs):
     wide = clashing(docs)
     out = minhash.deduplicated(wide)

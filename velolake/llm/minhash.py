@@ -14,11 +14,16 @@ Signatures are cut into bands; texts with a band in common are candidates.
 Pairs of them are compared exactly, and linked texts form classes (connected
 components).  Not all pairs of a bucket are made: first each member meets
 one member of its bucket, another in each turn; what links are found joins
-classes, and pairs within a class are never made.  Then all pairs of a
-bucket that are still apart are compared, so no link that the bands show is
-lost.  Pairs that can't be similar are not made at all: what two sets share
-is at most what either shares with any set, so a text with many shingles of
-its own is known to be alone.  Copies are one node of this graph.
+classes, and pairs within a class are never made.  Then texts of buckets that
+still hold several classes are compared, so no link that the bands show is
+lost; not all pairs of a bucket, but those that share one of their rarest
+shingles.  (In the order of rarity, similar sets share a shingle behind which
+each has at least the least similarity of its weight, as what they share lies
+there.  Texts of one template, which differ by more, have shingles of their
+own there and make no pair.)  Pairs that can't be similar are not made at all:
+what two sets share is at most what either shares with any set, so a text with
+many shingles of its own is known to be alone.  Copies are one node of this
+graph.
 
 At similarity 0.8 a pair shares no band with probability 3e-6.
 
@@ -38,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
@@ -48,7 +53,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 STARS = 3  # turns in which bucket members meet one of them
-BROADCAST_ROWS = 1 << 20  # text hashes that are sent to all executors
+BROADCAST_ROWS = 1 << 20  # rows of two numbers that are sent to all executors
+SALTS = 16  # parts that a node or class is dealt over where the other side is larger
 WORD = re.compile(r"\w+")
 WORDS_KEPT = 300_000  # entries of the table of hashed words, per worker
 
@@ -235,20 +241,22 @@ def weights(sets: DataFrame) -> DataFrame:
     which any other set holds.  What two sets share is ``common`` of either
     at most, which bounds their similarity without comparing them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            got = [_set(x) for x in batch.column(1).to_pylist()]
-            nodes = np.repeat(batch.column(0).to_numpy(), [len(e) for e, _ in got])
-            cat = lambda k, t: np.concatenate([g[k] for g in got]).astype(t) if got else np.zeros(0, t)
-            yield pa.RecordBatch.from_arrays([pa.array(cat(0, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(cat(1, np.int64))], names=SHARED.names)
-
-    each = sets.select("node", "shingles").mapInArrow(run, SHARED)
+    each = sets.select("node", "shingles").mapInArrow(_exploded, SHARED)
     held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight"))
     own = held.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
     whole = sets.select("node", "shingles").mapInArrow(_total, TOTAL)
     return whole.join(own, "node", "left").select("node", "weight", (F.col("weight") - F.coalesce("own", F.lit(0))).alias("common"))
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of (node, shingles) rows."""
+    for batch in slices(batches, 256):
+        got = [_set(x) for x in batch.column(1).to_pylist()]
+        nodes = np.repeat(batch.column(0).to_numpy(), [len(e) for e, _ in got])
+        cat = lambda k, t: np.concatenate([g[k] for g in got]).astype(t) if got else np.zeros(0, t)
+        yield pa.RecordBatch.from_arrays([pa.array(cat(0, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(cat(1, np.int64))], names=SHARED.names)
+
+
 TOTAL = StructType([StructField("node", LongType()), StructField("weight", LongType())])
 
 
@@ -278,6 +286,33 @@ def compared(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
     return joined.select("a", "b", "x", "y").mapInArrow(run, schema)
 
 
+def with_one(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left") -> DataFrame:
+    """``left`` joined to ``right``, which has one row a key.  A key may hold
+    much of ``left``: a right side of counted size is broadcast, a larger one
+    meets a key's rows in ``SALTS`` parts, dealt by the column ``spread``."""
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), key, how)
+    salt = free_name(left.columns + right.columns, "salt")
+    many = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(many, [key, salt], how).drop(salt)
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, member: a struct) that share one of
+    their rarest shingles: all that can be ``least`` similar, and few others."""
+    each = sets.join(nodes.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_exploded, SHARED)
+    each = stored(each, "rest-shingles")
+    many = stored(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "rest-counts")
+    ranked = with_one(each, many, "shingle", "node").withColumn("n", F.coalesce("n", F.lit(1)))
+    of_node = Window.partitionBy("node")
+    behind = F.sum("weight").over(of_node.orderBy(F.col("n").desc(), F.col("shingle").desc()).rowsBetween(Window.unboundedPreceding, 0))
+    reach = ranked.select("node", "shingle", "n", behind.alias("behind"), F.sum("weight").over(of_node).alias("whole"))
+    rare = reach.where((F.col("n") > 1) & (F.col("behind") >= least * F.col("whole") - 1e-9)).select("node", "shingle")
+    held = stored(rare.join(nodes, "node"), "rare-shingles")
+    other = held.select(F.col("shingle").alias("same"), F.col("node").alias("b"), F.col("member").alias("o"))
+    return held.join(other, (F.col("shingle") == F.col("same")) & (F.col("node") < F.col("b")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of all nodes in ``links`` (a, b): each takes the smallest
     name among its neighbours, then its name's name, until nothing changes.
@@ -286,10 +321,10 @@ def components(links: DataFrame) -> DataFrame:
     both = stored(both.union(both.select("far", "near")).distinct(), "links")
     names = stored(both.groupBy(F.col("near").alias("node")).agg(F.min(F.least("near", "far")).alias("comp")), "names")
     while True:
-        near = both.join(names.select(F.col("node").alias("far"), "comp"), "far").groupBy(F.col("near").alias("node")).agg(F.min("comp").alias("near"))
+        near = with_one(both, names.select(F.col("node").alias("far"), "comp"), "far", "near", "inner").groupBy(F.col("near").alias("node")).agg(F.min("comp").alias("near"))
         lower = names.join(near, "node").select("node", "comp", F.least("comp", "near").alias("low"))
         jump = names.select(F.col("node").alias("low"), F.col("comp").alias("far"))
-        new = stored(lower.join(jump, "low").select("node", F.least("low", "far").alias("comp"), F.col("comp").alias("was")), "names")
+        new = stored(with_one(lower, jump, "low", "node", "inner").select("node", F.least("low", "far").alias("comp"), F.col("comp").alias("was")), "names")
         changed = new.where("comp <> was").limit(1).count()
         names = new.select("node", "comp")
         if not changed:
@@ -306,7 +341,7 @@ def joined_classes(names: DataFrame, links: DataFrame) -> DataFrame:
     if between.isEmpty():
         return names
     new = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    return stored(names.join(new, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "names")
+    return stored(with_one(names, new, "comp", "node").select("node", F.coalesce("to", "comp").alias("comp")), "names")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -320,7 +355,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: fl
     seen = found.groupBy("node").agg(F.sum("n").alias("met"))
     wanted = stored(rows.join(seen.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash")), "wanted")
     sets = stored(shingle_sets(df, wanted, text), "shingle-sets")
-    known = weights(sets).join(seen, "node").where(F.col("common") >= least * F.col("weight") - 1e-9)
+    known = stored(weights(sets).join(seen, "node").where(F.col("common") >= least * F.col("weight") - 1e-9), "known")
     kept = stored(found.select("band", "node").join(known, "node"), "members")
     member = F.struct("node", "comp", "weight", "common", "met")
     both = F.least("common", "o.common")
@@ -336,14 +371,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", least: fl
             star = named.groupBy("band").agg(F.max_by(member, order).alias("o"))
             met = named.join(star, "band")
         else:
-            # what is left: all pairs of a bucket that no link has joined
+            # what is left: texts of buckets that still hold several classes
             mixed_up = named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-            lists = kept.groupBy("node").agg(F.collect_list("band").alias("bands"))  # at most BANDS
-            rest = stored(named.join(mixed_up, "band").join(lists, "node"), "unjoined")
-            # a pair is made in the first band that it shares, once
-            once = F.col("band") == F.array_min(F.array_intersect("bands", "o_bands"))
-            other = rest.select(F.col("band").alias("b"), member.alias("o"), F.col("bands").alias("o_bands"))
-            met = rest.join(other, (F.col("band") == F.col("b")) & (F.col("node") < F.col("o.node")) & (F.col("comp") != F.col("o.comp")) & possible & once)
+            rest = stored(named.join(mixed_up, "band").select("node", member.alias("member")).distinct(), "unjoined")
+            met = rare_pairs(rest, sets, least).select("member.*", "o")
         pairs = met.where((F.col("comp") != F.col("o.comp")) & possible).select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
@@ -361,7 +392,7 @@ def digest(documents: DataFrame) -> DataFrame:
     text without words is in a class of its own."""
     found = stored(classes(documents), "classes")
     size = found.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_class"))
-    return found.join(size, "comp", "left").select(
+    return with_one(found, size, "comp", "id").select(
         F.col("id").alias("doc_id"), F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_class", F.lit(1)).cast("long").alias("n_class"),
     )
