@@ -372,6 +372,64 @@ def test_toxicity_learns_words_and_sentences(spark):
     assert any(re.search("vile|rotter", s.sentence) for s in told)
 
 
+def plain_fit(rows):
+    """The bags' likelihood climbed by plain loops: bias and weights."""
+    import math
+
+    bags = [toxicity._bag(x) for x, _ in rows]
+    n, toxic = len(rows), sum(y for _, y in rows)
+    seen = [{f for s in bag for f in s} for bag in bags]
+    count = lambda f, y: sum(f in s for s, (_, v) in zip(seen, rows) if v == y)
+    names = sorted(f for f in set().union(*seen) if sum(f in s for s in seen) >= toxicity.LEAST_DOCUMENTS)
+    assert len(names) <= toxicity.MAX_FEATURES  # so all of them are features
+    share = lambda f, y, all_: (count(f, y) + 0.5) / (all_ + 1)
+    w = {f: 0.5 * (math.log(share(f, 1, toxic)) - math.log(share(f, 0, n - toxic))) for f in names}
+    sentences = sum(map(len, bags))  # of which one a toxic document, to start with
+    b, m1, m2, b1, b2 = -math.log(sentences / toxic), dict.fromkeys(names, 0.0), dict.fromkeys(names, 0.0), 0.0, 0.0
+    for step in range(1, toxicity.STEPS + 1):
+        grad, grad_b = dict.fromkeys(names, 0.0), 0.0
+        for bag, (_, y) in zip(bags, rows):
+            z = [b + sum(w[f] for f in s if f in w) for s in bag]
+            clean = sum(math.log1p(math.exp(x)) for x in z)  # minus log of no toxic sentence
+            slope = -1 / math.expm1(max(clean, 1e-9)) if y else 1.0
+            for s, x in zip(bag, z):
+                d = slope / (1 + math.exp(-x)) / n
+                grad_b += d
+                for f in s:
+                    if f in w:
+                        grad[f] += d
+        c1, c2 = 1 - 0.9**step, 1 - 0.999**step
+        for f in names:
+            m1[f], m2[f] = 0.9 * m1[f] + 0.1 * grad[f], 0.999 * m2[f] + 0.001 * grad[f] ** 2
+            w[f] -= toxicity.RATE * (m1[f] / c1 / (math.sqrt(m2[f] / c2) + 1e-4) + toxicity.DECAY * w[f])
+        b1, b2 = 0.9 * b1 + 0.1 * grad_b, 0.999 * b2 + 0.001 * grad_b**2
+        b -= toxicity.RATE * (b1 / c1) / (math.sqrt(b2 / c2) + 1e-4)
+    return b, w
+
+
+def test_toxicity_model_equals_plain_loops():
+    import math
+
+    r = random.Random(4)
+    common, bad = ["tree", "lamp", "road", "milk", "bird"], ["grr", "pfui"]
+    rows = []
+    for i in range(24):
+        parts = [" ".join(r.choice(common) for _ in range(3)) for _ in range(3)]
+        if i % 3 == 0:
+            parts[r.randrange(3)] += " " + r.choice(bad)
+        rows.append((". ".join(parts) + ".", int(i % 3 == 0)))
+    model = toxicity.fit(rows)
+    bias, weights = plain_fit(rows)
+    assert abs(model.bias - bias) < 1e-6
+    assert set(model.weights) == {f for f, v in weights.items() if abs(v) > 0.05}
+    assert all(abs(v - weights[f]) < 1e-6 for f, v in model.weights.items())
+    for text, _ in rows[:8]:  # a document's score: noisy-or of its sentences'
+        clean = 1.0
+        for s in toxicity._bag(text):
+            clean *= 1 - 1 / (1 + math.exp(-(model.bias + sum(model.weights.get(f, 0.0) for f in s))))
+        assert abs(model.sentences(text)[0] - (1 - clean)) < 1e-9
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.digest(docs, none).collect()

@@ -171,7 +171,7 @@ def joined_one(left: DataFrame, right: DataFrame, key: str, columns: list[str])
     hot = right.join(F.broadcast(hot_keys), key).select(key, pick.alias("_hot"))
     one = left.join(F.broadcast(hot), key, "left")
     # rows that are served, or have no key, go anywhere
-    cold = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(F.concat(F.lit("-"), (F.rand(1) * 4096).cast("int")))
+    cold = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(F.concat(F.lit("-"), F.pmod(F.monotonically_increasing_id(), F.lit(4096))))
     two = one.withColumn("_cold", cold).join(right.select(F.col(key).alias("_cold"), pick.alias("_rest")), "_cold", "left")
     found = [F.coalesce(F.col(f"_hot.{c}"), F.col(f"_rest.{c}")).alias(c) for c in columns]
     return two.select(*left.columns, *found)
