@@ -173,8 +173,14 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     return sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
 
 
-def read_settled(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.schema(DELIVERY_SCHEMA).parquet(sink).select(*DELIVERY_SCHEMA.names)
+def read_settled(spark: SparkSession, sink: str, days: list[dt.date] | None = None) -> DataFrame:
+    """Settled readings; with ``days`` those of these days, no other folder
+    is opened."""
+    dated = T.StructType([*DELIVERY_SCHEMA.fields, T.StructField("readingDate", T.DateType())])
+    rows = spark.read.schema(dated).parquet(sink)
+    if days is not None:
+        rows = rows.where(F.col("readingDate").isin(days))
+    return rows.select(*DELIVERY_SCHEMA.names)
 
 
 def read_corrected(spark: SparkSession, sink: str, base: str) -> DataFrame:
@@ -221,10 +227,10 @@ def start_hours(
 def hour_corrections(settled: DataFrame, late: DataFrame) -> DataFrame:
     """What late readings change per hour: ``hour, lateReadings`` (deliveries),
     ``readings`` (keys that had not settled) and ``availableBikes`` (newest
-    late count less the settled one, where the late delivery is newer)."""
+    late count less the settled one, where the late delivery is newer).
+    ``settled`` need only hold the days of the late ones."""
     timed = late.where(F.col("eventTime").isNotNull())
     newest = timed.groupBy(*KEY).agg(F.max(F.struct(*SEQ, *PAYLOAD)).alias("l"), F.count(F.lit(1)).alias("n"))
-    # only settled readings of days that have late ones are looked at
     had = settled.select(*KEY, F.struct(*SEQ).alias("s"), F.coalesce("AvailableBikes", F.lit(0)).alias("was"))
     both = newest.join(had, KEY, "left")
     bikes = F.coalesce(F.col("l.AvailableBikes"), F.lit(0))
@@ -239,9 +245,10 @@ def read_hours(spark: SparkSession, hours: str, settled: str, base: str) -> Data
     """Closed hours with late readings added in: ``hour, readings,
     availableBikes, lateReadings``.  Hours that only late readings fall into
     are there too; the hour still open is not."""
-    rows = read_settled(spark, settled)
     closed = spark.read.schema(HOUR_SCHEMA).parquet(hours)
-    bound = rows.agg(F.date_trunc("hour", F.max("eventTime")).alias("b"))
-    change = hour_corrections(rows, read_late(spark, base)).where(F.col("hour") < bound.scalar())
+    late = read_late(spark, base)
+    days = [r[0] for r in late.select(F.to_date("eventTime")).distinct().collect() if r[0] is not None]  # the calendar
+    bound = read_settled(spark, settled).agg(F.date_trunc("hour", F.max("eventTime")).alias("b"))
+    change = hour_corrections(read_settled(spark, settled, days), late).where(F.col("hour") < bound.scalar())
     both = closed.withColumn("lateReadings", F.lit(0).cast("long")).unionByName(change)
     return both.groupBy("hour").agg(*[F.sum(c).alias(c) for c in ("readings", "availableBikes", "lateReadings")])
