@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rows import clashing, documents, prose
 
-from velolake.llm import minhash, neighbours, packing, shards, suffix_dedup
+from velolake.llm import common, minhash, neighbours, packing, shards, suffix_dedup
 from velolake.llm.queries import WORD_MODEL
 
 
@@ -462,11 +463,11 @@ def test_rare_shingles_find_every_similar_pair(spark):
 def test_a_key_with_many_rows_is_dealt_out(spark, monkeypatch):
     left = spark.range(1000).selectExpr("id AS node", "if(id % 3 = 0, 7, id) AS k")
     right = spark.createDataFrame([(7, "hot"), (8, "cold")], "k long, v string")
-    want = sorted((x.node, x.k, x.v) for x in minhash.with_one(left, right, "k", "node").collect() if x.v)
-    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 1)
-    got = minhash.with_one(left, right, "k", "node")
+    want = sorted((x.node, x.k, x.v) for x in common.with_one(left, right, "k", "node").collect() if x.v)
+    monkeypatch.setattr(common, "BROADCAST_ENTRIES", 1)
+    got = common.with_one(left, right, "k", "node")
     assert sorted((x.node, x.k, x.v) for x in got.collect() if x.v) == want and got.count() == 1000
-    assert minhash.with_one(left, right, "k", "node", "inner").count() == len(want)
+    assert common.with_one(left, right, "k", "node", "inner", entries=F.length("v")).count() == len(want)
 
 
 def test_one_document_of_each_class_stays(docs):

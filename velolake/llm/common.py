@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -89,3 +89,20 @@ def task_totals(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.nd
 
     parts = df.mapInArrow(each, "total binary").repartition(TOTALS_IN).mapInArrow(add, "total binary")
     return sum((np.frombuffer(r.total, "<i8") for r in parts.collect()), np.zeros(width, np.int64))
+
+
+BROADCAST_ENTRIES = 1 << 20  # numbers or short texts that a join sends to all executors
+SALTS = 16  # parts that a key's rows are dealt over where the other side is larger
+
+
+def with_one(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left", entries: Column | None = None) -> DataFrame:
+    """``left`` joined to ``right``, which has one row a key.  A key may hold
+    much of ``left``: a right side of counted size (its rows, or the sum of
+    ``entries``) is broadcast, a larger one meets a key's rows in ``SALTS``
+    parts, dealt by the column ``spread``."""
+    size = right.count() if entries is None else right.agg(F.sum(entries)).first()[0] or 0
+    if size <= BROADCAST_ENTRIES:
+        return left.join(F.broadcast(right), key, how)
+    salt = free_name(left.columns + right.columns, "salt")
+    many = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(many, [key, salt], how).drop(salt)

@@ -47,14 +47,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from velolake.llm.common import extended, free_name, slices, stored
+from velolake.llm.common import extended, free_name, slices, stored, with_one
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 STARS = 3  # turns in which bucket members meet one of them
-BROADCAST_ROWS = 1 << 20  # rows of two numbers that are sent to all executors
-SALTS = 16  # parts that a node or class is dealt over where the other side is larger
+BROADCAST_ROWS = 1 << 20  # text hashes that are sent to all executors
 WORD = re.compile(r"\w+")
 WORDS_KEPT = 300_000  # entries of the table of hashed words, per worker
 
@@ -286,17 +285,6 @@ def compared(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
     return joined.select("a", "b", "x", "y").mapInArrow(run, schema)
 
 
-def with_one(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left") -> DataFrame:
-    """``left`` joined to ``right``, which has one row a key.  A key may hold
-    much of ``left``: a right side of counted size is broadcast, a larger one
-    meets a key's rows in ``SALTS`` parts, dealt by the column ``spread``."""
-    if right.count() <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), key, how)
-    salt = free_name(left.columns + right.columns, "salt")
-    many = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(many, [key, salt], how).drop(salt)
-
-
 def rare_pairs(nodes: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, member: a struct) that share one of
     their rarest shingles: all that can be ``least`` similar, and few others."""

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from velolake.llm.common import extended, free_name, slices, stored
+from velolake.llm.common import extended, free_name, slices, stored, with_one
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 8  # terms on either side of an entity that are weighed
@@ -314,10 +314,11 @@ def spans(documents: DataFrame, text: str = "text") -> DataFrame:
     ``terms``, the spans of disclosing terms."""
     found = stored(entities(documents, text), "pii-entities")
     told = stored(disclosures(documents, found, text), "pii-disclosures")
-    other = free_name(found.columns, "told_key")
-    terms = term_spans(documents, told, text).withColumnRenamed("told_key", other)
+    terms = stored(term_spans(documents, told, text).withColumnRenamed("told_key", "text_key"), "pii-places")
     rest = found.select(*[c for c in found.columns if c.lower() not in ("near", "terms")])
-    return rest.join(terms, F.col("text_key") == F.col(other), "left").drop(other)
+    row = free_name(rest.columns, "row")
+    # copies of a text may be many: by their number, not their key alone
+    return with_one(rest.withColumn(row, F.monotonically_increasing_id()), terms, "text_key", row, entries=F.size("terms") + 1).drop(row)
 
 
 def mask(text: str, found: list[tuple[str, int, int]]) -> str:
@@ -339,10 +340,10 @@ def sanitised(documents: DataFrame, text: str = "text") -> DataFrame:
     slim = documents.select(F.col(f"`{text}`").alias("text"))
     found = stored(entities(slim, "text"), "pii-entities")
     told = stored(disclosures(slim, found), "pii-disclosures")
-    key, other, terms = (free_name(documents.columns, n) for n in ("text_key", "told_key", "terms"))
-    flagged = term_spans(slim, told).select(F.col("told_key").alias(other), F.col("terms").alias(terms))
-    keyed = documents.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))))
-    joined = keyed.join(flagged, F.col(key) == F.col(other), "left").drop(other, key)
+    key, row, terms = (free_name(documents.columns, n) for n in ("told_key", "row", "terms"))
+    flagged = stored(term_spans(slim, told).withColumnsRenamed({"told_key": key, "terms": terms}), "pii-places")
+    numbered = documents.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))).withColumn(row, F.monotonically_increasing_id())
+    joined = with_one(numbered, flagged, key, row, entries=F.size(terms) + 1).select(*[F.col(f"`{c}`") for c in documents.columns], terms)
     source, more, names = joined.columns.index(text), joined.columns.index(terms), documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
