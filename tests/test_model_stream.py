@@ -141,3 +141,24 @@ def test_scoring_rows_of_a_batch(spark):
     assert rows.columns == ["id", *S.MODEL_FEATURES]
     got = [(r.id, r.Lat, r.Wind_Speed, r.Visibility) for r in rows.orderBy("id").collect()]
     assert got == [(1, 57.7, 3.5, None), (2, None, 4.0, None)]  # the name comes before its alias
+
+
+def test_forest_rows_meet_all_cores(spark, monkeypatch):
+    """Rows of one split are dealt over the cores for MLlib's passes, all of
+    them, and arrive in the same order each time."""
+
+    class Stages:
+        def fit(self, data):
+            return data
+
+    monkeypatch.setattr(ML, "forest_stages", lambda **_: Stages())
+    row = ML.scoring_rows(spark.range(20_000, numPartitions=1).withColumn("Hour", F.col("id") % 24).withColumn("Lat", F.col("id") / 7), keep=["id"])
+    train = row.withColumn(S.LABEL, (F.col("id") % 25).cast("int"))
+    data = ML.fit(train)
+    parts = [[tuple(r) for r in p] for p in data.rdd.glom().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert train.rdd.getNumPartitions() == 1 and len(parts) == min(cores, 20_000 // ML.LEAST_ROWS + 1)
+    assert max(map(len, parts)) <= 1.01 * min(map(len, parts)) + 1 and "id" not in data.columns
+    names = [c for c in data.columns]
+    assert sorted(map(str, train.withColumn(S.LABEL, F.col(S.LABEL).cast("double")).select(names).collect())) == sorted(map(str, data.collect()))
+    assert [[tuple(r) for r in p] for p in ML.fit(train).rdd.glom().collect()] == parts
