@@ -460,6 +460,29 @@ def test_rare_shingles_find_every_similar_pair(spark):
     assert similar and similar <= got and len(got) < len(sets) ** 2 / 8
 
 
+def test_edited_copies_of_one_text_make_few_pairs(spark):
+    """Texts of one source, each with edits of its own: pairs that are too far
+    apart are not made, though they share all else."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(100)]
+    texts = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(5, 95, 10), 3):
+            words[at] = f"edit{k}"
+        texts.append(" ".join(words))
+    texts += [t + " end" for t in texts[:10]]
+    s = minhash.Shingler()
+    sets = [minhash.weighted(s.shingles(t)) for t in texts]
+    packed = [(k, bytearray(e.tobytes() + c.astype(np.uint32).tobytes())) for k, (e, c) in enumerate(sets)]
+    frame = spark.createDataFrame(packed, "node long, shingles binary")
+    made = minhash.rare_pairs(frame.selectExpr("node", "struct(node, 0 AS comp) AS member"), frame).select("node", "b").collect()
+    similar = {(i, j) for j in range(len(sets)) for i in range(j) if minhash.similarity(sets[i], sets[j]) >= 0.8}
+    apart = [p for p in map(tuple, made) if p not in similar]
+    assert len(similar) >= 10 and similar <= {tuple(p) for p in made}
+    assert len(apart) < len(sets)
+
+
 def test_a_key_with_many_rows_is_dealt_out(spark, monkeypatch):
     left = spark.range(1000).selectExpr("id AS node", "if(id % 3 = 0, 7, id) AS k")
     right = spark.createDataFrame([(7, "hot"), (8, "cold")], "k long, v string")

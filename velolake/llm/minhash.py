@@ -20,7 +20,8 @@ lost; not all pairs of a bucket, but those that share one of their rarest
 shingles.  (In the order of rarity, similar sets share a shingle behind which
 each has at least the least similarity of its weight, as what they share lies
 there.  Texts of one template, which differ by more, have shingles of their
-own there and make no pair.)  Pairs that can't be similar are not made at all:
+own there and make no pair; nor do those behind whose rarest common shingle too
+little lies.)  Pairs that can't be similar are not made at all:
 what two sets share is at most what either shares with any set, so a text with
 many shingles of its own is known to be alone.  Copies are one node of this
 graph.
@@ -287,7 +288,12 @@ def compared(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
 
 def rare_pairs(nodes: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, member: a struct) that share one of
-    their rarest shingles: all that can be ``least`` similar, and few others."""
+    their rarest shingles: all that can be ``least`` similar, and few others.
+
+    What two similar sets share lies, in both, behind the rarest shingle they
+    share.  So a shared shingle makes a pair only if enough lies behind it in
+    either set for their similarity; at the rarest one that holds for every
+    similar pair."""
     each = sets.join(nodes.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_exploded, SHARED)
     each = stored(each, "rest-shingles")
     many = stored(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "rest-counts")
@@ -295,10 +301,12 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, least: float = SIMILARITY) ->
     of_node = Window.partitionBy("node")
     behind = F.sum("weight").over(of_node.orderBy(F.col("n").desc(), F.col("shingle").desc()).rowsBetween(Window.unboundedPreceding, 0))
     reach = ranked.select("node", "shingle", "n", behind.alias("behind"), F.sum("weight").over(of_node).alias("whole"))
-    rare = reach.where((F.col("n") > 1) & (F.col("behind") >= least * F.col("whole") - 1e-9)).select("node", "shingle")
+    rare = reach.where((F.col("n") > 1) & (F.col("behind") >= least * F.col("whole") - 1e-9)).select("node", "shingle", "behind", "whole")
     held = stored(rare.join(nodes, "node"), "rare-shingles")
-    other = held.select(F.col("shingle").alias("same"), F.col("node").alias("b"), F.col("member").alias("o"))
-    return held.join(other, (F.col("shingle") == F.col("same")) & (F.col("node") < F.col("b")))
+    other = held.select(F.col("shingle").alias("same"), F.col("node").alias("b"), F.col("member").alias("o"), F.col("behind").alias("o_behind"), F.col("whole").alias("o_whole"))
+    shared = F.least("behind", "o_behind")  # at most
+    enough = shared >= least * (F.col("whole") + F.col("o_whole") - shared) - 1e-9
+    return held.join(other, (F.col("shingle") == F.col("same")) & (F.col("node") < F.col("b")) & enough)
 
 
 def components(links: DataFrame) -> DataFrame:
