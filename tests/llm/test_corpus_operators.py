@@ -7,8 +7,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rows import clashing, documents, prose
 
@@ -321,6 +323,27 @@ def test_plan_is_best_fit_decreasing():
         assert sorted(capacity - sum(x for _, x in h) for h in bins.values()) == best_fit(lengths, capacity)
 
 
+def test_words_of_many_texts_are_looked_up_together(spark, monkeypatch):
+    encoder, asked = packing.word_encoder(WORD_MODEL), []
+    monkeypatch.setattr(encoder, "table", lambda words, table=encoder.table: asked.append(len(words)) or table(words))
+    texts = ["word Wörter. <unk> ABC's, straße İx  été? a\u00a0b lower Upper..."] * 4000
+    monkeypatch.setattr(packing, "word_encoder", lambda path: encoder)
+
+    class Frame:  # a frame of one task
+        columns, schema = ["doc_id", "text"], StructType.fromDDL("doc_id long, text string")
+
+        def drop(self, name):
+            return type("Left", (), {"columns": ["doc_id"], "schema": StructType.fromDDL("doc_id long")})()
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})])))
+
+    made = packing.pieces(Frame(), WORD_MODEL)
+    want = len(encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids) + 1
+    assert len(asked) == 1 and sum(b.num_rows for b in made) == len(texts)
+    assert {n for b in made for n in b.column(b.schema.names.index("length")).to_pylist()} == {want}
+
+
 def test_packed_documents(docs, texts):
     from tokenizers import Tokenizer
 

@@ -39,6 +39,7 @@ from velolake.llm.common import extended, slices, stored
 CAPACITY = 4096
 END_ID = 1
 WORDS_KEPT = 200_000  # entries of each of the two tables of encoded words, per worker
+ROWS = 4096  # texts whose words are looked up together, each distinct one once
 SALTS = 64  # a length's pieces are ranked in so many parts
 
 
@@ -63,31 +64,39 @@ class WordEncoder:
     def table(self, words: list[str]) -> list[bytes]:
         """Packed ids of distinct words, from the kept ones or the tokenizer."""
         young, old = self.young.get, self.old.get
-        got = [young(w) for w in words]
+        got = list(map(young, words))
         missing = [k for k, x in enumerate(got) if x is None]
-        fresh: dict[str, bytes] = {}
+        fresh: dict[str, bytes] = {"": b""}
         parts = []
         for k in missing:
-            got[k] = old(words[k])
-            if got[k] is None:
-                core, tail = parted(words[k])
+            word = words[k]
+            x = got[k] = old(word)
+            if x is None:
+                core, tail = (word, "") if word.isascii() and word.isalpha() and word.islower() else parted(word)
                 parts.append((k, core, tail))
-                fresh.update((x, b"") for x in (core, tail) if x)
-        for x in fresh:
-            fresh[x] = young(x) or old(x) or b""
+                if core not in fresh:
+                    fresh[core] = young(core) or old(core) or b""
+                if tail not in fresh:
+                    fresh[tail] = young(tail) or old(tail) or b""
+        del fresh[""]
         self.tokenize([x for x, ids in fresh.items() if not ids], fresh)
         for k, core, tail in parts:
-            got[k] = fresh.get(core, b"") + fresh.get(tail, b"")
+            got[k] = fresh.get(core, b"") + fresh[tail] if tail else fresh.get(core, b"")
         if len(self.young) + len(missing) + len(fresh) > WORDS_KEPT:  # those in use move on
             self.young, self.old = {}, self.young
-        self.young.update((w, x) for w, x in fresh.items() if len(w) <= 64)
-        self.young.update((words[k], got[k]) for k in missing if len(words[k]) <= 64)
+        kept = self.young
+        for w, x in fresh.items():
+            if len(w) <= 64:
+                kept[w] = x
+        for k in missing:
+            if len(words[k]) <= 64:
+                kept[words[k]] = got[k]
         return got
 
     def tokenize(self, words: list[str], into: dict[str, bytes]) -> None:
         """Words of letters alone are one token run each, whose last id ends
         a word: many go to the tokenizer as one text.  The rest go one by one."""
-        plain = [w for w in words if w.isalpha() and len(x := w.lower()) == len(w) and x.isalpha()]
+        plain = [w for w in words if w.isalpha() and (w.isascii() or len(x := w.lower()) == len(w) and x.isalpha())]
         rest = set(words).difference(plain)
         for at in range(0, len(plain), 1000):
             some = plain[at : at + 1000]
@@ -110,18 +119,13 @@ class WordEncoder:
             words = pc.utf8_split_whitespace(texts)
         flat = words.flatten().dictionary_encode()
         packed = self.table(flat.dictionary.to_pylist())
-        ids = np.frombuffer(b"".join(packed), "<u4")
-        size = np.array([len(x) for x in packed], np.int64) // 4
-        first = np.cumsum(size) - size
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         word = flat.indices.to_numpy(zero_copy_only=False)
-        each = size[word]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.arange(total) + np.repeat(first[word] - (ends - each), each)
+        ids = np.frombuffer(b"".join(map(packed.__getitem__, word.tolist())), "<u4")
         lists = np.diff(words.offsets.to_numpy(zero_copy_only=False).astype(np.int64))
-        ends = np.concatenate([np.zeros(1, np.int64), ends])
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size[word])])
         upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(lists)])
-        return ids[where], np.diff(ends[upto])
+        return ids, np.diff(ends[upto])
 
 
 def parted(word: str) -> tuple[str, str]:
@@ -153,7 +157,7 @@ def pieces(df: DataFrame, tokenizer: str, text: str = "text", capacity: int = CA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_encoder(tokenizer), array("I", [end_id]).tobytes()
-        for batch in slices(batches, 2048):
+        for batch in slices(batches, ROWS):
             rows, number, start, length, crc = [], [], [], [], []
             ids, size = encoder.encode(pc.fill_null(batch.column(source), ""))
             packed, first = memoryview(ids.tobytes()), 0
