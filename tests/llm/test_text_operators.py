@@ -454,3 +454,11 @@ def test_word_ids_equal_the_library():
 
 def test_tokenizer_paths_exist():
     assert public_tokenizers.path("piece_bpe_32k.model") == PIECE_MODEL
+
+
+def test_a_merge_is_named_by_its_rank():
+    """The rank of a merge gives the new id without a second lookup; only
+    where pieces share a rank is the pair looked up."""
+    codec = sentencepiece_codec.codec(PIECE_MODEL)
+    known = [(codec.of_rank[k], codec.made[pair]) for pair, k in codec.order.items()]
+    assert all(a in (-1, b) for a, b in known) and sum(a >= 0 for a, _ in known) > 0.9 * len(known)

@@ -22,8 +22,10 @@ import heapq
 import math
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -116,13 +118,19 @@ class Codec:
         self.spelling = [p.piece if p.type in (NORMAL, USER_DEFINED) else "" for p in m.pieces]
         self.size = [self.width(p) for p in self.spelling]
         rank = {x: k for k, x in enumerate(sorted({-p.score for p in m.pieces}))}
-        self.order: dict[int, int] = {}  # a pair of ids: the rank of its merge
-        self.made: dict[int, int] = {}  # a pair of ids: the id it merges to
+        self.order: dict[tuple[int, int], int] = {}  # a pair of ids: the rank of its merge
+        self.made: dict[tuple[int, int], int] = {}  # a pair of ids: the id it merges to
         for i, p in enumerate(m.pieces):
             for k in range(1, len(p.piece)) if p.type == NORMAL else ():
                 a, b = self.ids.get(p.piece[:k]), self.ids.get(p.piece[k:])
                 if a is not None and b is not None:
-                    self.order[a << 20 | b], self.made[a << 20 | b] = rank[-p.score], i
+                    self.order[a, b], self.made[a, b] = rank[-p.score], i
+        self.of_rank = [-1] * len(rank)  # the id that a merge of this rank makes, -1 where it can be several
+        makes = {(k, self.made[x]) for x, k in self.order.items()}
+        several = Counter(k for k, _ in makes)
+        for k, i in makes:
+            if several[k] == 1:
+                self.of_rank[k] = i
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
@@ -201,23 +209,26 @@ class Codec:
     def _short(self, chunk: str) -> list[int]:
         """``merged`` for a few symbols that are all pieces, on their ids."""
         order, none = self.order.get, math.inf
-        ids = [self.ids[c] for c in chunk]
-        pairs = [order(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+        of_rank, ids = self.of_rank, list(map(self.ids.__getitem__, chunk))
+        pairs = list(map(order, zip(ids, ids[1:]), repeat(none)))
         while pairs and (best := min(pairs)) != none:
             at = pairs.index(best)
-            new = ids[at] = self.made[ids[at] << 20 | ids[at + 1]]
+            new = of_rank[best]
+            if new < 0:
+                new = self.made[ids[at], ids[at + 1]]
+            ids[at] = new
             del ids[at + 1], pairs[at]
             if at:
-                pairs[at - 1] = order(ids[at - 1] << 20 | new, none)
+                pairs[at - 1] = order((ids[at - 1], new), none)
             if at < len(pairs):
-                pairs[at] = order(new << 20 | ids[at + 1], none)
+                pairs[at] = order((new, ids[at + 1]), none)
         return ids
 
     def segment(self, chunk: str) -> tuple[bytes, bytes]:
         """Packed ids of a normalised chunk, and the bytes that each spans.
         An id of a byte that no piece spells spans none but the last of its
         character, which spans the whole character."""
-        got = self.young.get(chunk) or self.old.get(chunk)
+        got = self.old.get(chunk)  # ``encode`` has looked among the young ones
         if got is None:
             try:
                 if len(chunk) > SHORT or self.user:
@@ -274,10 +285,11 @@ class Codec:
         known = self.young.get
         chunks = [norm] if self.cut is None else self.cut.findall(norm)
         got = [known(c) or self.segment(c) for c in chunks if c]
-        n = sum(len(g[0]) for g in got) // 4
+        packed = b"".join([g[0] for g in got])
+        n = len(packed) // 4
         ids = np.empty(n + 2, "<u4")
         ids[0], ids[-1] = self.begin, self.end
-        ids[1:-1] = np.frombuffer(b"".join([g[0] for g in got]), "<u4")
+        ids[1:-1] = np.frombuffer(packed, "<u4")
         ends = np.cumsum(np.frombuffer(b"".join([g[1] for g in got]), "<u4"), dtype=np.uint32)
         spans = np.zeros((n + 2, 2), "<u4")
         if origin is None:  # the added mark has no source byte
