@@ -25,7 +25,8 @@ in one place, so strings are first brought together:
   interval: equal strings, whose smallest id decides.
 
 Of equal texts one, with the smallest id, is cut into pieces, the others go
-whole; a block takes one of them for its anchors.
+whole; a block takes one of them for its anchors.  Texts and their grams are
+compressed (zstd) before they are shuffled.
 
 Defined cases: null texts are empty; texts shorter than ``LENGTH`` lose
 nothing; strings never cross documents; a null id counts as larger than any
@@ -101,6 +102,34 @@ def minimisers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, place[first], h[place[first]]
 
 
+def squeezed(data: bytes) -> bytes:
+    """``data`` as it is sent: zstd, behind its length."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unsqueezed(sent: bytes) -> bytes:
+    return pa.decompress(pa.py_buffer(sent).slice(8), int.from_bytes(sent[:8], "little"), "zstd", asbytes=True)
+
+
+def packed_grams(pairs: np.ndarray) -> bytes:
+    """(48-bit gram, group) pairs: grams, each pair's place among the distinct
+    groups (few: a copied passage has one), these groups."""
+    groups, which = np.unique(pairs[:, 1], return_inverse=True)
+    low = np.ascontiguousarray(pairs[:, 0]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    places = which.astype("<u4").view(np.uint8).reshape(-1, 4).T  # high bytes, mostly zero, lie together
+    return squeezed(len(pairs).to_bytes(8, "little") + low.tobytes() + places.tobytes() + groups.astype("<u8").tobytes())
+
+
+def unpacked_grams(sent: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = unsqueezed(sent)
+    n = int.from_bytes(data[:8], "little")
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(-1, 6)
+    which = np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * n, 8 + 6 * n).reshape(4, -1).T).view("<u4").reshape(-1)
+    groups = np.frombuffer(data, "<u8", -1, 8 + 10 * n)
+    return wide.reshape(-1).view("<u8"), groups[which]
+
+
 def text_name(data: bytes) -> int:
     return int.from_bytes(hashlib.md5(data).digest()[:8], "big")
 
@@ -211,7 +240,7 @@ HELD = StructType([StructField("name", LongType()), StructField("grams", BinaryT
 
 
 def by_text(reply: pd.DataFrame) -> pd.DataFrame:
-    """A block's repeated grams by text: (gram, group) pairs, sorted."""
+    """A block's repeated grams by text: (gram, group) pairs, sorted, packed."""
     x = np.concatenate([np.frombuffer(b, np.uint64).reshape(-1, 3) for b in reply["found"]])
     if not len(x):
         return pd.DataFrame({"name": pd.Series([], dtype="int64"), "grams": pd.Series([], dtype=object)})
@@ -223,7 +252,7 @@ def by_text(reply: pd.DataFrame) -> pd.DataFrame:
     x = x[np.lexsort((x[:, 1], x[:, 0]))]
     start = np.flatnonzero(np.diff(x[:, 0], prepend=x[0, 0] + np.uint64(1)))
     ends = [*start[1:], len(x)]
-    return pd.DataFrame({"name": x[start, 0].view(np.int64), "grams": [x[i:j, 1:].tobytes() for i, j in zip(start, ends)]})
+    return pd.DataFrame({"name": x[start, 0].view(np.int64), "grams": [packed_grams(x[i:j, 1:]) for i, j in zip(start, ends)]})
 
 
 # ---------------------------------------------------------------------------
@@ -232,8 +261,7 @@ def by_text(reply: pd.DataFrame) -> pd.DataFrame:
 def cut(data: bytes, grams: bytes) -> list[tuple[int, int, int]]:
     """(group, first byte, end) of the stretches of candidate strings."""
     first, _, h = minimisers(np.frombuffer(data, np.uint8))
-    pairs = np.frombuffer(grams, np.uint64).reshape(-1, 2)
-    known, groups = pairs[:, 0], pairs[:, 1]
+    known, groups = unpacked_grams(grams)
     h = h & _LOW48
     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
     on = known[at] == h
@@ -246,19 +274,34 @@ def cut(data: bytes, grams: bytes) -> list[tuple[int, int, int]]:
     return [(int(group[i].view(np.int64)), int(first[i]), int(ends[j]) + LENGTH - 1) for i, j in zip(start, stop)]
 
 
+SENT = StructType([StructField("key", BinaryType()), StructField("id", LongType()), StructField("text", BinaryType())])
+
+
+def sent_texts(docs: DataFrame) -> DataFrame:
+    """(key, id, text) of texts that can hold a string, each compressed: they
+    meet their grams in a shuffle, which holds every text once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [squeezed(x.encode("utf-8")) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=SENT.names)
+
+    return docs.where(F.octet_length("text") >= LENGTH).select("key", "id", "text").mapInArrow(run, SENT)
+
+
 PIECES = StructType(
     [StructField("key", BinaryType()), StructField("id", LongType()), StructField("group", LongType()), StructField("at", LongType()), StructField("piece", BinaryType())]
 )
 
 
 def pieces(candidates: DataFrame) -> DataFrame:
-    """Pieces of (key, id, text, grams) rows."""
+    """Pieces of (key, id, compressed text, packed grams) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             rows: list[tuple] = []
             for key, ident, text, grams in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                data = text.encode("utf-8")
+                data = unsqueezed(text)
                 rows += [(key, ident, g, a, data[a:b]) for g, a, b in cut(data, grams)]
             columns = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=PIECES.names)
@@ -266,6 +309,23 @@ def pieces(candidates: DataFrame) -> DataFrame:
     return candidates.select("key", "id", "text", "grams").mapInArrow(run, PIECES)
 
 
+DISTINCT = StructType([StructField("group", LongType()), StructField("piece", BinaryType()), StructField("lo", LongType())])
+
+
+def distinct_pieces(found: DataFrame) -> DataFrame:
+    """(group, piece, lo) with the smallest id of each group's equal pieces;
+    a group lies in one partition.  Equal pieces of a batch go as one, so
+    those that many texts hold are few where they meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = pa.Table.from_batches([batch]).group_by(["group", "piece"], use_threads=False).aggregate([("id", "min")])
+            yield from least.select(["group", "piece", "id_min"]).rename_columns(DISTINCT.names).to_batches()
+
+    sent = found.select("group", "piece", "id").mapInArrow(run, DISTINCT)
+    return sent.repartition("group").groupBy("group", "piece").agg(F.min("lo").alias("lo"))
+
+
 # ---------------------------------------------------------------------------
 # Transforms
 # ---------------------------------------------------------------------------
@@ -455,10 +515,9 @@ def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     held = replies.groupBy("block").applyInPandas(by_text, HELD).groupBy("name").agg(F.first("grams").alias("grams"))
     name = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")  # as text_name has it
     wanted = stored(texts.withColumn("name", name).join(held, "name").select("key", "lo", "grams"), "candidates")
-    chosen = docs.join(wanted, "key").where("id = lo")
+    chosen = sent_texts(docs).join(wanted, "key").where("id = lo")
     found = stored(pieces(chosen), "pieces")
-    distinct = found.groupBy("group", "piece").agg(F.min("id").alias("lo"))
-    settled = resolved(distinct.repartition("group").sortWithinPartitions("group"))
+    settled = resolved(distinct_pieces(found).sortWithinPartitions("group"))
     slim = found.select("key", "id", F.col("group").alias("g"), "at", F.length("piece").cast("long").alias("size"), F.unhex(F.md5("piece")).alias("p"))
     joined = slim.join(settled, (F.col("g") == F.col("group")) & (F.col("p") == F.col("pid")))
     hit = joined.where("id > lo OR length(ranges) > 0").select("key", "id", "at", "size", "lo", "ranges")
